@@ -124,7 +124,7 @@ def test_critical_prefix_and_exclusion(spark):
     assert kept.count() == 17
 
 
-def test_zero_exception_day(spark, golden=None):
+def test_zero_exception_day(spark):
     _, _, rows = build(spark, fx.master(spark))
     p = portfolio.to_portfolio(rows)
     no_exc = exceptions_of(spark, rows).limit(0)
@@ -251,8 +251,7 @@ def test_sinks_and_snapshot(spark, scratch):
 
 
 def test_rate_rounding_half_up(spark):
+    from ledgerlens.functions.expressions import percent
     df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (0, 0)], "n long, d long")
-    got = [r.r for r in df.select(kpi.percent("n", "d").alias("r") if hasattr(kpi, "percent") else
-                                  __import__("ledgerlens.functions.expressions", fromlist=["percent"])
-                                  .percent("n", "d").alias("r")).collect()]
+    got = [r.r for r in df.select(percent("n", "d").alias("r")).collect()]
     assert got == [Decimal("12.50"), Decimal("33.33"), Decimal("66.67"), None]
