@@ -5,9 +5,9 @@ Plan shape for one business date::
     Union(Project(Filter(Scan)))            one scan per source, filters pushed down
       -> Project (cleanse)                  whole-stage codegen
       -> BroadcastHashJoin fx, product      config-sized sides, explicit broadcast
-      -> SortMergeJoin master               keyed by customer; NULL keys salted
+      -> SortMergeJoin master (+ per-customer account counts from a partial aggregate)
+                                            keyed by customer; NULL keys salted
       -> Filter (inclusion) -> anti join    critical customers (AQE may broadcast)
-      -> HashAggregate partial/final + join product_count (skew-safe)
 
 Errors are produced in one pass per stage by ``array(when ...) -> inline``
 instead of one scan per error type.
@@ -139,22 +139,39 @@ def salted_key(key: str, spread: str, buckets: int = 4096) -> Column:
     return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), (F.xxhash64(spread) % buckets).cast("string")))
 
 
-def enrich_customer(df: DataFrame, master: DataFrame) -> DataFrame:
-    """Name, category and branch from the master (one row per customer).
+def account_counts(df: DataFrame) -> DataFrame:
+    """Accounts per customer that pass the row-level inclusion rules.
 
-    The master can be as large as the customer base, so this is a shuffle
-    join chosen at runtime by AQE (broadcast if small, sort-merge with skew
-    splitting otherwise).  ``customer_name`` follows ``concat`` semantics: NULL
-    when either part is NULL (D6)."""
+    A partial/final aggregate: map tasks combine per customer before the
+    shuffle, so a customer holding a large share of accounts costs one row
+    per task, not one task holding all of them."""
+    return (df.filter(inclusion_flag()).groupBy("customer_id")
+              .agg(F.count(F.lit(1)).cast("int").alias("product_count")))
+
+
+def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Name, category and branch from the master (one row per customer),
+    plus ``product_count`` when per-customer ``counts`` are given.
+
+    The counts ride along with the master side of the same join (a
+    customer-keyed full outer join of two per-customer frames), so the
+    account rows are shuffled once for both.  The master can be as large as
+    the customer base, so the join strategy is left to AQE (broadcast if
+    small, sort-merge with skew splitting otherwise).  ``customer_name``
+    follows ``concat`` semantics: NULL when either part is NULL (D6)."""
     m = master.select(
         F.col("customer_id").alias("_cm_id"),
         F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("customer_name"),
         F.col("customer_category").alias("customer_category"),
         F.col("branch_code").alias("branch_code"),
+        F.lit(True).alias("_cm_found"),
     )
+    if counts is not None:
+        m = m.join(counts.withColumnRenamed("customer_id", "_cm_id"), "_cm_id", "full_outer")
     j = df.withColumn("_ckey", salted_key("customer_id", "source_account_number")).join(
         m, (F.col("_ckey") == F.col("_cm_id")) & F.col("customer_id").isNotNull(), "left")
-    return j.withColumn("in_master", F.col("_cm_id").isNotNull()).drop("_ckey", "_cm_id")
+    return (j.withColumn("in_master", F.coalesce(F.col("_cm_found"), F.lit(False)))
+             .drop("_ckey", "_cm_id", "_cm_found"))
 
 
 def enrichment_errors(enriched: DataFrame, as_of, execution_id: str | None = None) -> DataFrame:
@@ -173,7 +190,8 @@ def enrichment_errors(enriched: DataFrame, as_of, execution_id: str | None = Non
 def stage_accounts(staged: DataFrame, fx: DataFrame, products: DataFrame, master: DataFrame) -> DataFrame:
     """Cleanse + currency + product + customer enrichment of every staged row."""
     clean = cleanse_accounts(staged)
-    return enrich_customer(enrich_product(convert_currency(clean, fx), products), master) \
+    priced = enrich_product(convert_currency(clean, fx), products)
+    return enrich_customer(priced, master, account_counts(priced)) \
         .withColumn("eligible_for_reporting", F.lit("Y"))
 
 
@@ -212,19 +230,22 @@ def include_accounts(enriched: DataFrame, critical: DataFrame | None = None) ->
 def add_portfolio_metrics(included: DataFrame, bands: Sequence[specs.BandSpec] = specs.VALUE_BANDS,
                           high_value_minimum: Decimal = specs.HIGH_VALUE_MINIMUM) -> DataFrame:
     """Value band and high-value flag per account; product_count =
-    accounts per customer.
+    included accounts per customer.
 
-    product_count is a partial/final aggregate joined back on the customer
-    key rather than a window: a customer holding a huge share of accounts is
-    pre-aggregated map-side, and the join back is split by AQE skew handling,
-    instead of one task buffering the whole customer partition."""
-    counts = included.groupBy("customer_id").agg(F.count(F.lit(1)).cast("int").alias("product_count"))
+    ``stage_accounts`` already attached product_count through the customer
+    join (see ``account_counts``); it counts the rows passing the row-level
+    rules, which equals the portfolio count for every customer that survives
+    the critical-customer anti join (that join removes whole customers).
+    Frames without it get the count by a partial aggregate joined back."""
     out = included.withColumns({
         "portfolio_value_band": band_expr("base_currency_balance", bands),
         "high_value_customer": F.coalesce(F.col("base_currency_balance") >= F.lit(high_value_minimum),
                                           F.lit(False)),
         "eligible_for_reporting": F.lit("Y"),
     })
+    if "product_count" in out.columns:
+        return out
+    counts = included.groupBy("customer_id").agg(F.count(F.lit(1)).cast("int").alias("product_count"))
     return out.join(counts, "customer_id", "left")
 
 

@@ -38,7 +38,12 @@ def build_session(master: str | None = None, app: str = "ledgerlens",
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "8g"))
-    for k, v in (extra or {}).items():
+    extra = dict(extra or {})
+    if (master or "").startswith("local") and "spark.checkpoint.dir" not in extra:
+        # local runs and tests only: a scratch folder stands in for the shared
+        # checkpoint storage a cluster names in spark.checkpoint.dir
+        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
+    for k, v in extra.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -52,13 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     function only reads it.  Where it is unset (local runs, tests) a fresh
     scratch folder is created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name shared storage on a cluster")
     path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
+    sc.setCheckpointDir(path)
     return path
