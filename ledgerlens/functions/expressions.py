@@ -161,3 +161,25 @@ def loose_equal(a: str | Column, b: str | Column, tolerance: Decimal = Decimal("
             .otherwise(F.coalesce(F.upper(F.trim(col_(a))), F.lit(""))
                        == F.coalesce(F.upper(F.trim(col_(b))), F.lit(""))))
 
+
+
+# --- one-pass rule evaluation -------------------------------------------------
+
+def fire(df, keep: Sequence[str], hits: Sequence[tuple[Column, Column]], alias: str = "h"):
+    """One row per (input row, condition that holds), in a single pass.
+
+    ``hits`` are ``(condition, struct)`` pairs.  Rows that fire nothing are
+    dropped first by the OR of all conditions (cheap, codegen'd), the rest
+    are exploded over ``array(when(c1, s1), ...)`` and the non-firing NULL
+    slots filtered out.  ``when`` without ``otherwise`` is NULL for a false
+    or NULL condition, so NULL never fires (SQL WHERE semantics).  Plain
+    explode + IS NOT NULL keeps the work in whole-stage codegen, where a
+    lambda ``filter`` on the array would be interpreted."""
+    any_hit = None
+    for cond, _ in hits:
+        c = F.coalesce(cond, F.lit(False))
+        any_hit = c if any_hit is None else any_hit | c
+    arr = F.array(*[F.when(cond, struct) for cond, struct in hits])
+    return (df.filter(any_hit)
+              .select(*keep, F.explode(arr).alias(alias))
+              .filter(F.col(alias).isNotNull()))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import specs
-from ..functions.expressions import band_expr, blank_to_null, clean_code, timestamp_value
+from ..functions.expressions import band_expr, blank_to_null, clean_code, fire, timestamp_value
 
 ERROR_COLUMNS = (
     "business_date", "source_system_code", "source_account_number", "customer_id",
@@ -53,23 +53,20 @@ def cleanse_accounts(staged: DataFrame) -> DataFrame:
 
 # --- error capture in one pass ---------------------------------------------
 
-def _error(cond: Column, category: str, description: Column | str, customer: Column | None = None) -> Column:
+def _error(cond: Column, category: str, description: Column | str,
+           customer: Column | None = None) -> tuple[Column, Column]:
     desc = F.lit(description) if isinstance(description, str) else description
-    return F.when(cond, F.struct(
+    return cond, F.struct(
         F.lit(category).alias("error_category"),
         desc.alias("error_description"),
         (customer if customer is not None else F.col("customer_id")).alias("customer_id"),
-    ))
-
+    )
 
-def _emit_errors(df: DataFrame, candidates: Sequence[Column], as_of, execution_id: str | None) -> DataFrame:
-    """Turn a list of ``when(cond, struct)`` candidates into error rows.
 
-    ``when`` without ``otherwise`` is NULL when the condition is false or NULL,
-    so NULL conditions never fire (SQL WHERE semantics)."""
-    arr = F.filter(F.array(*candidates), lambda x: x.isNotNull())
-    return (df.select("business_date", "source_system_code", "source_account_number",
-                      F.explode(arr).alias("e"))
+def _emit_errors(df: DataFrame, candidates: Sequence[tuple[Column, Column]], as_of,
+                 execution_id: str | None) -> DataFrame:
+    """Turn ``(condition, struct)`` candidates into error rows in one pass."""
+    return (fire(df, ("business_date", "source_system_code", "source_account_number"), candidates, "e")
               .select(
                   F.col("business_date"), F.col("source_system_code"), F.col("source_account_number"),
                   F.col("e.customer_id").alias("customer_id"),

@@ -3,7 +3,7 @@
 Instead of one scan plus a cross join to a rule row per rule, every row is
 tested against all six rules in a single projection::
 
-    explode(filter(array(when(c1, struct(...)), ..., when(c6, struct(...))), x -> x IS NOT NULL))
+    filter(c1 OR ... OR c6) -> explode(array(when(c1, struct(...)), ...)) -> filter(IS NOT NULL)
 
 then the enabled-rule table (config-sized) and the owner table are broadcast
 and joined on ``rule_code`` / ``business_area``.  There is no cross join and
@@ -12,11 +12,13 @@ no UDF: the SHA-256 over UTF-16-LE content key is a built-in expression.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import specs
-from ..functions.expressions import add_hours, content_hash, date_value, lookup_expr, timestamp_value
+from ..functions.expressions import add_hours, content_hash, fire, lookup_expr, timestamp_value
 from .portfolio import salted_key
 
 STAGING_COLUMNS = (
@@ -41,29 +43,45 @@ def flag_in_master(df: DataFrame, master: DataFrame) -> DataFrame:
     return j.withColumn("in_master", F.col("_m_id").isNotNull()).drop("_ckey", "_m_id")
 
 
-def flag_duplicates(df: DataFrame) -> DataFrame:
+BYTES_PER_DUPLICATE_KEY = 64
+
+
+def broadcast_budget_rows(spark) -> int:
+    """Keys that fit under ``spark.sql.autoBroadcastJoinThreshold`` (0 = never broadcast)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)b?\s*", raw.lower())
+    n = int(m.group(1)) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[m.group(2)] if m else 0
+    return max(n, 0) // BYTES_PER_DUPLICATE_KEY
+
+
+def flag_duplicates(df: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
     """``is_duplicate``: the account number occurs more than once on its date.
 
-    Counted by a partial/final aggregate and joined back: a single account
-    number shared by a large share of rows is combined map-side and its join
-    partition is split by AQE, where a window would put the whole group into
-    one task."""
+    The duplicated keys come from a partial/final aggregate, so an account
+    number shared by a huge share of rows is combined map-side (a window
+    would put that whole group in one task).  The key set is then checked
+    against a size budget with one small job: within budget it is broadcast
+    and the account rows are never shuffled; beyond it the join falls back to
+    a shuffle join, where AQE splits skewed partitions."""
     dups = (df.groupBy("business_date", "source_account_number")
               .agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") > 1)
               .select(F.col("business_date").alias("_d_date"),
                       F.col("source_account_number").alias("_d_acct")))
+    budget = broadcast_budget_rows(df.sparkSession) if broadcast_rows is None else broadcast_rows
+    if budget > 0 and dups.limit(budget + 1).count() <= budget:
+        dups = F.broadcast(dups)
     j = df.join(dups, (F.col("business_date") == F.col("_d_date"))
                 & (F.col("source_account_number") == F.col("_d_acct")), "left")
     return j.withColumn("is_duplicate", F.col("_d_acct").isNotNull()).drop("_d_date", "_d_acct")
 
 
-def _hit(cond: Column, code: str, value: Column) -> Column:
-    return F.when(cond, F.struct(
+def _hit(cond: Column, code: str, value: Column) -> tuple[Column, Column]:
+    return cond, F.struct(
         F.lit(code).alias("rule_code"),
         F.lit(specs.RULE_DESCRIPTIONS[code]).alias("exception_description"),
         value.cast("string").alias("exception_value"),
-    ))
+    )
 
 
 def rule_hits(frame: DataFrame, master: DataFrame | None = None,
@@ -92,11 +110,9 @@ def rule_hits(frame: DataFrame, master: DataFrame | None = None,
              "DQ005", F.col("account_status")),
         _hit(F.col("is_duplicate"), "DQ006", F.col("source_account_number")),
     ]
-    arr = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return (df.select("business_date", "source_system_code", "source_account_number", "customer_id",
-                      F.explode(arr).alias("h"))
-              .select("business_date", "source_system_code", "source_account_number", "customer_id",
-                      "h.rule_code", "h.exception_description", "h.exception_value"))
+    keep = ("business_date", "source_system_code", "source_account_number", "customer_id")
+    return fire(df, keep, hits, "h").select(*keep, "h.rule_code", "h.exception_description",
+                                            "h.exception_value")
 
 
 def attach_rule_config(hits: DataFrame, rules: DataFrame, owners: DataFrame, as_of) -> DataFrame:
