@@ -222,3 +222,13 @@ def executive_dashboard(portfolio: DataFrame, exceptions: DataFrame, as_of) -> D
     ).drop("avg_sla_failure_rate")
 
 
+
+
+def priority_sample(exceptions: DataFrame, n: int) -> DataFrame:
+    """The ``n`` most urgent exceptions, deterministically ordered
+    (priority, due date, content hash) — a top-N report, so the limit is the
+    feature.  Spark plans it as TakeOrderedAndProject: each task keeps its
+    own top n, only those reach the final merge."""
+    return exceptions.orderBy(F.col("priority_level").asc_nulls_first(),
+                              F.col("resolution_due_date").asc_nulls_first(),
+                              F.col("exception_hash").asc_nulls_first()).limit(n)

@@ -291,6 +291,24 @@ def _(spark, sf):
 
 EXC_CHANGE = {"severity_code": "", "exception_description": "", "source_account_number": ""}
 
+ISSUE_KEYS = ["business_date", "customer_id", "exception_category"]
+
+
+@register("upsert_issues")
+def _(spark, sf):
+    """Customer exceptions keyed null-safely on (date, customer, category)."""
+    base, cur = day(spark, sf), day(spark, sf, master_sources=None)
+    return upsert.upsert(base.customer_exceptions, cur.customer_exceptions, ISSUE_KEYS,
+                         {"severity_code": "", "exception_description": "", "business_owner": ""},
+                         [c for c in classify.EXCEPTION_COLUMNS if c not in ISSUE_KEYS + ["assigned_date"]],
+                         null_safe_keys=True)
+
+
+@register("exception_sample")
+def _(spark, sf):
+    """The first 20 exceptions by priority, due date and hash (a top-N report)."""
+    return kpi.priority_sample(day(spark, sf).exceptions, 20)
+
 
 @register("replace_date")
 def _(spark, sf):

@@ -167,10 +167,12 @@ def master_ctes(include=specs.FIRST_PASS_SOURCES, prefix="") -> list[str]:
 
 
 def upsert_sql(name: str, target: str, source: str, keys: list[str], cols: list[str],
-               change: dict[str, str], update: list[str], delete_unmatched: bool, source_cols=None) -> str:
+               change: dict[str, str], update: list[str], delete_unmatched: bool, source_cols=None,
+               null_safe_keys: bool = False) -> str:
     """Keyed conditional upsert as one full outer join (mirror of operators/upsert.py)."""
     source_cols = cols if source_cols is None else source_cols
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    eq = "IS NOT DISTINCT FROM" if null_safe_keys else "="
+    on = " AND ".join(f"t.{k} {eq} s.{k}" for k in keys)
     diff = " OR ".join(f"coalesce(t.{c}, {d}) <> coalesce(s.{c}, {d})" for c, d in change.items()) or "FALSE"
     action = (f"(CASE WHEN s._sp AND t._tp IS NULL THEN 'INSERT' WHEN s._sp AND t._tp AND ({diff}) THEN 'UPDATE' "
               f"WHEN s._sp AND t._tp THEN 'NOOP' ELSE '{'DELETE' if delete_unmatched else 'KEEP'}' END)")
@@ -289,21 +291,21 @@ def rule_ctes(frame: str, out: str, hash_expr: str, esc: str) -> list[str]:
     ]
 
 
-def customer_exception_ctes() -> list[str]:
+def customer_exception_ctes(p: str = "") -> list[str]:
     d = specs.UNCLASSIFIED_DEFAULTS
     cat, text = specs.ERR_MISSING_CUSTOMER_ID
     lvl = "CASE " + " ".join(f"WHEN severity_code = '{s}' THEN {v}" for s, v in specs.ESCALATION_LEVELS) \
         + f" ELSE {specs.ESCALATION_LEVEL_OTHERWISE} END"
     return [
-        f"""dq_issues AS (SELECT DATE '{BD}' AS business_date, source_system_code AS source_system,
+        f"""{p}dq_issues AS (SELECT DATE '{BD}' AS business_date, source_system_code AS source_system,
               CAST(NULL AS VARCHAR) AS customer_id, '{cat}' AS error_category, '{text}' AS error_description,
               TIMESTAMP '{AS_OF}' AS logged_date, CAST(NULL AS VARCHAR) AS execution_id
-            FROM ids_clean WHERE customer_id IS NULL)""",
-        f"""issues_dedup AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+            FROM {p}ids_clean WHERE customer_id IS NULL)""",
+        f"""{p}issues_dedup AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
               PARTITION BY customer_id, error_category, error_description
               ORDER BY logged_date DESC, source_system ASC NULLS LAST, execution_id ASC NULLS LAST) AS rn
-            FROM dq_issues) WHERE rn = 1)""",
-        f"""issues_classified AS (SELECT i.customer_id, i.source_system AS source_system_code,
+            FROM {p}dq_issues) WHERE rn = 1)""",
+        f"""{p}issues_classified AS (SELECT i.customer_id, i.source_system AS source_system_code,
               i.error_category AS exception_category, i.error_description AS exception_description,
               CASE WHEN c.exception_category IS NOT NULL THEN s.severity_code ELSE '{d['severity_code']}' END AS severity_code,
               CASE WHEN c.exception_category IS NOT NULL THEN 'Severity: ' || s.severity_code ELSE '{d['severity_description']}' END AS severity_description,
@@ -314,17 +316,17 @@ def customer_exception_ctes() -> list[str]:
               CASE WHEN c.exception_category IS NOT NULL THEN o.support_team ELSE '{d['support_team']}' END AS support_team,
               i.logged_date, DATE '{BD}' AS business_date, 'OPEN' AS exception_status,
               TIMESTAMP '{AS_OF}' AS assigned_date, 'PENDING' AS resolution_status
-            FROM issues_dedup i LEFT JOIN cfg_categories c ON i.error_category = c.exception_category
+            FROM {p}issues_dedup i LEFT JOIN cfg_categories c ON i.error_category = c.exception_category
             LEFT JOIN cfg_severity s ON c.default_severity = s.severity_code
             LEFT JOIN cfg_owners o ON c.business_area = o.business_area
             WHERE c.exception_category IS NULL OR s.severity_code IS NOT NULL)""",
-        f"""customer_exceptions AS (SELECT business_date, customer_id, source_system_code, exception_category,
+        f"""{p}customer_exceptions AS (SELECT business_date, customer_id, source_system_code, exception_category,
               CASE WHEN severity_code = 'CRITICAL' THEN '[CRITICAL] ' || exception_description ELSE exception_description END AS exception_description,
               severity_code, severity_description, escalation_required, resolution_target_hours, business_area,
               business_owner, support_team, logged_date, exception_status, assigned_date, resolution_status,
               {lvl} AS escalation_level, logged_date + to_hours(resolution_target_hours) AS resolution_due_date
-            FROM issues_classified)""",
-        """critical_customers AS (SELECT DISTINCT customer_id FROM customer_exceptions
+            FROM {p}issues_classified)""",
+        f"""{p}critical_customers AS (SELECT DISTINCT customer_id FROM {p}customer_exceptions
             WHERE exception_status = 'OPEN' AND severity_code = 'CRITICAL' AND customer_id IS NOT NULL)""",
     ]
 
@@ -561,6 +563,15 @@ def _oracle() -> dict[str, str]:
     cur = (allm + upsert_master_ctes("all_") + pipeline_ctes("cur_", master="all_customer_master")
            + kpi_ctes("cur_", "cur_portfolio", "cur_exc"))
     recon = base + cur + recon_ctes()
+    ce_cols = ["business_date", "customer_id", "source_system_code", "exception_category", "exception_description",
+               "severity_code", "severity_description", "escalation_required", "resolution_target_hours",
+               "business_area", "business_owner", "support_team", "logged_date", "exception_status",
+               "assigned_date", "resolution_status", "escalation_level", "resolution_due_date"]
+    ce_keys = ["business_date", "customer_id", "exception_category"]
+    issues_upsert = upsert_sql("issues_upsert", "customer_exceptions", "all_customer_exceptions", ce_keys, ce_cols,
+                               {"severity_code": "''", "exception_description": "''", "business_owner": "''"},
+                               [c for c in ce_cols if c not in ce_keys + ["assigned_date"]], False,
+                               null_safe_keys=True)
     sev_cols = ("count(*) AS total_exceptions, count_if(severity_code = 'CRITICAL') AS critical_exceptions, "
                 "count_if(severity_code = 'HIGH') AS high_exceptions, count_if(severity_code = 'MEDIUM') AS medium_exceptions, "
                 "count_if(severity_code = 'LOW') AS low_exceptions, count_if(escalation_required) AS escalated_exceptions")
@@ -644,6 +655,9 @@ def _oracle() -> dict[str, str]:
         "daily_area": w(base, """SELECT business_date, business_area, count(*) AS exception_count,
             count_if(escalation_required) AS escalated_count FROM exc GROUP BY 1, 2"""),
         "upsert_exceptions": w(base + [exc_upsert], "SELECT * FROM exc_upsert"),
+        "upsert_issues": w(base + allm + customer_exception_ctes("all_") + [issues_upsert], "SELECT * FROM issues_upsert"),
+        "exception_sample": w(base, """SELECT * FROM exc ORDER BY priority_level ASC NULLS FIRST,
+            resolution_due_date ASC NULLS FIRST, exception_hash ASC NULLS FIRST LIMIT 20"""),
         "replace_date": w(base + trend, f"""SELECT * FROM tr_exc WHERE business_date IS DISTINCT FROM DATE '{TREND_DATE}'
             UNION ALL SELECT * FROM tr_exc WHERE business_date = DATE '{TREND_DATE}' AND rule_code = 'DQ004'"""),
         "exec_totals": w(base, "SELECT * FROM exec_totals"),
