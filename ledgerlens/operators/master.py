@@ -64,13 +64,13 @@ def build_customer_master(ids: DataFrame, as_of, defaults: Mapping[str, str] = s
 
 
 def dedupe_counts(ids: DataFrame) -> DataFrame:
-    """Valid rows, rejected rows and duplicates removed, in one aggregate."""
+    """Valid rows, rejected rows and duplicates removed, in one aggregate
+    (the distinct count is planned as a partial aggregate per customer, so a
+    customer with many rows is combined map-side)."""
     c = cleanse_ids(ids)
-    per_customer = c.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").count()
     return c.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(F.col("customer_id").isNull()).alias("rows_rejected"),
-    ).crossJoin(per_customer.agg(
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates_removed"),
-        F.count(F.lit(1)).alias("customers"),
-    ))
+        (F.count(F.col("customer_id")) - F.count_distinct(F.col("customer_id"))).alias("duplicates_removed"),
+        F.count_distinct(F.col("customer_id")).alias("customers"),
+    )

@@ -54,23 +54,35 @@ def broadcast_budget_rows(spark) -> int:
     return max(n, 0) // BYTES_PER_DUPLICATE_KEY
 
 
-def flag_duplicates(df: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def flag_duplicates(df: DataFrame, broadcast_rows: int | None = None,
+                    bound: DataFrame | None = None) -> DataFrame:
     """``is_duplicate``: the account number occurs more than once on its date.
 
     The duplicated keys come from a partial/final aggregate, so an account
     number shared by a huge share of rows is combined map-side (a window
-    would put that whole group in one task).  The key set is then checked
-    against a size budget with one small job: within budget it is broadcast
-    and the account rows are never shuffled; beyond it the join falls back to
-    a shuffle join, where AQE splits skewed partitions."""
+    would put that whole group in one task).
+
+    ``bound`` is a cheap frame of ``(business_date, source_account_number)``
+    whose duplicated keys include those of ``df`` (e.g. the extracted rows
+    ``df`` was derived from one-to-one: a column-pruned scan, no joins).  Its
+    duplicated keys are counted with one small job; within the broadcast
+    budget, ``df``'s key set (a subset) is broadcast and the account rows are
+    never shuffled by account.  Without a bound, or beyond the budget, the
+    join is left to AQE, which broadcasts the key set only after measuring
+    it at run time and otherwise keeps a shuffle join whose skewed
+    partitions it splits.  ``df``'s own upstream is never run twice."""
     dups = (df.groupBy("business_date", "source_account_number")
               .agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") > 1)
               .select(F.col("business_date").alias("_d_date"),
                       F.col("source_account_number").alias("_d_acct")))
     budget = broadcast_budget_rows(df.sparkSession) if broadcast_rows is None else broadcast_rows
-    if budget > 0 and dups.limit(budget + 1).count() <= budget:
-        dups = F.broadcast(dups)
+    if bound is not None and budget > 0:
+        bound_dups = (bound.groupBy("business_date", "source_account_number")
+                           .agg(F.count(F.lit(1)).alias("_n"))
+                           .filter(F.col("_n") > 1))
+        if bound_dups.limit(budget + 1).count() <= budget:
+            dups = F.broadcast(dups)
     j = df.join(dups, (F.col("business_date") == F.col("_d_date"))
                 & (F.col("source_account_number") == F.col("_d_acct")), "left")
     return j.withColumn("is_duplicate", F.col("_d_acct").isNotNull()).drop("_d_date", "_d_acct")
@@ -85,18 +97,20 @@ def _hit(cond: Column, code: str, value: Column) -> tuple[Column, Column]:
 
 
 def rule_hits(frame: DataFrame, master: DataFrame | None = None,
-              base_currency: str = specs.BASE_CURRENCY) -> DataFrame:
+              base_currency: str = specs.BASE_CURRENCY,
+              duplicate_bound: DataFrame | None = None) -> DataFrame:
     """Q1-Q6 in one pass: one row per (account row, fired rule).
 
     Works on the final portfolio or on unfiltered staged rows (D12): DQ003
     uses ``rate_missing`` when the frame has it, else ``exchange_rate IS NULL``.
+    ``duplicate_bound``: see ``flag_duplicates``.
     """
     df = frame
     if "in_master" not in df.columns:
         if master is None:
             raise ValueError("frame has no in_master flag; pass the customer master")
         df = flag_in_master(df, master)
-    df = flag_duplicates(df)
+    df = flag_duplicates(df, bound=duplicate_bound)
     if "rate_missing" in df.columns:
         rate_missing = F.col("rate_missing")
     else:
@@ -152,9 +166,11 @@ def enrich_exceptions(exceptions: DataFrame, severities: DataFrame) -> DataFrame
 
 
 def run_rules(frame: DataFrame, rules: DataFrame, owners: DataFrame, severities: DataFrame,
-              as_of, master: DataFrame | None = None) -> DataFrame:
+              as_of, master: DataFrame | None = None,
+              duplicate_bound: DataFrame | None = None) -> DataFrame:
     """Q0-Q10 end to end: hits -> config -> dedupe -> SLA/hash/queue."""
-    staged = attach_rule_config(rule_hits(frame, master), rules, owners, as_of)
+    staged = attach_rule_config(rule_hits(frame, master, duplicate_bound=duplicate_bound),
+                                rules, owners, as_of)
     return enrich_exceptions(dedupe_exceptions(staged), severities)
 
 

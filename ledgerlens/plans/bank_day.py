@@ -123,6 +123,13 @@ class BankDay:
                                         business_date=None if self.date_range else self.business_date,
                                         load_type=self.load_type, date_range=self.date_range)
 
+    @cached_property
+    def account_keys(self) -> DataFrame:
+        """(date, account) of every extracted row: a column-pruned scan of the
+        sources whose duplicated keys bound those of any frame derived from
+        them one-to-one (the size check of the DQ006 key set runs on it)."""
+        return self.staged.select("business_date", "source_account_number")
+
     @cached_property
     def enriched(self) -> DataFrame:
         return portfolio.stage_accounts(self.staged, self.fx, self.products, self.customer_master)
@@ -153,12 +160,13 @@ class BankDay:
     def exceptions(self) -> DataFrame:
         # the in_master flag of the enrichment join is reused: no second master join
         return rules.run_rules(self.portfolio_rows, self.rules_config, self.owners, self.severities,
-                               self.as_of)
+                               self.as_of, duplicate_bound=self.account_keys)
 
     @cached_property
     def staged_exceptions(self) -> DataFrame:
         """The rule engine on every enriched row, before the inclusion filter."""
-        return rules.run_rules(self.enriched, self.rules_config, self.owners, self.severities, self.as_of)
+        return rules.run_rules(self.enriched, self.rules_config, self.owners, self.severities, self.as_of,
+                               duplicate_bound=self.account_keys)
 
     # --- report (nb 5) --------------------------------------------------------
     @cached_property

@@ -212,7 +212,7 @@ def _(spark, sf):
 def _rule(code: str):
     def fn(spark, sf):
         d = day(spark, sf)
-        hits = rules.rule_hits(d.enriched)
+        hits = rules.rule_hits(d.enriched, duplicate_bound=d.account_keys)
         return rules.attach_rule_config(hits, d.rules_config, d.owners, d.as_of).filter(F.col("rule_code") == code)
     return fn
 
@@ -224,21 +224,21 @@ for _code in ("DQ001", "DQ002", "DQ003", "DQ004", "DQ005", "DQ006"):
 @register("exceptions_union")
 def _(spark, sf):
     d = day(spark, sf)
-    return rules.attach_rule_config(rules.rule_hits(d.portfolio_rows), d.rules_config, d.owners, d.as_of)
+    return rules.attach_rule_config(rules.rule_hits(d.portfolio_rows, duplicate_bound=d.account_keys), d.rules_config, d.owners, d.as_of)
 
 
 @register("exceptions_dedup")
 def _(spark, sf):
     d = day(spark, sf)
     return rules.dedupe_exceptions(
-        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows), d.rules_config, d.owners, d.as_of))
+        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows, duplicate_bound=d.account_keys), d.rules_config, d.owners, d.as_of))
 
 
 @register("exception_counts")
 def _(spark, sf):
     d = day(spark, sf)
     return rules.exception_counts(
-        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows), d.rules_config, d.owners, d.as_of))
+        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows, duplicate_bound=d.account_keys), d.rules_config, d.owners, d.as_of))
 
 
 @register("exceptions")

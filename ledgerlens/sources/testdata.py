@@ -15,6 +15,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BUSINESS_DATE = dt.date(2026, 1, 31)
 AS_OF = dt.datetime(2026, 1, 31, 18, 0, 0)
@@ -34,8 +35,22 @@ def ts_literal(t: dt.datetime) -> Column:
     return F.to_timestamp_ntz(F.lit(t.strftime("%Y-%m-%d %H:%M:%S")))
 
 
+# Parquet schema per path: inference is a Spark job per read, so it runs once
+# per table and later reads declare the schema (as a job over known tables would).
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    return {n: read_parquet(spark, f"{sf_dir}/{n}.parquet") for n in names}
 
 
 def _pick(key: Column, values: list[str]) -> Column:
