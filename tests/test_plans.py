@@ -67,3 +67,25 @@ def test_date_filter_pushed_to_scan(spark, scratch):
                                       include=["LOANS"])
     text = staged._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(snapshot_date), EqualTo(snapshot_date,2026-01-31)]" in text
+
+
+def test_duplicate_keys_broadcast_only_within_budget(day):
+    """The DQ006 key set is broadcast after a size check on the extracted keys
+    (a pruned scan); beyond the budget the join is left to AQE."""
+    from ledgerlens.operators import rules
+    frame = day.enriched
+    within = plan(rules.flag_duplicates(frame, bound=day.account_keys))
+    assert re.search(r"BroadcastHashJoin \[business_date#\d+, source_account_number#\d+\], \[_d_date", within)
+    beyond = rules.flag_duplicates(frame, broadcast_rows=0, bound=day.account_keys)
+    flagged = rules.flag_duplicates(frame, bound=day.account_keys)
+
+    def hints(df):
+        return df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+    assert hints(beyond) == hints(flagged) - 1
+    assert flagged.filter("is_duplicate").count() == beyond.filter("is_duplicate").count() > 0
+
+
+def test_master_dedupe_counts_is_one_aggregate(day):
+    from ledgerlens.operators import master
+    p = plan(master.dedupe_counts(day.customer_ids))
+    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p and "Join" not in p
