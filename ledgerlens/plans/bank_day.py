@@ -130,6 +130,13 @@ class BankDay:
         them one-to-one (the size check of the DQ006 key set runs on it)."""
         return self.staged.select("business_date", "source_account_number")
 
+    def duplicate_bound(self, name: str) -> DataFrame:
+        """Keys for the DQ006 size check of frame ``name``: the frame itself
+        once it is checkpointed (a read of stored rows), else the extracted keys."""
+        if name in self.__dict__.get("_checkpointed", ()):
+            return getattr(self, name).select("business_date", "source_account_number")
+        return self.account_keys
+
     @cached_property
     def enriched(self) -> DataFrame:
         return portfolio.stage_accounts(self.staged, self.fx, self.products, self.customer_master)
@@ -160,13 +167,13 @@ class BankDay:
     def exceptions(self) -> DataFrame:
         # the in_master flag of the enrichment join is reused: no second master join
         return rules.run_rules(self.portfolio_rows, self.rules_config, self.owners, self.severities,
-                               self.as_of, duplicate_bound=self.account_keys)
+                               self.as_of, duplicate_bound=self.duplicate_bound("portfolio_rows"))
 
     @cached_property
     def staged_exceptions(self) -> DataFrame:
         """The rule engine on every enriched row, before the inclusion filter."""
         return rules.run_rules(self.enriched, self.rules_config, self.owners, self.severities, self.as_of,
-                               duplicate_bound=self.account_keys)
+                               duplicate_bound=self.duplicate_bound("enriched"))
 
     # --- report (nb 5) --------------------------------------------------------
     @cached_property
@@ -191,6 +198,7 @@ class BankDay:
                     self.__dict__.pop(dep, None)
             self.__dict__[n] = df
             done.add(n)
+            self.__dict__["_checkpointed"] = frozenset(done)
         return self
 
 
