@@ -25,6 +25,7 @@ no hot task.
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ledgerlens.llm.textual import CACHE_ENTRIES, is_plain, library_tokenizer, slices
+from ledgerlens.llm.textual import WORD_PIECES, Cache, byte_symbols, is_plain, library_tokenizer
 
 DICT_DOCS = 1_000
 DICT_SAMPLE_BYTES = 32_768
@@ -52,29 +53,27 @@ _BLOCKS = ("part int, block int, dict_sha256 string, first_id long, last_id long
 
 class LibraryIds:
     """Ids of whole texts by the tokenizers library.  White-space separated
-    chunks never share a token, so each distinct chunk is encoded once."""
+    chunks never share a token, so the library's model encodes each distinct
+    chunk once; texts that are not plain go through the library whole."""
 
     def __init__(self, path: str):
-        self.tok, self.known = library_tokenizer(path), {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
-        known, plans, fresh = self.known, [], set()
-        for text in texts:
-            if "<|" in text or not is_plain(text):
-                plans.append(self._ids([text])[0])
-                continue
-            own = text.lower().split()
-            fresh.update(set(own).difference(known))
-            plans.append(own)
-        new = list(fresh)
-        known.update(zip(new, self._ids(new)))
-        return [p if isinstance(p, bytes) else b"".join(map(known.__getitem__, p)) for p in plans]
+        self.tok, self.symbols = library_tokenizer(path), byte_symbols()
+        self.model = self.tok.model
+        self.chunk_ids = Cache(self._chunk)
+
+    def _piece(self, piece: str) -> list[int]:
+        spelled = piece if piece.isascii() else "".join(self.symbols[b] for b in piece.encode("utf-8"))
+        return [t.id for t in self.model.tokenize(spelled)]
+
+    def _chunk(self, chunk: str) -> bytes:
+        pieces = [chunk] if chunk.isalpha() else WORD_PIECES.findall(chunk)
+        ids = [i for p in pieces for i in self._piece(p)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: str) -> bytes:
+        if "<|" not in text and is_plain(text):
+            return b"".join(map(self.chunk_ids.__getitem__, text.lower().split()))
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -94,9 +93,11 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
     def head(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = library_ids(path)
         for batch in batches:
-            yield pd.Series([x[:DICT_SAMPLE_BYTES] for part in slices(batch) for x in own.encode(part)], dtype=object)
+            yield pd.Series([own.encode(t or "")[:DICT_SAMPLE_BYTES] for t in batch], dtype=object)
 
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)) < share).select(head("text").alias("ids"))
+    # a repeated row is picked as often as it occurs, hence the limit
+    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(slots)) < share).limit(4 * DICT_DOCS).select(
+        head("text").alias("ids"))
     samples = sorted(bytes(r.ids) for r in picked.collect() if r.ids)
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
@@ -137,18 +138,16 @@ def write_id_files(docs: DataFrame, path: str, out_dir: str, end_id: int = 1, id
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], names=names)
 
         for batch in batches:
-            keys = iter(batch.column(0).to_pylist())
-            for texts in slices(batch.column(1).to_pylist()):
-                for encoded in own.encode(texts):
-                    encoded += end
-                    ids.append(next(keys))
-                    counts.append(len(encoded) // 4)
-                    frames.append(squeeze.compress(encoded))
-                    held += len(frames[-1])
-                    if held >= BLOCK_BYTES or len(ids) >= BLOCK_DOCS:
-                        yield row()
-                        block, before = block + 1, before + sum(counts)
-                        ids, counts, frames, held = [], [], [], 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                encoded = own.encode(text or "") + end
+                ids.append(key)
+                counts.append(len(encoded) // 4)
+                frames.append(squeeze.compress(encoded))
+                held += len(frames[-1])
+                if held >= BLOCK_BYTES or len(ids) >= BLOCK_DOCS:
+                    yield row()
+                    block, before = block + 1, before + sum(counts)
+                    ids, counts, frames, held = [], [], [], 0
         if ids:
             yield row()
 

@@ -47,15 +47,19 @@ def slices(texts: Iterable[str | None], chars: int = SLICE_CHARS) -> Iterator[li
 
 
 class Cache(dict):
-    """``make(key)`` on a miss; emptied when it reaches its bound."""
+    """``make(key)`` on a miss.  When it reaches its bound the entries become the
+    old generation, from which those still in use come back without being made again."""
 
     def __init__(self, make, bound: int = CACHE_ENTRIES):
         super().__init__()
-        self.make, self.bound = make, bound
+        self.make, self.bound, self.old = make, bound, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.bound:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
