@@ -1,7 +1,7 @@
 """Toxicity: a counterfactual-regularised linear classifier.
 
-A text's inputs are the presence of its words and of their four- and
-five-letter beginnings.  The classifier is a sparse logistic regression on a
+A text's inputs are the presence of its words and of their beginnings of
+four and five letters.  The classifier is a sparse logistic regression on a
 bounded sample of labelled rows.  For every sampled sentence that mentions an
 identity term the term is swapped for the others of its group; the squared
 difference of the two logits is added to the loss, so a mention of a group
@@ -45,13 +45,17 @@ IDENTITY_TERMS = (
 _GROUP = {term: group for group in IDENTITY_TERMS for term in group}
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
+#: Lengths of the word beginnings that are inputs.
+STEMS = (4, 5)
+#: Soft threshold, times sqrt(ln inputs / documents): rarer evidence needs more of it in a smaller sample.
+SPARSE = 0.02
 #: Inputs seen in fewer sampled documents than this are not learnt.
 LEAST_DOCS = 3
 
 
 def _keys(word: str) -> list[int]:
     """The word and, where it is longer, its beginnings, as 64-bit hashes."""
-    parts = {f"w{word}", *(f"{n}{word[:n]}" for n in (4, 5) if len(word) >= n)}
+    parts = {f"w{word}", *(f"{n}{word[:n]}" for n in STEMS if len(word) >= n)}
     return [xxhash.xxh3_64_intdigest(p.encode("utf-8")) for p in parts]
 
 
@@ -101,9 +105,9 @@ class Linear:
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], fairness: float = 1.0,
-        epochs: int = 15, batch: int = 128, rate: float = 0.1, sparse: float = 2e-4, seed: int = 7) -> Linear:
+        epochs: int = 15, batch: int = 128, rate: float = 0.1, seed: int = 7) -> Linear:
     """AdaGrad on the logistic loss plus ``fairness`` times the mean squared logit
-    change over the swapped pairs, with soft thresholding by ``sparse``."""
+    change over the swapped pairs, with soft thresholding (``SPARSE``)."""
     if not len(rows):
         return Linear()
     every, docs = np.unique(np.concatenate(rows), return_counts=True)
@@ -111,6 +115,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.
     named = [k for a, b in pairs for k in np.setxor1d(a, b).tolist()]
     keys = np.union1d(every[docs >= min(LEAST_DOCS, len(rows))], np.array(named, dtype=np.uint64))
     m = Linear(0.0, keys, np.zeros(len(keys)))
+    sparse = SPARSE * np.sqrt(np.log(2 + len(keys)) / len(rows))
     at = [m.of(r) for r in rows]
     change = [(m.of(np.setdiff1d(a, b)), m.of(np.setdiff1d(b, a))) for a, b in pairs]
     rng, seen, seen_bias = np.random.default_rng(seed), np.full(len(keys), 1e-6), 1e-6
