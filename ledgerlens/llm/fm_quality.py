@@ -1,7 +1,7 @@
 """Quality classifier: a factorisation machine over hashed words, structure
 statistics and the recorded length.
 
-Words are hashed to ``BUCKETS`` counts of unit length; fifteen statistics of
+Words are hashed to ``BUCKETS`` counts of unit length; seventeen statistics of
 the text follow as dense inputs.  Pairwise interactions are products of factor
 vectors; the sum over all pairs is taken in linear time as half of the square
 of the sum less the sum of the squares, factor by factor.  Fitted on a bounded
@@ -30,7 +30,7 @@ from ledgerlens.llm.textual import Cache, slices
 
 BUCKETS = 1 << 16
 FACTORS = 8
-STATS = 15
+STATS = 17
 _RUNS = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 
 #: chunk -> the buckets of its runs of letters and of other characters, as 32-bit integers
@@ -41,7 +41,7 @@ _UPPER, _LOWER, _DIGIT = (np.arange(lo, hi + 1) for lo, hi in ((65, 90), (97, 12
 _SYMBOLS = np.frombuffer(b"#*$%&|<>~^=+@\\/_", dtype=np.uint8)
 
 
-def _statistics(text: str, tokens: int, distinct: int, recorded: float) -> list[float]:
+def _statistics(text: str, tokens: int, distinct: int, most: int, echoes: int, recorded: float) -> list[float]:
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
     seen = np.bincount(raw, minlength=256)
     size, chars = max(1, len(raw)), max(1, len(text))
@@ -53,7 +53,8 @@ def _statistics(text: str, tokens: int, distinct: int, recorded: float) -> list[
         seen[_SYMBOLS].sum() / size * 4, seen[_DIGIT].sum() / size * 4, upper / max(1, upper + lower),
         seen[124] / words, seen[33] / words, (seen[32] + seen[10]) / size * 2, distinct / words,
         1 - len(set(lines)) / len(lines), np.log1p(len(lines)) / 8, np.log1p(words / len(lines)) / 8,
-        (seen[46] + seen[44]) / words, (seen[128:].sum()) / size * 2,
+        (seen[46] + seen[44]) / words, seen[128:].sum() / size * 2,
+        most / words, echoes / words,
     ]
 
 
@@ -70,12 +71,17 @@ def inputs_of(texts: list[str], recorded: list[float]) -> Inputs:
     blobs = [b"".join(map(_buckets.__getitem__, t.lower().split())) for t in texts]
     sizes = np.array([len(b) // 4 for b in blobs], dtype=np.int64)
     flat = np.frombuffer(b"".join(blobs), dtype="<i4").astype(np.int64)
-    keys, counts = np.unique(np.repeat(np.arange(len(texts)), sizes) * BUCKETS + flat, return_counts=True)
+    placed = np.repeat(np.arange(len(texts)), sizes) * BUCKETS + flat
+    keys, counts = np.unique(placed, return_counts=True)
     row, ids = keys // BUCKETS, keys % BUCKETS
     norm = np.sqrt(np.bincount(row, weights=counts.astype(float) ** 2, minlength=len(texts)))
     distinct = np.bincount(row, minlength=len(texts))
-    dense = np.array([_statistics(t, int(n), int(d), r) for t, n, d, r in zip(texts, sizes, distinct, recorded)],
-                     dtype=np.float32).reshape(len(texts), STATS)
+    most = np.zeros(len(texts), dtype=np.int64)
+    np.maximum.at(most, row, counts)
+    # tokens like the one before
+    echoes = np.bincount(placed[1:][placed[1:] == placed[:-1]] // BUCKETS, minlength=len(texts))
+    dense = np.array([_statistics(t, *map(int, n), r) for t, n, r in zip(
+        texts, zip(sizes, distinct, most, echoes), recorded)], dtype=np.float32).reshape(len(texts), STATS)
     return Inputs(row, ids, (counts / norm[row]).astype(np.float32), dense)
 
 
