@@ -204,7 +204,8 @@ def fetch_document(spark: SparkSession, out_dir: str, doc_id: int) -> list[np.nd
     known = _dictionary(raw)
     expand = zstandard.ZstdDecompressor(dict_data=known) if known else zstandard.ZstdDecompressor()
     blocks = spark.read.schema(_BLOCKS).parquet(f"{out_dir}/blocks")
-    hits = blocks.where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    # null ids sort first, so a block may start with them
+    hits = blocks.where((F.col("first_id").isNull() | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id))
     at = F.posexplode("doc_ids").alias("at", "id")
     rows = hits.select("part", "block", "offsets", "frames", at).where(F.col("id") == doc_id).select(
         "part", "block", "at", F.expr("substring(frames, int(offsets[at]) + 1, int(offsets[at + 1] - offsets[at]))")

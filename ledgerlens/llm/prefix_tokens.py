@@ -153,7 +153,7 @@ class PrefixCounter:
         """Tokens of the pre-token's prefixes of 0, 1, ... code points."""
         piece = norm[span[0]:span[1]]
         table = self.closed(spelled)
-        if piece[0] == "'" and len(piece) == 3 and WORD_PIECES.fullmatch(piece[1:]):
+        if piece in ("'re", "'ve", "'ll"):
             # a contraction cut after one letter is an apostrophe and a letter
             return [0, table[1], table[1] + self.piece_total[piece[1]], table[3]]
         ends = accumulate(len(c.encode("utf-8")) for c in piece)

@@ -172,7 +172,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
                  text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, ``secret_spans`` (start, ord: place in ``rules``, end; sorted) and the columns in ``keep``."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                      F.struct(*(F.col(f"`{c}`") for c in keep), F.lit(0).alias("_")).alias("kept"))
+                      (F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(None)).alias("kept"))
     keyed = own.withColumn("key", row_key(F.col("text")))
     hits = candidates(trigram_index(keyed, rules), rules).select(
         F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key"), "kinds")
