@@ -130,14 +130,14 @@ def judge(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     ratios = F.broadcast(llr_table(docs, text_col))
     held = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     stats = base_rules(docs, id_col, text_col).select(
-        F.monotonically_increasing_id().alias("row"), F.struct(*held).alias("held"),
-        tokens_of(F.col("text")).alias("tokens"))
+        F.monotonically_increasing_id().alias("row"), *held, tokens_of(F.col("text")).alias("tokens"))
+    # numbers only, so that the sums stay in a hash aggregate and leave each task as one row a document
     scored = _ngrams(stats).join(ratios, "bucket", "left").groupBy("row").agg(
-        F.first("held").alias("held"), F.sum(F.coalesce("llr", F.lit(0))).alias("total"),
+        *(F.first(c).alias(c) for c in held), F.sum(F.coalesce("llr", F.lit(0))).alias("total"),
         F.sum((F.col("bucket") >= 0).cast("long")).alias("grams"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     # total / grams >= threshold, in whole numbers
     passes = F.col("total") >= F.lit(round(threshold * _UNIT)) * F.col("grams")
-    return scored.select("held.*", "total", "grams").select(
+    return scored.select(
         *held, failed.alias("base_failed"), (~failed & passes).alias("kept"),
         F.when(F.col("grams") > 0, F.col("total") / F.col("grams") / _UNIT).otherwise(0.0).alias("llr_score"))
