@@ -47,17 +47,41 @@ def exception_totals(exceptions: DataFrame) -> DataFrame:
     )
 
 
+def account_totals(portfolio: DataFrame) -> DataFrame:
+    return portfolio.groupBy(D).agg(F.count(F.lit(1)).alias("total_accounts"),
+                                    F.countDistinct("customer_id").alias("total_customers"))
+
+
+_COUNTS = ("total_accounts", "total_customers", "total_exceptions", "critical_exceptions", "high_exceptions",
+           "medium_exceptions", "low_exceptions")
+
+
+def _executive(accounts: DataFrame, totals: DataFrame) -> DataFrame:
+    j = _join_on_date(accounts, totals)
+    rest = [c for c in totals.columns if c not in (D, *_COUNTS)]
+    j = j.select(D, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in _COUNTS], *rest)
+    return j.withColumn("exception_rate", percent("total_exceptions", "total_accounts"))
+
+
 def executive_totals(portfolio: DataFrame, exceptions: DataFrame) -> DataFrame:
     """K1: accounts, customers, exceptions by severity and the exception rate.
 
     Rate = exceptions / accounts (not "accounts with an exception")."""
-    p = portfolio.groupBy(D).agg(F.count(F.lit(1)).alias("total_accounts"),
-                                 F.countDistinct("customer_id").alias("total_customers"))
-    j = _join_on_date(p, exception_totals(exceptions))
-    counts = ["total_accounts", "total_customers", "total_exceptions", "critical_exceptions",
-              "high_exceptions", "medium_exceptions", "low_exceptions"]
-    j = j.select(D, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts])
-    return j.withColumn("exception_rate", percent("total_exceptions", "total_accounts"))
+    return _executive(account_totals(portfolio), exception_totals(exceptions))
+
+
+def report_totals(portfolio: DataFrame, exceptions: DataFrame, as_of) -> DataFrame:
+    """K1 and the average SLA failure rate from one aggregate of the exceptions
+    per (date, severity), rolled up to the date."""
+    n = F.col("total_exceptions")
+
+    def of(severity: str) -> Column:
+        return F.sum(F.when(F.col("severity_code") == severity, n).otherwise(0)).alias(f"{severity.lower()}_exceptions")
+
+    totals = sla_performance(exceptions, as_of).groupBy(D).agg(
+        F.sum(n).alias("total_exceptions"), *map(of, ("CRITICAL", "HIGH", "MEDIUM", "LOW")),
+        F.avg("sla_failure_rate").alias("avg_sla_failure_rate"))
+    return _executive(account_totals(portfolio), totals)
 
 
 def health_status(totals: DataFrame) -> DataFrame:
@@ -131,12 +155,16 @@ def owner_queue(exceptions: DataFrame) -> DataFrame:
 
 def branch_quality(portfolio: DataFrame, exceptions: DataFrame) -> DataFrame:
     """K7: accounts per branch (NULL branch kept as its own group, D23) and the
-    exceptions of those accounts, matched on (date, source, account)."""
+    exceptions of those accounts.  Exceptions that carry their account's
+    ``branch_code`` are only grouped; others are matched on (date, source,
+    account) first."""
     acct = portfolio.groupBy(D, "branch_code").agg(F.count(F.lit(1)).alias("total_accounts"))
-    keys = portfolio.select(D, "source_system_code", "source_account_number", "branch_code").distinct()
-    ex = (exceptions.select(D, "source_system_code", "source_account_number")
-          .join(keys, [D, "source_system_code", "source_account_number"], "inner")
-          .groupBy(D, "branch_code").agg(F.count(F.lit(1)).alias("exceptions")))
+    own = exceptions
+    if "branch_code" not in own.columns:
+        keys = portfolio.select(D, "source_system_code", "source_account_number", "branch_code").distinct()
+        own = exceptions.select(D, "source_system_code", "source_account_number").join(
+            keys, [D, "source_system_code", "source_account_number"], "inner")
+    ex = own.groupBy(D, "branch_code").agg(F.count(F.lit(1)).alias("exceptions"))
     a, e = acct.alias("a"), ex.alias("e")
     j = a.join(e, (F.col(f"a.{D}") == F.col(f"e.{D}"))
                & F.col("a.branch_code").eqNullSafe(F.col("e.branch_code")), "left")
@@ -170,22 +198,15 @@ def trend(exceptions: DataFrame, business_date, days: int = 30) -> DataFrame:
 
 # --- K10-K11 scorecard -------------------------------------------------------
 
-def sla_compliance(sla: DataFrame) -> DataFrame:
-    """Average (unweighted, A7) failure rate over severities -> compliance."""
-    return sla.groupBy(D).agg(F.avg("sla_failure_rate").alias("avg_sla_failure_rate"))
-
-
 def scorecard(portfolio: DataFrame, exceptions: DataFrame, as_of,
               thresholds: Sequence[specs.ThresholdSpec] = specs.THRESHOLDS) -> DataFrame:
     """Four (business_date, kpi_name, kpi_value, kpi_status) rows per day.
 
-    One plan: totals and SLA aggregates joined on the date and expanded by
+    One plan: totals and SLA rolled up from one aggregate and expanded by
     ``inline(array(struct ...))``; thresholds come from the threshold rows.
     No exceptions -> SLA 100 GREEN (D17); SLA status on the unrounded
     failure rate (D20)."""
-    h = health_status(executive_totals(portfolio, exceptions))
-    s = sla_compliance(sla_performance(exceptions, as_of))
-    j = h.join(s, D, "left")
+    j = health_status(report_totals(portfolio, exceptions, as_of))
     fail = F.coalesce(F.col("avg_sla_failure_rate"), F.lit(0))
     compliance = F.round(F.lit(100) - fail, 2).cast("decimal(10,2)")
     t_rate, t_crit, t_sla = (_threshold("Exception Rate", thresholds),
@@ -214,16 +235,13 @@ def scorecard(portfolio: DataFrame, exceptions: DataFrame, as_of,
 
 def executive_dashboard(portfolio: DataFrame, exceptions: DataFrame, as_of) -> DataFrame:
     """The dashboard metric row per day."""
-    h = health_status(executive_totals(portfolio, exceptions))
-    s = sla_compliance(sla_performance(exceptions, as_of))
-    return h.join(s, D, "left").withColumn(
+    return health_status(report_totals(portfolio, exceptions, as_of)).withColumn(
         "sla_compliance",
         F.round(F.lit(100) - F.coalesce(F.col("avg_sla_failure_rate"), F.lit(0)), 2).cast("decimal(10,2)")
     ).drop("avg_sla_failure_rate")
 
 
 
-
 def priority_sample(exceptions: DataFrame, n: int) -> DataFrame:
     """The ``n`` most urgent exceptions, deterministically ordered
     (priority, due date, content hash) — a top-N report, so the limit is the

@@ -2,9 +2,10 @@
 
 Plan shape for one business date::
 
-    Union(Project(Filter(Scan)))            one scan per source, filters pushed down
+    Union(Project(Filter(Scan)))            filters pushed down; cards join two tables
       -> Project (cleanse)                  whole-stage codegen
       -> BroadcastHashJoin fx, product      config-sized sides, explicit broadcast
+      == priced accounts: read twice below, so a run stores them once ==
       -> SortMergeJoin master (+ per-customer account counts from a partial aggregate)
                                             keyed by customer; NULL keys salted
       -> Filter (inclusion) -> anti join    critical customers (AQE may broadcast)
@@ -18,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import specs
@@ -137,13 +138,17 @@ def salted_key(key: str, spread: str, buckets: int = 4096) -> Column:
 
 
 def account_counts(df: DataFrame) -> DataFrame:
-    """Accounts per customer that pass the row-level inclusion rules.
+    """Accounts per customer and date that pass the row-level inclusion rules
+    (R11), as one row per customer with a map date -> count.
 
     A partial/final aggregate: map tasks combine per customer before the
     shuffle, so a customer holding a large share of accounts costs one row
-    per task, not one task holding all of them."""
-    return (df.filter(inclusion_flag()).groupBy("customer_id")
-              .agg(F.count(F.lit(1)).cast("int").alias("product_count")))
+    per task, not one task holding all of them.  The map has one entry per
+    date of the run."""
+    daily = df.filter(inclusion_flag()).groupBy("customer_id", "business_date").agg(
+        F.count(F.lit(1)).cast("int").alias("_n"))
+    return daily.groupBy("customer_id").agg(F.map_from_entries(F.collect_list(
+        F.struct("business_date", "_n"))).alias("_daily_counts"))
 
 
 def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None = None) -> DataFrame:
@@ -167,6 +172,10 @@ def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None =
         m = m.join(counts.withColumnRenamed("customer_id", "_cm_id"), "_cm_id", "full_outer")
     j = df.withColumn("_ckey", salted_key("customer_id", "source_account_number")).join(
         m, (F.col("_ckey") == F.col("_cm_id")) & F.col("customer_id").isNotNull(), "left")
+    if counts is not None:
+        # NULL where the customer has no included account on the row's date
+        j = j.withColumn("product_count", F.try_element_at("_daily_counts", F.col("business_date"))) \
+             .drop("_daily_counts")
     return (j.withColumn("in_master", F.coalesce(F.col("_cm_found"), F.lit(False)))
              .drop("_ckey", "_cm_id", "_cm_found"))
 
@@ -184,14 +193,22 @@ def enrichment_errors(enriched: DataFrame, as_of, execution_id: str | None = Non
     return _emit_errors(enriched, cands, as_of, execution_id)
 
 
-def stage_accounts(staged: DataFrame, fx: DataFrame, products: DataFrame, master: DataFrame) -> DataFrame:
-    """Cleanse + currency + product + customer enrichment of every staged row."""
-    clean = cleanse_accounts(staged)
-    priced = enrich_product(convert_currency(clean, fx), products)
+def price_accounts(staged: DataFrame, fx: DataFrame, products: DataFrame) -> DataFrame:
+    """Cleanse + currency + product enrichment: one row per staged row, no shuffle."""
+    return enrich_product(convert_currency(cleanse_accounts(staged), fx), products)
+
+
+def enrich_priced(priced: DataFrame, master: DataFrame) -> DataFrame:
+    """Customer enrichment and account counts; reads ``priced`` twice."""
     return enrich_customer(priced, master, account_counts(priced)) \
         .withColumn("eligible_for_reporting", F.lit("Y"))
 
 
+def stage_accounts(staged: DataFrame, fx: DataFrame, products: DataFrame, master: DataFrame) -> DataFrame:
+    """Cleanse + currency + product + customer enrichment of every staged row."""
+    return enrich_priced(price_accounts(staged, fx, products), master)
+
+
 # --- R7-R11 ----------------------------------------------------------------
 
 def inclusion_flag() -> Column:
@@ -227,7 +244,7 @@ def include_accounts(enriched: DataFrame, critical: DataFrame | None = None) ->
 def add_portfolio_metrics(included: DataFrame, bands: Sequence[specs.BandSpec] = specs.VALUE_BANDS,
                           high_value_minimum: Decimal = specs.HIGH_VALUE_MINIMUM) -> DataFrame:
     """Value band and high-value flag per account; product_count =
-    included accounts per customer.
+    included accounts per customer and date.
 
     ``stage_accounts`` already attached product_count through the customer
     join (see ``account_counts``); it counts the rows passing the row-level
@@ -242,8 +259,19 @@ def add_portfolio_metrics(included: DataFrame, bands: Sequence[specs.BandSpec] =
     })
     if "product_count" in out.columns:
         return out
-    counts = included.groupBy("customer_id").agg(F.count(F.lit(1)).cast("int").alias("product_count"))
-    return out.join(counts, "customer_id", "left")
+    counts = included.groupBy("business_date", "customer_id").agg(
+        F.count(F.lit(1)).cast("int").alias("product_count"))
+    return out.join(counts, ["business_date", "customer_id"], "left")
+
+
+def one_row_per_account(portfolio: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the largest balance, ties by the remaining columns in
+    order.  Accounts that occur more than once are reported by DQ006; a keyed
+    table can hold one of their rows only."""
+    rest = [c for c in PORTFOLIO_COLUMNS if c not in (*keys, "account_balance")]
+    w = Window.partitionBy(*keys).orderBy(F.col("account_balance").desc_nulls_last(),
+                                          *(F.col(c).asc_nulls_last() for c in rest))
+    return portfolio.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def to_portfolio(df: DataFrame) -> DataFrame:
@@ -257,16 +285,10 @@ def negative_portfolio_errors(portfolio: DataFrame, as_of, execution_id: str | N
                                            *specs.ERR_NEGATIVE_PORTFOLIO)], as_of, execution_id)
 
 
-def build_portfolio(staged: DataFrame, fx: DataFrame, products: DataFrame, master: DataFrame,
-                    critical: DataFrame | None = None) -> DataFrame:
-    """R1-R11 end to end for already-extracted rows; returns the portfolio (lazy)."""
-    enriched = stage_accounts(staged, fx, products, master)
-    return to_portfolio(add_portfolio_metrics(include_accounts(enriched, critical)))
-
-
 def portfolio_errors(staged: DataFrame, enriched: DataFrame, portfolio: DataFrame, as_of,
                      execution_id: str | None = None) -> DataFrame:
-    """All error rows of a portfolio run (R3 + R4-R6 + R12)."""
+    """All error rows of a portfolio run (R3 + R4-R6 + R12).  ``staged`` may be
+    the priced rows: cleansing twice changes nothing."""
     clean = cleanse_accounts(staged)
     return (raw_errors(clean, as_of, execution_id)
             .unionByName(enrichment_errors(enriched, as_of, execution_id))

@@ -12,7 +12,7 @@ no UDF: the SHA-256 over UTF-16-LE content key is a built-in expression.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,46 +43,20 @@ def flag_in_master(df: DataFrame, master: DataFrame) -> DataFrame:
     return j.withColumn("in_master", F.col("_m_id").isNotNull()).drop("_ckey", "_m_id")
 
 
-BYTES_PER_DUPLICATE_KEY = 64
-
-
-def broadcast_budget_rows(spark) -> int:
-    """Keys that fit under ``spark.sql.autoBroadcastJoinThreshold`` (0 = never broadcast)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)b?\s*", raw.lower())
-    n = int(m.group(1)) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[m.group(2)] if m else 0
-    return max(n, 0) // BYTES_PER_DUPLICATE_KEY
-
-
-def flag_duplicates(df: DataFrame, broadcast_rows: int | None = None,
-                    bound: DataFrame | None = None) -> DataFrame:
+def flag_duplicates(df: DataFrame) -> DataFrame:
     """``is_duplicate``: the account number occurs more than once on its date.
 
     The duplicated keys come from a partial/final aggregate, so an account
     number shared by a huge share of rows is combined map-side (a window
-    would put that whole group in one task).
-
-    ``bound`` is a cheap frame of ``(business_date, source_account_number)``
-    whose duplicated keys include those of ``df`` (e.g. the extracted rows
-    ``df`` was derived from one-to-one: a column-pruned scan, no joins).  Its
-    duplicated keys are counted with one small job; within the broadcast
-    budget, ``df``'s key set (a subset) is broadcast and the account rows are
-    never shuffled by account.  Without a bound, or beyond the budget, the
-    join is left to AQE, which broadcasts the key set only after measuring
-    it at run time and otherwise keeps a shuffle join whose skewed
-    partitions it splits.  ``df``'s own upstream is never run twice."""
+    would put that whole group in one task).  The join back is left to AQE,
+    which measures the key set at run time: broadcast if small, otherwise a
+    shuffle join whose skewed partitions it splits.  ``df`` is read twice, so
+    a run passes stored rows or rows derived from stored ones."""
     dups = (df.groupBy("business_date", "source_account_number")
               .agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") > 1)
               .select(F.col("business_date").alias("_d_date"),
                       F.col("source_account_number").alias("_d_acct")))
-    budget = broadcast_budget_rows(df.sparkSession) if broadcast_rows is None else broadcast_rows
-    if bound is not None and budget > 0:
-        bound_dups = (bound.groupBy("business_date", "source_account_number")
-                           .agg(F.count(F.lit(1)).alias("_n"))
-                           .filter(F.col("_n") > 1))
-        if bound_dups.limit(budget + 1).count() <= budget:
-            dups = F.broadcast(dups)
     j = df.join(dups, (F.col("business_date") == F.col("_d_date"))
                 & (F.col("source_account_number") == F.col("_d_acct")), "left")
     return j.withColumn("is_duplicate", F.col("_d_acct").isNotNull()).drop("_d_date", "_d_acct")
@@ -96,40 +70,51 @@ def _hit(cond: Column, code: str, value: Column) -> tuple[Column, Column]:
     )
 
 
+KEYS = ("business_date", "source_system_code", "source_account_number", "customer_id")
+
+
 def rule_hits(frame: DataFrame, master: DataFrame | None = None,
               base_currency: str = specs.BASE_CURRENCY,
-              duplicate_bound: DataFrame | None = None) -> DataFrame:
+              codes: Sequence[str] | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Q1-Q6 in one pass: one row per (account row, fired rule).
 
     Works on the final portfolio or on unfiltered staged rows (D12): DQ003
     uses ``rate_missing`` when the frame has it, else ``exchange_rate IS NULL``.
-    ``duplicate_bound``: see ``flag_duplicates``.
+    Only the rules in ``codes`` (default: all) are evaluated, with only the
+    flags they need; ``carry`` names frame columns to keep on each hit.
     """
+    wanted = [r.code for r in specs.RULES] if codes is None else list(codes)
     df = frame
-    if "in_master" not in df.columns:
+    if "DQ001" in wanted and "in_master" not in df.columns:
         if master is None:
             raise ValueError("frame has no in_master flag; pass the customer master")
         df = flag_in_master(df, master)
-    df = flag_duplicates(df, bound=duplicate_bound)
+    if "DQ006" in wanted:
+        df = flag_duplicates(df)
     if "rate_missing" in df.columns:
         rate_missing = F.col("rate_missing")
     else:
         rate_missing = F.col("exchange_rate").isNull() & (F.col("currency_code") != F.lit(base_currency))
-    hits = [
-        _hit(~F.col("in_master") & F.col("customer_id").isNotNull(), "DQ001", F.col("customer_id")),
-        _hit(F.col("product_description").isNull(), "DQ002", F.col("product_code")),
-        _hit(rate_missing, "DQ003", F.col("currency_code")),
-        _hit(F.col("base_currency_balance") < 0, "DQ004", F.col("base_currency_balance")),
-        _hit((F.col("account_status") == "CLOSED") & (F.col("eligible_for_reporting") == "Y"),
-             "DQ005", F.col("account_status")),
-        _hit(F.col("is_duplicate"), "DQ006", F.col("source_account_number")),
-    ]
-    keep = ("business_date", "source_system_code", "source_account_number", "customer_id")
+    tests = {
+        "DQ001": lambda: (~F.col("in_master") & F.col("customer_id").isNotNull(), F.col("customer_id")),
+        "DQ002": lambda: (F.col("product_description").isNull(), F.col("product_code")),
+        "DQ003": lambda: (rate_missing, F.col("currency_code")),
+        "DQ004": lambda: (F.col("base_currency_balance") < 0, F.col("base_currency_balance")),
+        "DQ005": lambda: ((F.col("account_status") == "CLOSED") & (F.col("eligible_for_reporting") == "Y"),
+                          F.col("account_status")),
+        "DQ006": lambda: (F.col("is_duplicate"), F.col("source_account_number")),
+    }
+    hits = []
+    for code in wanted:
+        cond, value = tests[code]()
+        hits.append(_hit(cond, code, value))
+    keep = (*KEYS, *carry)
     return fire(df, keep, hits, "h").select(*keep, "h.rule_code", "h.exception_description",
                                             "h.exception_value")
 
 
-def attach_rule_config(hits: DataFrame, rules: DataFrame, owners: DataFrame, as_of) -> DataFrame:
+def attach_rule_config(hits: DataFrame, rules: DataFrame, owners: DataFrame, as_of,
+                       carry: Sequence[str] = ()) -> DataFrame:
     """Q0: keep enabled rules (inner, broadcast) and resolve the owner (left, broadcast)."""
     r = rules.filter(F.col("rule_enabled")).select(
         F.col("rule_code").alias("_r_code"), "exception_category", "severity_code", "business_area")
@@ -137,7 +122,7 @@ def attach_rule_config(hits: DataFrame, rules: DataFrame, owners: DataFrame, as_
     return (hits.join(F.broadcast(r), F.col("rule_code") == F.col("_r_code"), "inner")
                 .join(F.broadcast(o), F.col("business_area") == F.col("_o_area"), "left")
                 .withColumn("logged_date", timestamp_value(as_of))
-                .select(*STAGING_COLUMNS))
+                .select(*STAGING_COLUMNS, *carry))
 
 
 def dedupe_exceptions(exceptions: DataFrame) -> DataFrame:
@@ -151,7 +136,7 @@ def dedupe_exceptions(exceptions: DataFrame) -> DataFrame:
     return exceptions.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def enrich_exceptions(exceptions: DataFrame, severities: DataFrame) -> DataFrame:
+def enrich_exceptions(exceptions: DataFrame, severities: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Q8-Q10: SLA from the severity table, due date, content hash, queue."""
     s = severities.select(F.col("severity_code").alias("_s_code"), "priority_level", "sla_hours",
                           "escalation_required")
@@ -162,16 +147,14 @@ def enrich_exceptions(exceptions: DataFrame, severities: DataFrame) -> DataFrame
                                        "rule_code", "exception_value"),
         "escalation_queue": lookup_expr("severity_code", specs.ESCALATION_QUEUES,
                                         specs.ESCALATION_QUEUE_OTHERWISE),
-    }).select(*EXCEPTION_COLUMNS)
+    }).select(*EXCEPTION_COLUMNS, *carry)
 
 
 def run_rules(frame: DataFrame, rules: DataFrame, owners: DataFrame, severities: DataFrame,
-              as_of, master: DataFrame | None = None,
-              duplicate_bound: DataFrame | None = None) -> DataFrame:
+              as_of, master: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Q0-Q10 end to end: hits -> config -> dedupe -> SLA/hash/queue."""
-    staged = attach_rule_config(rule_hits(frame, master, duplicate_bound=duplicate_bound),
-                                rules, owners, as_of)
-    return enrich_exceptions(dedupe_exceptions(staged), severities)
+    staged = attach_rule_config(rule_hits(frame, master, carry=carry), rules, owners, as_of, carry)
+    return enrich_exceptions(dedupe_exceptions(staged), severities, carry)
 
 
 def exception_counts(staged: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ labels every key with an action:
 
 The merged table is every row whose action is not DELETE; the metrics are a
 group-by on the action.  Keys are unique on each side (a primary key and a
-de-duplicated source), so the join has no skew to split.  The caller writes
+source that is de-duplicated or checked, see ``unique_source``), so the join
+has no skew to split.  The caller writes
 the merged frame to a new location and switches to it (see ``sinks``).
 """
 
@@ -30,15 +31,22 @@ ACTION = "_action"
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            change_columns: Mapping[str, object], update_columns: Sequence[str],
            delete_unmatched: bool = False, null_safe_keys: bool = False,
-           null_safe_change: bool = False) -> DataFrame:
+           null_safe_change: bool = False, unique_source: bool = False) -> DataFrame:
     """Return target columns + ``_action`` for every key of either side.
 
+    A source key that occurs twice would match a target row twice, which MERGE
+    refuses.  With ``unique_source`` the plan itself refuses it: source rows
+    are grouped by key and a key with two rows raises when the frame runs
+    (no separate pass over the source).
+
     ``change_columns`` maps column -> default used in ``COALESCE(t.c, d) <>
     COALESCE(s.c, d)`` (P9/D21); ``update_columns`` are copied from the source
     on UPDATE, every other column keeps the target value (so e.g.
     ``created_date`` survives updates).  INSERT takes every column the source
     has."""
     t = target.select(*[F.col(c) for c in target.columns], F.lit(True).alias("_t_present")).alias("t")
+    if unique_source:
+        source = _one_row_per_key(source, keys)
     s = source.select(*[F.col(c) for c in source.columns], F.lit(True).alias("_s_present")).alias("s")
     cond = None
     for k in keys:
@@ -67,6 +75,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return j.select(*[out(c) for c in target.columns], F.col(ACTION))
 
 
+def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source; running it raises where a key has more than one row."""
+    rest = [c for c in source.columns if c not in keys]
+    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                        *(F.any_value(c).alias(c) for c in rest))
+    # the check sits in a column that the result needs, so it cannot be pruned
+    first = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit(f"upsert source: duplicate key {list(keys)}: "),
+        F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys))))
+        .cast(source.schema[rest[0]].dataType)).otherwise(F.col(rest[0])) if rest else None
+    return grouped.select(*(first.alias(c) if rest and c == rest[0] else F.col(c) for c in source.columns))
+
+
 def merged(result: DataFrame) -> DataFrame:
     """The table after the upsert (everything but DELETE)."""
     return result.filter(F.col(ACTION) != "DELETE").drop(ACTION)

@@ -38,7 +38,8 @@ class BankDay:
                  load_type: str = "FULL", source_specs: Sequence[specs.SourceSpec] = specs.SOURCES,
                  master_sources: Sequence[str] | None = specs.FIRST_PASS_SOURCES,
                  customer_exceptions_table: DataFrame | None = None,
-                 date_range: tuple | None = None, report_as_of: dt.datetime | None = None):
+                 date_range: tuple | None = None, report_as_of: dt.datetime | None = None,
+                 share: bool = False, extra_issues: DataFrame | None = None):
         self.spark = spark
         self.sources = dict(sources)
         self.existing_master = existing_master
@@ -51,6 +52,8 @@ class BankDay:
         self.customer_exceptions_table = customer_exceptions_table
         self.date_range = date_range
         self.report_as_of = report_as_of or as_of
+        self.share = share
+        self.extra_issues = extra_issues
 
     # --- construction from the driver's test tables --------------------------
     @classmethod
@@ -59,8 +62,20 @@ class BankDay:
         kw.setdefault("business_date", testdata.BUSINESS_DATE)
         kw.setdefault("as_of", testdata.AS_OF)
         kw.setdefault("report_as_of", testdata.REPORT_AS_OF)
+        if kw.pop("with_customer_issues", False):
+            kw["extra_issues"] = testdata.customer_issues(t, kw["business_date"], kw["as_of"])
         return cls(spark, testdata.account_systems(t), testdata.seeded_master(t), **kw)
 
+    def twin(self, **changed) -> BankDay:
+        """The same day with other settings; accounts priced by this one are shared."""
+        kw = {k: getattr(self, k) for k in ("business_date", "as_of", "execution_id", "load_type", "source_specs",
+                                            "master_sources", "customer_exceptions_table", "date_range",
+                                            "report_as_of", "share", "extra_issues")} | changed
+        other = BankDay(self.spark, self.sources, self.existing_master, **kw)
+        if not {"load_type", "source_specs", "date_range", "business_date"} & changed.keys():
+            other.__dict__["priced"] = self.priced
+        return other
+
     # --- configuration (config-sized) ----------------------------------------
     @cached_property
     def fx(self) -> DataFrame:
@@ -86,7 +101,7 @@ class BankDay:
     def categories(self) -> DataFrame:
         return config_tables.exception_categories(self.spark)
 
-    # --- customer master (nb 1) ---------------------------------------------
+    # --- customer master ---------------------------------------------
     @cached_property
     def customer_ids(self) -> DataFrame:
         return extract.extract_customer_ids(self.sources, self.source_specs, include=self.master_sources,
@@ -107,16 +122,17 @@ class BankDay:
 
     @cached_property
     def data_quality_issues(self) -> DataFrame:
-        return master.reject_missing_keys(self.customer_ids, self.business_date, self.as_of,
-                                          self.execution_id)
+        missing = master.reject_missing_keys(self.customer_ids, self.business_date, self.as_of,
+                                             self.execution_id)
+        return missing if self.extra_issues is None else missing.unionByName(self.extra_issues)
 
-    # --- customer exceptions (nb 2) -------------------------------------------
+    # --- customer exceptions -------------------------------------------
     @cached_property
     def customer_exceptions(self) -> DataFrame:
         return classify.customer_exceptions(self.data_quality_issues, self.categories, self.severities,
                                             self.owners, self.business_date, self.as_of)
 
-    # --- portfolio (nb 3) -----------------------------------------------------
+    # --- portfolio -----------------------------------------------------
     @cached_property
     def staged(self) -> DataFrame:
         return extract.extract_accounts(self.sources, self.source_specs,
@@ -124,22 +140,24 @@ class BankDay:
                                         load_type=self.load_type, date_range=self.date_range)
 
     @cached_property
-    def account_keys(self) -> DataFrame:
-        """(date, account) of every extracted row: a column-pruned scan of the
-        sources whose duplicated keys bound those of any frame derived from
-        them one-to-one (the size check of the DQ006 key set runs on it)."""
-        return self.staged.select("business_date", "source_account_number")
+    def run_rates(self) -> DataFrame:
+        """The rates of the run's dates only, so that the broadcast does not grow with the rate history."""
+        first, last = self.date_range or (self.business_date, self.business_date)
+        return self.fx.filter(F.col("effective_date").between(F.lit(first), F.lit(last)))
 
-    def duplicate_bound(self, name: str) -> DataFrame:
-        """Keys for the DQ006 size check of frame ``name``: the frame itself
-        once it is checkpointed (a read of stored rows), else the extracted keys."""
-        if name in self.__dict__.get("_checkpointed", ()):
-            return getattr(self, name).select("business_date", "source_account_number")
-        return self.account_keys
+    @cached_property
+    def priced(self) -> DataFrame:
+        """Cleansed accounts with rate and product.  Several frames read them,
+        so a sharing run stores them once (reliable checkpoint)."""
+        df = portfolio.price_accounts(self.staged, self.run_rates, self.products)
+        if not self.share:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint()
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return portfolio.stage_accounts(self.staged, self.fx, self.products, self.customer_master)
+        return portfolio.enrich_priced(self.priced, self.customer_master)
 
     @cached_property
     def critical_customers(self) -> DataFrame:
@@ -157,34 +175,43 @@ class BankDay:
     def portfolio(self) -> DataFrame:
         return portfolio.to_portfolio(self.portfolio_rows)
 
+    @cached_property
+    def portfolio_without_exclusion(self) -> DataFrame:
+        """What the portfolio would be if no customer were excluded."""
+        return portfolio.to_portfolio(portfolio.add_portfolio_metrics(portfolio.include_accounts(self.enriched)))
+
     @cached_property
     def portfolio_errors(self) -> DataFrame:
-        return portfolio.portfolio_errors(self.staged, self.enriched, self.portfolio, self.as_of,
+        return portfolio.portfolio_errors(self.priced, self.enriched, self.portfolio, self.as_of,
                                           self.execution_id)
 
-    # --- exceptions (nb 4) ----------------------------------------------------
+    # --- exceptions ----------------------------------------------------
     @cached_property
     def exceptions(self) -> DataFrame:
         # the in_master flag of the enrichment join is reused: no second master join
+        return self.branch_exceptions.drop("branch_code")
+
+    @cached_property
+    def branch_exceptions(self) -> DataFrame:
+        """The exceptions with the branch of their account."""
         return rules.run_rules(self.portfolio_rows, self.rules_config, self.owners, self.severities,
-                               self.as_of, duplicate_bound=self.duplicate_bound("portfolio_rows"))
+                               self.as_of, carry=("branch_code",))
 
     @cached_property
     def staged_exceptions(self) -> DataFrame:
         """The rule engine on every enriched row, before the inclusion filter."""
-        return rules.run_rules(self.enriched, self.rules_config, self.owners, self.severities, self.as_of,
-                               duplicate_bound=self.duplicate_bound("enriched"))
+        return rules.run_rules(self.enriched, self.rules_config, self.owners, self.severities, self.as_of)
 
-    # --- report (nb 5) --------------------------------------------------------
+    # --- report --------------------------------------------------------
     @cached_property
     def scorecard(self) -> DataFrame:
         return kpi.scorecard(self.portfolio, self.exceptions, self.report_as_of)
 
-    DERIVED = ("customer_master", "enriched", "critical_customers", "portfolio_rows", "portfolio",
-               "portfolio_errors",
-               "exceptions", "staged_exceptions", "scorecard")
+    DERIVED = ("customer_master", "priced", "enriched", "critical_customers", "portfolio_rows", "portfolio",
+               "portfolio_errors", "branch_exceptions", "exceptions", "staged_exceptions", "scorecard")
 
-    def materialize(self, names: Sequence[str] = ("customer_master", "enriched", "portfolio_rows", "exceptions"),
+    def materialize(self, names: Sequence[str] = ("customer_master", "priced", "enriched", "portfolio_rows",
+                                                "branch_exceptions"),
                     eager: bool = True) -> BankDay:
         """Checkpoint the shared frames into ``spark.checkpoint.dir`` (reliable,
         survives executor loss) and build every later output on top of them."""
@@ -198,9 +225,5 @@ class BankDay:
                     self.__dict__.pop(dep, None)
             self.__dict__[n] = df
             done.add(n)
-            self.__dict__["_checkpointed"] = frozenset(done)
         return self
 
-
-def with_literal_date(df: DataFrame, d: dt.date) -> DataFrame:
-    return df.withColumn("business_date", F.lit(d))

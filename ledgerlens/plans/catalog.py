@@ -27,7 +27,9 @@ def register(name: str):
 
 
 def day(spark: SparkSession, sf_dir: str, **kw) -> BankDay:
-    return BankDay.from_testdata(spark, sf_dir, **kw)
+    """The priced accounts, which most queries read more than once, are stored
+    when a query first needs them; nothing else runs while a query is built."""
+    return BankDay.from_testdata(spark, sf_dir, share=True, **kw)
 
 
 def trend_day(spark: SparkSession, sf_dir: str) -> BankDay:
@@ -128,7 +130,7 @@ def _(spark, sf):
 @register("raw_errors")
 def _(spark, sf):
     d = day(spark, sf)
-    return portfolio.raw_errors(portfolio.cleanse_accounts(d.staged), d.as_of)
+    return portfolio.raw_errors(d.priced, d.as_of)
 
 
 @register("fx_convert")
@@ -180,6 +182,12 @@ def _(spark, sf):
     return day(spark, sf).portfolio.select("customer_id", "product_count").distinct()
 
 
+@register("product_count_by_date")
+def _(spark, sf):
+    """Accounts per customer of a run over several dates."""
+    return trend_day(spark, sf).portfolio.select("business_date", "customer_id", "product_count").distinct()
+
+
 @register("negative_portfolio")
 def _(spark, sf):
     d = day(spark, sf)
@@ -212,8 +220,8 @@ def _(spark, sf):
 def _rule(code: str):
     def fn(spark, sf):
         d = day(spark, sf)
-        hits = rules.rule_hits(d.enriched, duplicate_bound=d.account_keys)
-        return rules.attach_rule_config(hits, d.rules_config, d.owners, d.as_of).filter(F.col("rule_code") == code)
+        frame = d.enriched if code == "DQ001" else d.priced.withColumn("eligible_for_reporting", F.lit("Y"))
+        return rules.attach_rule_config(rules.rule_hits(frame, codes=[code]), d.rules_config, d.owners, d.as_of)
     return fn
 
 
@@ -224,21 +232,21 @@ for _code in ("DQ001", "DQ002", "DQ003", "DQ004", "DQ005", "DQ006"):
 @register("exceptions_union")
 def _(spark, sf):
     d = day(spark, sf)
-    return rules.attach_rule_config(rules.rule_hits(d.portfolio_rows, duplicate_bound=d.account_keys), d.rules_config, d.owners, d.as_of)
+    return rules.attach_rule_config(rules.rule_hits(d.portfolio_rows), d.rules_config, d.owners, d.as_of)
 
 
 @register("exceptions_dedup")
 def _(spark, sf):
     d = day(spark, sf)
     return rules.dedupe_exceptions(
-        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows, duplicate_bound=d.account_keys), d.rules_config, d.owners, d.as_of))
+        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows), d.rules_config, d.owners, d.as_of))
 
 
 @register("exception_counts")
 def _(spark, sf):
     d = day(spark, sf)
     return rules.exception_counts(
-        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows, duplicate_bound=d.account_keys), d.rules_config, d.owners, d.as_of))
+        rules.attach_rule_config(rules.rule_hits(d.portfolio_rows), d.rules_config, d.owners, d.as_of))
 
 
 @register("exceptions")
@@ -294,14 +302,50 @@ EXC_CHANGE = {"severity_code": "", "exception_description": "", "source_account_
 ISSUE_KEYS = ["business_date", "customer_id", "exception_category"]
 
 
+ISSUE_UPDATES = [c for c in classify.EXCEPTION_COLUMNS if c not in ISSUE_KEYS + ["assigned_date"]]
+
+
+@register("issues_enriched")
+def _(spark, sf):
+    """E1-E3 on issues with customers: configured and unconfigured categories."""
+    return day(spark, sf, with_customer_issues=True).customer_exceptions
+
+
+@register("critical_exclusion")
+def _(spark, sf):
+    """The portfolio without the customers that have an open critical issue."""
+    return day(spark, sf, with_customer_issues=True).portfolio
+
+
 @register("upsert_issues")
 def _(spark, sf):
-    """Customer exceptions keyed null-safely on (date, customer, category)."""
-    base, cur = day(spark, sf), day(spark, sf, master_sources=None)
-    return upsert.upsert(base.customer_exceptions, cur.customer_exceptions, ISSUE_KEYS,
+    """Customer exceptions keyed null-safely on (date, customer, category)
+    (D5).  The table holds the day's issues without the reviews and with every
+    fifth owner reassigned, so the run inserts, updates and leaves rows alone."""
+    run = day(spark, sf, with_customer_issues=True).customer_exceptions
+    other = (F.col("exception_category") == "Product Validation") & F.col("customer_id").endswith("5")
+    table = run.filter(F.col("exception_category") != "Customer Review").withColumn(
+        "business_owner", F.when(other, F.lit("Reassigned")).otherwise(F.col("business_owner")))
+    return upsert.upsert(table, run, ISSUE_KEYS,
                          {"severity_code": "", "exception_description": "", "business_owner": ""},
-                         [c for c in classify.EXCEPTION_COLUMNS if c not in ISSUE_KEYS + ["assigned_date"]],
-                         null_safe_keys=True)
+                         ISSUE_UPDATES, null_safe_keys=True, unique_source=True)
+
+
+PORTFOLIO_KEYS = ["business_date", "customer_id", "source_account_number"]
+PORTFOLIO_CHANGE = {"account_balance": 0, "account_status": "", "customer_name": ""}
+
+
+@register("upsert_portfolio")
+def _(spark, sf):
+    """The portfolio keyed on (date, customer, account).  The table holds
+    an earlier run without mortgages and with card balances not yet posted."""
+    run = portfolio.one_row_per_account(day(spark, sf).portfolio, PORTFOLIO_KEYS)
+    card = F.col("source_system_code") == "CARDS"
+    table = run.filter(F.col("source_system_code") != "MORTGAGE").withColumn(
+        "account_balance", F.when(card, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("account_balance")))
+    return upsert.upsert(table, run, PORTFOLIO_KEYS, PORTFOLIO_CHANGE,
+                         [c for c in portfolio.PORTFOLIO_COLUMNS if c not in PORTFOLIO_KEYS],
+                         null_safe_keys=True, unique_source=True)
 
 
 @register("exception_sample")
@@ -312,7 +356,7 @@ def _(spark, sf):
 
 @register("replace_date")
 def _(spark, sf):
-    d = trend_day(spark, sf)
+    d = day(spark, sf, date_range=(dt.date(1900, 1, 1), dt.date(2100, 12, 31)))
     hist = d.exceptions
     rerun = hist.filter((F.col("business_date") == F.lit(testdata.TREND_DATE)) & (F.col("rule_code") == "DQ004"))
     return upsert.replace_date(hist, rerun, testdata.TREND_DATE)
@@ -357,7 +401,7 @@ def _(spark, sf):
 @register("branch_quality")
 def _(spark, sf):
     d = day(spark, sf)
-    return kpi.branch_quality(d.portfolio, d.exceptions)
+    return kpi.branch_quality(d.portfolio, d.branch_exceptions)
 
 
 @register("sla_performance")
@@ -387,7 +431,8 @@ def _(spark, sf):
 # a master built from all seven sources (current) ------------------------------
 
 def _pair(spark, sf):
-    return day(spark, sf), day(spark, sf, master_sources=None)
+    d = day(spark, sf)
+    return d, d.twin(master_sources=None)
 
 
 @register("recon_counts")
@@ -434,11 +479,19 @@ def _(spark, sf):
     return reconcile.compare_kpis(b.scorecard, c.scorecard)
 
 
+@register("recon_kpis_by_date")
+def _(spark, sf):
+    """C5 over a run of several dates."""
+    b = trend_day(spark, sf)
+    return reconcile.compare_kpis(b.scorecard, b.twin(master_sources=None).scorecard)
+
+
 @register("recon_missing_extra")
 def _(spark, sf):
-    b, c = _pair(spark, sf)
-    return reconcile.missing_extra(b.portfolio, c.portfolio,
-                                   ["business_date", "source_system_code", "source_account_number"])
+    """A baseline without mortgages against a run without critical customers."""
+    c = day(spark, sf, with_customer_issues=True)
+    b = c.portfolio_without_exclusion.filter(F.col("source_system_code") != "MORTGAGE")
+    return reconcile.missing_extra(b, c.portfolio, ["business_date", "source_system_code", "source_account_number"])
 
 
 @register("recon_checks")

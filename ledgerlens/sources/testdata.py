@@ -15,7 +15,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 BUSINESS_DATE = dt.date(2026, 1, 31)
 AS_OF = dt.datetime(2026, 1, 31, 18, 0, 0)
@@ -35,22 +34,8 @@ def ts_literal(t: dt.datetime) -> Column:
     return F.to_timestamp_ntz(F.lit(t.strftime("%Y-%m-%d %H:%M:%S")))
 
 
-# Parquet schema per path: inference is a Spark job per read, so it runs once
-# per table and later reads declare the schema (as a job over known tables would).
-_SCHEMAS: dict[str, StructType] = {}
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: read_parquet(spark, f"{sf_dir}/{n}.parquet") for n in names}
+    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
 def _pick(key: Column, values: list[str]) -> Column:
@@ -166,10 +151,11 @@ def account_systems(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def seeded_master(t: dict[str, DataFrame]) -> DataFrame:
-    """An existing customer master (the upsert target) seeded from one third of
-    the customer table, with real names, segments and branches."""
+    """An existing customer master (the upsert target) seeded from the customer
+    table, with real names, segments and branches.  Customers known only from
+    account feeds are new to it; customers without a usable account id leave it."""
     c = t["customer"]
-    return c.filter(F.col("c_custkey") % 3 == 0).select(
+    return c.select(
         _id("CUST", F.col("c_custkey")).alias("customer_id"),
         F.lower(F.col("c_mktsegment")).alias("first_name"),
         F.col("c_name").alias("last_name"),
@@ -182,3 +168,21 @@ def seeded_master(t: dict[str, DataFrame]) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("last_updated_date"),
         F.lit(None).cast("string").alias("primary_source_system_code"),
     )
+
+
+def customer_issues(t: dict[str, DataFrame], business_date: dt.date, as_of: dt.datetime) -> DataFrame:
+    """Customer-level data-quality issues of the day: overdrawn customers (a
+    configured CRITICAL category), customers without a known segment (a
+    configured MEDIUM one) and customers to review (not configured)."""
+    c = t["customer"]
+
+    def issue(cond: Column, category: str, text: str) -> DataFrame:
+        return c.filter(cond).select(
+            F.lit(business_date).alias("business_date"), F.lit("CORE_BANKING").alias("source_system"),
+            _id("CUST", F.col("c_custkey")).alias("customer_id"), F.lit(category).alias("error_category"),
+            F.lit(text).alias("error_description"), ts_literal(as_of).alias("logged_date"),
+            F.lit(None).cast("string").alias("execution_id"))
+
+    return issue(F.col("c_acctbal") < 0, "Financial Validation", "Customer overdrawn") \
+        .unionByName(issue(F.col("c_mktsegment") == "MACHINERY", "Product Validation", "Segment without products")) \
+        .unionByName(issue(F.col("c_mktsegment") == "HOUSEHOLD", "Customer Review", "Review due"))

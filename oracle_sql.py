@@ -4,7 +4,8 @@ The same business day is written a second time, as plain SQL over the
 driver's test tables: account-system views, customer master + upsert,
 cleansing, enrichment, inclusion, metrics, rules, KPIs and reconciliation.
 Configuration rows are inlined as ``VALUES`` generated from ``ledgerlens.specs``
-so both engines share one copy of the fixed values.
+so both engines share one copy of the fixed values: a wrong fixed value shows
+in the golden tests, not here.
 
 Numeric care: percentages are computed with integer half-up arithmetic
 (DuckDB divides decimals in double precision), the UTF-16-LE content hash is
@@ -16,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 
 from ledgerlens import specs
+from ledgerlens.operators.reconcile import KNOWN_CAUSES
 from ledgerlens.sources import testdata as td
 
 BD = td.BUSINESS_DATE.isoformat()
@@ -129,7 +131,7 @@ def source_ctes() -> list[str]:
               'BR' || lpad(CAST(c_nationkey % 9 + 1 AS VARCHAR), 3, '0') AS branch_code,
               'ACTIVE' AS customer_status, TIMESTAMP '{SEED_CREATED}' AS created_date,
               CAST(NULL AS TIMESTAMP) AS last_updated_date, CAST(NULL AS VARCHAR) AS primary_source_system_code
-              FROM customer WHERE c_custkey % 3 = 0)""",
+              FROM customer)""",
     ]
 
 
@@ -219,7 +221,7 @@ def staged_cte(date_pred: str, load_type: str = "FULL", name: str = "staged") ->
 
 
 def pipeline_ctes(p: str = "", date_pred: str = f"{{col}} = DATE '{BD}'", load_type: str = "FULL",
-                  master: str = "customer_master") -> list[str]:
+                  master: str = "customer_master", critical: str = "critical_customers") -> list[str]:
     """Staged -> clean -> enriched -> portfolio rows -> exceptions, names prefixed by ``p``."""
     bands = sorted(specs.VALUE_BANDS, key=lambda b: b.minimum, reverse=True)
     band_sql = "CASE " + " ".join(f"WHEN base_currency_balance >= {b.minimum} THEN '{b.name}'" for b in bands[:-1]) \
@@ -247,10 +249,10 @@ def pipeline_ctes(p: str = "", date_pred: str = f"{{col}} = DATE '{BD}'", load_t
         f"""{p}included AS (SELECT * FROM {p}enriched
             WHERE NOT coalesce(account_status = 'CLOSED' OR base_currency_balance = 0 OR product_description IS NULL
                                OR rate_missing OR customer_id IS NULL, FALSE)
-              AND NOT EXISTS (SELECT 1 FROM critical_customers k WHERE k.customer_id = {p}enriched.customer_id))""",
+              AND NOT EXISTS (SELECT 1 FROM {critical} k WHERE k.customer_id = {p}enriched.customer_id))""",
         f"""{p}portfolio_rows AS (SELECT *, {band_sql} AS portfolio_value_band,
               coalesce(base_currency_balance >= {specs.HIGH_VALUE_MINIMUM}, FALSE) AS high_value_customer,
-              CAST(count(*) OVER (PARTITION BY customer_id) AS INTEGER) AS product_count FROM {p}included)""",
+              CAST(count(*) OVER (PARTITION BY business_date, customer_id) AS INTEGER) AS product_count FROM {p}included)""",
         f"""{p}portfolio AS (SELECT business_date, source_system_code, source_account_number, customer_id, customer_name,
               customer_category, branch_code, product_code, product_description, product_category, regulatory_category,
               currency_code, exchange_rate, account_balance, base_currency_balance, account_status, eligible_for_reporting,
@@ -291,7 +293,21 @@ def rule_ctes(frame: str, out: str, hash_expr: str, esc: str) -> list[str]:
     ]
 
 
-def customer_exception_ctes(p: str = "") -> list[str]:
+def customer_issue_selects() -> str:
+    """Issues that name a customer (mirror of testdata.customer_issues)."""
+    def issue(cond, category, text):
+        return (f"SELECT DATE '{BD}' AS business_date, 'CORE_BANKING' AS source_system, "
+                f"'CUST' || CAST(c_custkey AS VARCHAR) AS customer_id, '{category}' AS error_category, "
+                f"'{text}' AS error_description, TIMESTAMP '{AS_OF}' AS logged_date, "
+                f"CAST(NULL AS VARCHAR) AS execution_id FROM customer WHERE {cond}")
+    return " UNION ALL ".join([
+        issue("c_acctbal < 0", "Financial Validation", "Customer overdrawn"),
+        issue("c_mktsegment = 'MACHINERY'", "Product Validation", "Segment without products"),
+        issue("c_mktsegment = 'HOUSEHOLD'", "Customer Review", "Review due")])
+
+
+def customer_exception_ctes(p: str = "", ids: str | None = None, extra: str = "") -> list[str]:
+    ids = ids or f"{p}ids_clean"
     d = specs.UNCLASSIFIED_DEFAULTS
     cat, text = specs.ERR_MISSING_CUSTOMER_ID
     lvl = "CASE " + " ".join(f"WHEN severity_code = '{s}' THEN {v}" for s, v in specs.ESCALATION_LEVELS) \
@@ -300,7 +316,7 @@ def customer_exception_ctes(p: str = "") -> list[str]:
         f"""{p}dq_issues AS (SELECT DATE '{BD}' AS business_date, source_system_code AS source_system,
               CAST(NULL AS VARCHAR) AS customer_id, '{cat}' AS error_category, '{text}' AS error_description,
               TIMESTAMP '{AS_OF}' AS logged_date, CAST(NULL AS VARCHAR) AS execution_id
-            FROM {p}ids_clean WHERE customer_id IS NULL)""",
+            FROM {ids} WHERE customer_id IS NULL{extra})""",
         f"""{p}issues_dedup AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
               PARTITION BY customer_id, error_category, error_description
               ORDER BY logged_date DESC, source_system ASC NULLS LAST, execution_id ASC NULLS LAST) AS rn
@@ -499,13 +515,15 @@ def recon_ctes() -> list[str]:
             ON b.h = c.h)""",
         f"""recon_kpis AS (SELECT *, coalesce({loose_equal('baseline_value', 'current_value')}, FALSE) AS value_match,
               coalesce(upper(baseline_status) = upper(current_status), FALSE) AS status_match
-            FROM (SELECT kpi_name, kpi_value AS baseline_value, kpi_status AS baseline_status FROM scorecard) b
-            FULL OUTER JOIN (SELECT kpi_name, kpi_value AS current_value, kpi_status AS current_status FROM cur_scorecard) c
-            USING (kpi_name))""",
+            FROM (SELECT business_date, kpi_name, kpi_value AS baseline_value, kpi_status AS baseline_status FROM scorecard) b
+            FULL OUTER JOIN (SELECT business_date, kpi_name, kpi_value AS current_value, kpi_status AS current_status
+                             FROM cur_scorecard) c
+            USING (business_date, kpi_name))""",
         """recon_missing_extra AS (SELECT business_date, source_system_code, source_account_number,
               CASE WHEN _c IS NULL THEN 'MISSING' ELSE 'EXTRA' END AS row_status
-            FROM (SELECT DISTINCT business_date, source_system_code, source_account_number, TRUE AS _b FROM portfolio) b
-            FULL OUTER JOIN (SELECT DISTINCT business_date, source_system_code, source_account_number, TRUE AS _c FROM cur_portfolio) c
+            FROM (SELECT DISTINCT business_date, source_system_code, source_account_number, TRUE AS _b FROM portfolio
+                  WHERE source_system_code <> 'MORTGAGE') b
+            FULL OUTER JOIN (SELECT DISTINCT business_date, source_system_code, source_account_number, TRUE AS _c FROM ci_portfolio) c
             USING (business_date, source_system_code, source_account_number)
             WHERE _b IS NULL OR _c IS NULL)""",
         """recon_checks_raw AS (
@@ -528,7 +546,8 @@ def recon_ctes() -> list[str]:
             UNION ALL SELECT 'kpi_values', CAST(count(baseline_value) AS VARCHAR), CAST(count(current_value) AS VARCHAR),
                    coalesce(coalesce(bool_and(value_match), TRUE), FALSE), TRUE, 'report' FROM recon_kpis)""",
         """recon_checks AS (SELECT *, CASE WHEN NOT passed THEN 'check ' || check_name || ' failed: baseline=' ||
-              coalesce(baseline_value, 'NULL') || ' current=' || coalesce(current_value, 'NULL') || '; inspect ' || stage END AS explanation
+              coalesce(baseline_value, 'NULL') || ' current=' || coalesce(current_value, 'NULL') || '; inspect ' || stage
+              || '; known causes: ' || (CASE stage """ + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in KNOWN_CAUSES.items()) + """ END) END AS explanation
             FROM recon_checks_raw)""",
     ]
 
@@ -558,20 +577,43 @@ def runlog_select() -> str:
 def _oracle() -> dict[str, str]:
     base = base_ctes() + error_ctes() + kpi_ctes("", "portfolio", "exc")
     inc = pipeline_ctes("inc_", load_type="INCREMENTAL") + kpi_ctes("inc_", "inc_portfolio", "inc_exc")
-    trend = pipeline_ctes("tr_", date_pred=f"{{col}} BETWEEN DATE '{TREND_FROM}' AND DATE '{TREND_DATE}'")
+    trend_pred = f"{{col}} BETWEEN DATE '{TREND_FROM}' AND DATE '{TREND_DATE}'"
+    trend = pipeline_ctes("tr_", date_pred=trend_pred)
+    history = pipeline_ctes("hi_", date_pred="{col} BETWEEN DATE '1900-01-01' AND DATE '2100-12-31'")
+    with_issues = (customer_exception_ctes("ci_", ids="ids_clean", extra=" UNION ALL " + customer_issue_selects())
+                   + pipeline_ctes("ci_", critical="ci_critical_customers"))
     allm = master_ctes(include=[s.code for s in specs.SOURCES], prefix="all_")
     cur = (allm + upsert_master_ctes("all_") + pipeline_ctes("cur_", master="all_customer_master")
            + kpi_ctes("cur_", "cur_portfolio", "cur_exc"))
-    recon = base + cur + recon_ctes()
+    recon = base + cur + with_issues + recon_ctes()
+    trend_cur = (allm + upsert_master_ctes("all_") + kpi_ctes("tr_", "tr_portfolio", "tr_exc")
+                 + pipeline_ctes("trc_", date_pred=trend_pred, master="all_customer_master")
+                 + kpi_ctes("trc_", "trc_portfolio", "trc_exc"))
     ce_cols = ["business_date", "customer_id", "source_system_code", "exception_category", "exception_description",
                "severity_code", "severity_description", "escalation_required", "resolution_target_hours",
                "business_area", "business_owner", "support_team", "logged_date", "exception_status",
                "assigned_date", "resolution_status", "escalation_level", "resolution_due_date"]
     ce_keys = ["business_date", "customer_id", "exception_category"]
-    issues_upsert = upsert_sql("issues_upsert", "customer_exceptions", "all_customer_exceptions", ce_keys, ce_cols,
+    issue_table = """issue_table AS (SELECT * REPLACE (CASE WHEN exception_category = 'Product Validation'
+          AND customer_id LIKE '%5' THEN 'Reassigned' ELSE business_owner END AS business_owner)
+        FROM ci_customer_exceptions WHERE exception_category <> 'Customer Review')"""
+    issues_upsert = upsert_sql("issues_upsert", "issue_table", "ci_customer_exceptions", ce_keys, ce_cols,
                                {"severity_code": "''", "exception_description": "''", "business_owner": "''"},
                                [c for c in ce_cols if c not in ce_keys + ["assigned_date"]], False,
                                null_safe_keys=True)
+    pf_cols = ["business_date", "source_system_code", "source_account_number", "customer_id", "customer_name",
+               "customer_category", "branch_code", "product_code", "product_description", "product_category",
+               "regulatory_category", "currency_code", "exchange_rate", "account_balance", "base_currency_balance",
+               "account_status", "eligible_for_reporting", "portfolio_value_band", "high_value_customer", "product_count"]
+    pf_keys = ["business_date", "customer_id", "source_account_number"]
+    pf_rest = ", ".join(f"{c} ASC NULLS LAST" for c in pf_cols if c not in (*pf_keys, "account_balance"))
+    pf_one = f"""pf_one AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(pf_keys)}
+          ORDER BY account_balance DESC NULLS LAST, {pf_rest}) AS rn FROM portfolio) WHERE rn = 1)"""
+    pf_table = """pf_table AS (SELECT * REPLACE (CAST(CASE WHEN source_system_code = 'CARDS' THEN 0 ELSE account_balance END
+          AS DECIMAL(18,2)) AS account_balance) FROM pf_one WHERE source_system_code <> 'MORTGAGE')"""
+    pf_upsert = upsert_sql("pf_upsert", "pf_table", "pf_one", pf_keys, pf_cols,
+                           {"account_balance": "0", "account_status": "''", "customer_name": "''"},
+                           [c for c in pf_cols if c not in pf_keys], False, null_safe_keys=True)
     sev_cols = ("count(*) AS total_exceptions, count_if(severity_code = 'CRITICAL') AS critical_exceptions, "
                 "count_if(severity_code = 'HIGH') AS high_exceptions, count_if(severity_code = 'MEDIUM') AS medium_exceptions, "
                 "count_if(severity_code = 'LOW') AS low_exceptions, count_if(escalation_required) AS escalated_exceptions")
@@ -655,11 +697,21 @@ def _oracle() -> dict[str, str]:
         "daily_area": w(base, """SELECT business_date, business_area, count(*) AS exception_count,
             count_if(escalation_required) AS escalated_count FROM exc GROUP BY 1, 2"""),
         "upsert_exceptions": w(base + [exc_upsert], "SELECT * FROM exc_upsert"),
-        "upsert_issues": w(base + allm + customer_exception_ctes("all_") + [issues_upsert], "SELECT * FROM issues_upsert"),
+        "upsert_issues": w(base + with_issues + [issue_table, issues_upsert], "SELECT * FROM issues_upsert"),
+        "issues_enriched": w(base + with_issues, "SELECT * FROM ci_customer_exceptions"),
+        "critical_exclusion": w(base + with_issues, "SELECT * FROM ci_portfolio"),
+        "upsert_portfolio": w(base + [pf_one, pf_table, pf_upsert], "SELECT * FROM pf_upsert"),
+        "product_count_by_date": w(base + trend, "SELECT DISTINCT business_date, customer_id, product_count FROM tr_portfolio"),
+        "recon_kpis_by_date": w(base + trend + trend_cur, f"""SELECT *,
+              coalesce({loose_equal('baseline_value', 'current_value')}, FALSE) AS value_match,
+              coalesce(upper(baseline_status) = upper(current_status), FALSE) AS status_match
+            FROM (SELECT business_date, kpi_name, kpi_value AS baseline_value, kpi_status AS baseline_status FROM tr_scorecard) b
+            FULL OUTER JOIN (SELECT business_date, kpi_name, kpi_value AS current_value, kpi_status AS current_status
+                             FROM trc_scorecard) c USING (business_date, kpi_name)"""),
         "exception_sample": w(base, """SELECT * FROM exc ORDER BY priority_level ASC NULLS FIRST,
             resolution_due_date ASC NULLS FIRST, exception_hash ASC NULLS FIRST LIMIT 20"""),
-        "replace_date": w(base + trend, f"""SELECT * FROM tr_exc WHERE business_date IS DISTINCT FROM DATE '{TREND_DATE}'
-            UNION ALL SELECT * FROM tr_exc WHERE business_date = DATE '{TREND_DATE}' AND rule_code = 'DQ004'"""),
+        "replace_date": w(base + history, f"""SELECT * FROM hi_exc WHERE business_date IS DISTINCT FROM DATE '{TREND_DATE}'
+            UNION ALL SELECT * FROM hi_exc WHERE business_date = DATE '{TREND_DATE}' AND rule_code = 'DQ004'"""),
         "exec_totals": w(base, "SELECT * FROM exec_totals"),
         "health_status": w(base, "SELECT * FROM health"),
         "source_quality": w(base, f"""SELECT a.business_date, a.source_system_code, a.total_accounts,
