@@ -3,7 +3,7 @@
 Base rules measure words, symbols, repeated lines and repeated windows of a
 text.  The method then compares two multinomials over hashed unigrams and
 bigrams: that of a trusted target (documents without junk symbols, repeated
-lines or shouting, of 50 words or more) and that of the raw corpus (all
+lines or shouting, of 50 tokens or more) and that of the raw corpus (all
 documents).  A document's score is the mean, over its n-grams, of
 ``ln p_target - ln p_raw`` with add-one smoothing; it is kept when it passes
 the base rules and scores at least the threshold.  Ratios are whole
@@ -27,7 +27,7 @@ BUCKETS = 65_536
 THRESHOLD = -0.3
 WINDOW = 8
 MIN_WORDS = 20
-TRUSTED_WORDS = 50
+TRUSTED_TOKENS = 50
 _SPACE = "[ \\t-\\r]"
 _UNIT = 1_000_000
 
@@ -88,11 +88,11 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         n_repeat_words(F.col("words")).cast("long").alias("n_repeat_words"))
 
 
-def is_trusted(text: Column) -> Column:
-    """The target corpus: at least 50 words, no junk symbol, no repeated line, no shouting."""
-    shouting = F.regexp_count(text, F.lit("!!|[A-Z]{4}")) * 20 > F.size(F.split(text, f"{_SPACE}+", -1))
-    return ((F.size(F.split(text, f"{_SPACE}+", -1)) >= TRUSTED_WORDS) & (n_symbols(text) == 0)
-            & ~shouting & (n_dup_lines(text) == 0))
+def is_trusted(text: Column, tokens: Column) -> Column:
+    """The target corpus: at least 50 tokens, no junk symbol, no shouting, no repeated line.
+    The cheap conditions come first; the rest is only read where they hold."""
+    shouting = F.regexp_count(text, F.lit("[A-Z]{4}")) * 20 > F.size(tokens)
+    return ((F.size(tokens) >= TRUSTED_TOKENS) & ~text.rlike("[#*$%&|<>]|!!") & ~shouting & (n_dup_lines(text) == 0))
 
 
 def _ngrams(frame: DataFrame) -> DataFrame:
@@ -114,7 +114,8 @@ def llr_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """bucket and ``llr`` (millionths): counted over all documents, ``BUCKETS`` rows at most."""
     ensure_checkpoint_dir(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    marked = docs.select(tokens_of(text).alias("tokens"), is_trusted(text).cast("int").alias("trusted"))
+    split = docs.select(text.alias("text"), tokens_of(text).alias("tokens"))
+    marked = split.select("tokens", is_trusted(F.col("text"), F.col("tokens")).cast("int").alias("trusted"))
     counts = _ngrams(marked).where(F.col("bucket") >= 0).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target")).checkpoint()
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"),

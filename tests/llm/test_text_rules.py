@@ -190,7 +190,7 @@ def test_llr_scores_by_hand(spark):
         "i", F.pmod(F.when(F.size("g") == 1, F.xxhash64(F.get("g", F.lit(0)))).otherwise(
             F.xxhash64(F.get("g", F.lit(0)), F.get("g", F.lit(1)))), F.lit(llr.BUCKETS)).alias("b")).collect()
     bucket = {every[r.i]: r.b for r in hashed}
-    trusted = {r.doc_id: r.t for r in df.select("doc_id", llr.is_trusted(F.col("text")).alias("t")).collect()}
+    trusted = {r.doc_id: r.t for r in df.select("doc_id", llr.is_trusted(F.col("text"), llr.tokens_of(F.col("text"))).alias("t")).collect()}
     raw = collections.Counter(bucket[g] for v in grams.values() for g in v)
     target = collections.Counter(bucket[g] for i, v in grams.items() if trusted[i] for g in v)
     nr, nt = sum(raw.values()) + llr.BUCKETS, sum(target.values()) + llr.BUCKETS
