@@ -109,13 +109,6 @@ def newest_runs(events: DataFrame) -> DataFrame:
                                   "procedure_name")
 
 
-def daily_outputs(day) -> DataFrame:
-    """L4 result row: the executive dashboard of the composed daily run."""
-    from . import kpi
-    return kpi.executive_dashboard(day.portfolio, day.exceptions, day.report_as_of).withColumn(
-        "execution_id", F.lit(day.execution_id).cast("string"))
-
-
 # --- writing events (L1-L2) ----------------------------------------------------
 
 def event_row(spark: SparkSession, execution_id: str, procedure: str, business_date: dt.date,

@@ -7,14 +7,17 @@ whole tables.  Names and column names match ``oracle_sql.ORACLE``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify, kpi, master, portfolio, reconcile, rules, runlog, upsert
+from ..session import ensure_checkpoint_dir
 from ..sources import sinks, testdata
 from .bank_day import BankDay
+from .daily import PORTFOLIO_CHANGE, PORTFOLIO_KEYS, read_table, run_daily
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -331,10 +334,6 @@ def _(spark, sf):
                          ISSUE_UPDATES, null_safe_keys=True, unique_source=True)
 
 
-PORTFOLIO_KEYS = ["business_date", "customer_id", "source_account_number"]
-PORTFOLIO_CHANGE = {"account_balance": 0, "account_status": "", "customer_name": ""}
-
-
 @register("upsert_portfolio")
 def _(spark, sf):
     """The portfolio keyed on (date, customer, account).  The table holds
@@ -523,5 +522,8 @@ def _(spark, sf):
 
 @register("run_daily")
 def _(spark, sf):
-    d = day(spark, sf, execution_id="RUN-2026-01-31")
-    return runlog.daily_outputs(d)
+    """The whole daily run into new tables; returns the dashboard it loaded."""
+    d = BankDay.from_testdata(spark, sf, execution_id="RUN-2026-01-31")
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
+    run_daily(d, base)
+    return read_table(spark, base, "executive_dashboard").withColumn("execution_id", F.lit(d.execution_id))

@@ -45,15 +45,37 @@ def overwrite_dates(df: DataFrame, path: str, partition_by: Sequence[str] = ("bu
 
 def write_then_switch(df: DataFrame, base: str, version: str,
                       partition_by: Sequence[str] = ()) -> str:
-    """Write a new version of a table under ``base/version`` and return its path.
+    """Write a new version of a table under ``base/version``, record it as
+    current and return its path.
 
-    Readers keep using the previous version until the caller points them at
-    the new one, so a failed job never leaves a half-written table."""
+    Readers keep using the previous version until the record is written, so a
+    failed job never leaves a half-written table."""
     path = f"{base.rstrip('/')}/{version}"
     overwrite(df, path, partition_by)
+    spark = df.sparkSession
+    # versions are numbered; the record with the largest number is current
+    records = _versions(spark, base)
+    number = 0 if records is None else records.agg(F.max("number")).head()[0] + 1
+    spark.createDataFrame([(number, path)], _VERSION).coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/CURRENT")
     return path
 
 
+_VERSION = "number long, path string"
+
+
+def _versions(spark: SparkSession, base: str) -> DataFrame | None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/CURRENT")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(_VERSION).parquet(folder.toString())
+
+
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """Path of the table's current version, None before the first load."""
+    records = _versions(spark, base)
+    return None if records is None else records.orderBy(F.col("number").desc()).head().path
+
+
 def snapshot(df: DataFrame, path: str, captured_at) -> None:
     """Freeze an output as a baseline, stamped with the capture time."""
     overwrite(df.withColumn("baseline_capture_date", timestamp_value(captured_at)), path)
