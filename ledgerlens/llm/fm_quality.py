@@ -95,8 +95,9 @@ class Machine:
         """Logit and factor sums of each row."""
         n = len(x.dense)
         v = self.factors[x.ids] * x.values[:, None]
-        sums = np.stack([np.bincount(x.row, weights=v[:, f], minlength=n) for f in range(FACTORS)], axis=1)
-        squares = np.bincount(x.row, weights=(v * v).sum(axis=1), minlength=n)
+        # without any word the counts would be integers
+        sums = np.stack([np.bincount(x.row, weights=v[:, f], minlength=n) for f in range(FACTORS)], axis=1).astype(float)
+        squares = np.bincount(x.row, weights=(v * v).sum(axis=1), minlength=n).astype(float)
         own = self.factors[BUCKETS:]
         sums += x.dense @ own
         squares += (x.dense ** 2) @ (own ** 2).sum(axis=1)
