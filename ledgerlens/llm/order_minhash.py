@@ -5,11 +5,11 @@ digits of the lower-cased text; a text of one to four words is one shingle).
 Each of ``SKETCHES`` sketches takes the ``PICKED`` smallest occurrence-labelled
 shingles under its own order and hashes them in text order, so that equal
 sketches are likely only where much of the text agrees in the same order.
-Texts with an equal sketch share a bucket.  A bucket proposes links from every
-member to two centres - the member that shares most buckets with others, and a
-random one - which is linear in its size; buckets that still hold several
-classes after the proposals are verified propose again, class against class,
-until a round finds nothing new.  A proposal is verified by a banded alignment
+Texts with an equal sketch share a bucket.  First every text is paired with
+the most connected leader of its buckets.  Buckets that still hold several
+classes then pair each member outside their largest class with two members of
+it, others in each round, until a round finds nothing new; each round is
+linear in the size of these buckets.  A proposal is verified by a banded alignment
 of the two shingle sequences: similarity is L / (a + b - L) for an alignment
 of L shingles, and 0.8 bounds the band.  Classes are the connected components.
 
@@ -29,14 +29,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.llm.native import row_key, same, written
 from ledgerlens.llm.textual import Cache, slices
 
 SHINGLE = 5
-PICKED = 4
-SKETCHES = 24
+PICKED = 3
+SKETCHES = 16
 SIMILAR = 0.8
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -164,50 +164,68 @@ def sketch_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return own.mapInArrow(sketch, "doc_id long, key long, node string, sketches array<long>")
 
 
-def proposals(buckets: DataFrame, rounds: int) -> DataFrame:
-    """(a, b) node pairs: in each bucket every member against two centres of
-    other classes.  ``buckets``: band, sketch, node, class; ``rounds`` varies the random centre."""
-    rank = F.xxhash64("node", "band", F.lit(rounds))
-    if rounds:
-        lead = F.min(F.struct(rank.alias("r"), "node", "class"))
-        last = F.max(F.struct(rank.alias("r"), "node", "class"))
-    else:
-        # how many other texts share this text's buckets, over all its bands
-        sizes = buckets.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-        degree = buckets.join(sizes, ["band", "sketch"]).groupBy("node").agg(F.sum("size").alias("degree"))
-        buckets = buckets.join(degree, "node")
-        lead = F.max(F.struct("degree", "node", "class"))
-        last = F.min(F.struct(rank.alias("r"), "node", "class"))
-    centres = buckets.groupBy("band", "sketch").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), lead.alias("lead"), last.alias("last")) \
-        .where(F.col("low") != F.col("high"))
-    met = buckets.select("band", "sketch", "node", "class").join(centres, ["band", "sketch"])
-    both = met.select("node", "class", F.explode(F.array(
-        F.struct(F.col("lead.node").alias("node"), F.col("lead.class").alias("class")),
-        F.struct(F.col("last.node").alias("node"), F.col("last.class").alias("class")))).alias("other"))
+def first_proposals(buckets: DataFrame) -> DataFrame:
+    """(a, b): one pair a node, with the most connected of its buckets' leaders.
+    ``buckets``: band, sketch, size, node."""
+    degree = buckets.groupBy("node").agg(F.sum("size").alias("degree"))
+    placed = buckets.select("band", "sketch", "node").join(degree, "node")
+    leaders = placed.groupBy("band", "sketch").agg(F.max(F.struct("degree", "node")).alias("lead"))
+    best = placed.select("band", "sketch", "node").join(leaders, ["band", "sketch"]).where(
+        F.col("lead.node") != F.col("node")).groupBy("node").agg(F.max("lead").alias("lead"))
+    return best.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+
+
+def unfinished(buckets: DataFrame, classes: DataFrame, rounds: int) -> DataFrame:
+    """Rows of the buckets that hold several classes: band, sketch, node, class
+    and two members of the bucket's largest class, others each round."""
+    placed = buckets.select("band", "sketch", "node").join(classes, "node", "left").select(
+        "band", "sketch", "node", F.coalesce("class", "node").alias("class"), F.coalesce("size", F.lit(1)).alias("size"))
+
+    def centre(number: int) -> Column:
+        rank = F.xxhash64("node", "band", F.lit(2 * rounds + number))
+        return F.max(F.struct("size", rank.alias("rank"), "node", "class"))
+
+    centres = placed.groupBy("band", "sketch").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), centre(0).alias("one"), centre(1).alias("two")) \
+        .where(F.col("low") != F.col("high")).drop("low", "high")
+    return placed.drop("size").join(centres, ["band", "sketch"])
+
+
+def later_proposals(open_buckets: DataFrame) -> DataFrame:
+    """(a, b): every member that is not of the largest class against two members that are."""
+    both = open_buckets.select("node", "class", F.explode(F.array(
+        F.struct(F.col("one.node").alias("node"), F.col("one.class").alias("class")),
+        F.struct(F.col("two.node").alias("node"), F.col("two.class").alias("class")))).alias("other"))
     return both.where(F.col("class") != F.col("other.class")).select(
         F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """The pairs whose texts are similar.  ``texts``: node, text."""
+def shingle_table(texts: DataFrame) -> DataFrame:
+    """node and the hashes of its shingles as bytes.  ``texts``: node, text."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [shingles_of(_WORD.findall((t or "").lower())).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())],
+                                             names=["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(pack, "node string, shingles binary")
+
+
+def verified(pairs: DataFrame, shingles: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """The pairs whose shingle sequences are similar."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_b, of_b = None, None
         for batch in batches:
-            kept_a, kept_b = [], []
-            for a, b, ta, tb in zip(*(c.to_pylist() for c in batch.columns)):
-                if b != last_b:
-                    last_b, of_b = b, shingles_of(_WORD.findall((tb or "").lower()))
-                if similarity(shingles_of(_WORD.findall((ta or "").lower())), of_b, least):
-                    kept_a.append(a)
-                    kept_b.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(kept_a, pa.string()), pa.array(kept_b, pa.string())],
-                                             names=["a", "b"])
-
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
+            a, b, left, right = batch.columns
+            keep = [similarity(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), least) > 0
+                    for x, y in zip(left.to_pylist(), right.to_pylist())]
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+
+    one = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    two = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(
         align, "a string, b string")
 
 
@@ -235,26 +253,27 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     nodes = rows.groupBy("node").agg(F.first("sketches").alias("sketches"))
     exploded = nodes.select("node", F.posexplode("sketches").alias("band", "sketch"))
     # only buckets of two texts or more matter
-    shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+    shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     buckets = written(exploded.join(shared, ["band", "sketch"]), "buckets")
-    involved = buckets.select("node").distinct()
     # one text a node: the row with the smallest (doc_id, key) of those that hold its words
-    holders = rows.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")).join(involved, "node").select(
-        "node", F.col("of.doc_id").alias("held_id"), F.col("of.key").alias("held_key"))
+    holders = rows.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")) \
+        .join(buckets.select("node").distinct(), "node").select(
+            "node", F.col("of.doc_id").alias("held_id"), F.col("of.key").alias("held_key"))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(text_col)).alias("key"),
                       F.col(text_col).alias("text"))
-    texts = written(own.join(holders, (F.col("key") == F.col("held_key")) & same(F.col("doc_id"), F.col("held_id")))
-                    .select("node", "text"), "texts")
-    classes, edges, rounds = None, None, 0
+    held = own.join(holders, (F.col("key") == F.col("held_key")) & same(F.col("doc_id"), F.col("held_id")))
+    shingles = written(shingle_table(held), "shingles")
+    edges = written(verified(first_proposals(buckets), shingles), "links")
+    classes, rounds = components(edges), 0
     while True:
-        placed = buckets.withColumn("class", F.col("node")) if classes is None else buckets.join(
-            classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        found = written(verified(proposals(placed, rounds), texts), "links")
-        if rounds and found.isEmpty():
+        sized = classes.join(classes.groupBy("class").agg(F.count(F.lit(1)).alias("size")), "class")
+        # classes only grow, so a bucket of one class needs no further round
+        buckets = written(unfinished(buckets, sized, rounds), "open-buckets")
+        found = written(verified(later_proposals(buckets), shingles), "links")
+        if found.isEmpty():
             break
-        edges = found if edges is None else edges.union(found)
+        edges, rounds = edges.union(found), rounds + 1
         classes = components(edges)
-        rounds += 1
     return rows.select("doc_id", "key", "node").join(classes, "node", "left").select(
         "doc_id", "key", "node", F.coalesce("class", "node").alias("class"))
 
