@@ -33,10 +33,6 @@ def clean_code(c: str | Column) -> Column:
     return F.upper(blank_to_null(c))
 
 
-def money(c: str | Column, precision: int = 18, scale: int = 2) -> Column:
-    """Cast to ``decimal(18,2)``.  Decimals have no negative zero, so F3 is a no-op."""
-    return col_(c).cast(f"decimal({precision},{scale})")
-
 
 # --- F14: content hash ----------------------------------------------------
 

@@ -39,7 +39,9 @@ class BankDay:
                  master_sources: Sequence[str] | None = specs.FIRST_PASS_SOURCES,
                  customer_exceptions_table: DataFrame | None = None,
                  date_range: tuple | None = None, report_as_of: dt.datetime | None = None,
-                 share: bool = False, extra_issues: DataFrame | None = None):
+                 share: bool = False, extra_issues: DataFrame | None = None,
+                 bands: Sequence[specs.BandSpec] = specs.VALUE_BANDS,
+                 thresholds: Sequence[specs.ThresholdSpec] = specs.THRESHOLDS):
         self.spark = spark
         self.sources = dict(sources)
         self.existing_master = existing_master
@@ -54,6 +56,8 @@ class BankDay:
         self.report_as_of = report_as_of or as_of
         self.share = share
         self.extra_issues = extra_issues
+        self.bands = list(bands)
+        self.thresholds = list(thresholds)
 
     # --- construction from the driver's test tables --------------------------
     @classmethod
@@ -70,7 +74,7 @@ class BankDay:
         """The same day with other settings; accounts priced by this one are shared."""
         kw = {k: getattr(self, k) for k in ("business_date", "as_of", "execution_id", "load_type", "source_specs",
                                             "master_sources", "customer_exceptions_table", "date_range",
-                                            "report_as_of", "share", "extra_issues")} | changed
+                                            "report_as_of", "share", "extra_issues", "bands", "thresholds")} | changed
         other = BankDay(self.spark, self.sources, self.existing_master, **kw)
         if not {"load_type", "source_specs", "date_range", "business_date"} & changed.keys():
             other.__dict__["priced"] = self.priced
@@ -169,7 +173,7 @@ class BankDay:
     def portfolio_rows(self) -> DataFrame:
         """Included accounts with metrics and the enrichment flags still attached."""
         inc = portfolio.include_accounts(self.enriched, self.critical_customers)
-        return portfolio.add_portfolio_metrics(inc)
+        return portfolio.add_portfolio_metrics(inc, self.bands)
 
     @cached_property
     def portfolio(self) -> DataFrame:
@@ -205,7 +209,7 @@ class BankDay:
     # --- report --------------------------------------------------------
     @cached_property
     def scorecard(self) -> DataFrame:
-        return kpi.scorecard(self.portfolio, self.exceptions, self.report_as_of)
+        return kpi.scorecard(self.portfolio, self.exceptions, self.report_as_of, self.thresholds)
 
     DERIVED = ("customer_master", "priced", "enriched", "critical_customers", "portfolio_rows", "portfolio",
                "portfolio_errors", "branch_exceptions", "exceptions", "staged_exceptions", "scorecard")

@@ -149,3 +149,15 @@ def source_specs_from_config(config: DataFrame) -> list[specs.SourceSpec]:
         balance=r.balance_field, currency=r.currency_field, status=r.status_field,
         date=r.business_date_field, active=r.is_active,
         supports_incremental=r.supports_incremental) for r in rows]
+
+
+def bands_from_config(bands: DataFrame) -> list[specs.BandSpec]:
+    """The band rows (bounded: one per value band) as specs."""
+    return [specs.BandSpec(r.band_name, r.minimum_value, r.maximum_value)
+            for r in bands.orderBy("minimum_value").collect()]
+
+
+def thresholds_from_config(thresholds: DataFrame) -> list[specs.ThresholdSpec]:
+    """The reporting thresholds (bounded: one row per metric) as specs."""
+    return [specs.ThresholdSpec(r.metric_name, r.green_threshold, r.amber_threshold, r.red_threshold)
+            for r in thresholds.orderBy("metric_name").collect()]

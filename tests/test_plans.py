@@ -4,7 +4,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerlens.plans.bank_day import BankDay
+from ledgerlens.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,20 +72,48 @@ def test_date_filter_pushed_to_scan(spark, scratch):
     assert "PushedFilters: [IsNotNull(snapshot_date), EqualTo(snapshot_date,2026-01-31)]" in text
 
 
-def test_duplicate_keys_broadcast_only_within_budget(day):
-    """The DQ006 key set is broadcast after a size check on the extracted keys
-    (a pruned scan); beyond the budget the join is left to AQE."""
+SCANS = {"portfolio": 12, "exceptions": 16, "scorecard": 40, "branch_quality": 40, "recon_checks": 150,
+         "recon_verdict": 150, "runlog_latest": 150}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_registered_plans(spark, name):
+    """No cross join over rows and no Python; the queries that once recomputed
+    the pipeline stay within their number of scans."""
+    df = QUERIES[name](spark, SF)
+    p = plan(df)
+    assert "CartesianProduct" not in p and "EvalPython" not in p
+    assert p.count("FileScan parquet") <= SCANS.get(name, 80)
+    # with one literal category the (config-sized) category join has no key left
+    if name not in ("issues_classified", "customer_severity_summary", "runlog_latest"):
+        assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_building_a_query_runs_no_size_check(spark, day):
+    """Rules build lazily: no job starts, no broadcast is hinted for data-sized keys."""
+    from ledgerlens.operators import rules
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "build-only")
+    flagged = rules.flag_duplicates(day.enriched)
+    assert not status.getJobIdsForGroup("build-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "strategy=broadcast" not in flagged._jdf.queryExecution().analyzed().toString().split("_d_acct")[0][-200:]
+
+
+def test_only_requested_rules_are_evaluated(day):
     from ledgerlens.operators import rules
-    frame = day.enriched
-    within = plan(rules.flag_duplicates(frame, bound=day.account_keys))
-    assert re.search(r"BroadcastHashJoin \[business_date#\d+, source_account_number#\d+\], \[_d_date", within)
-    beyond = rules.flag_duplicates(frame, broadcast_rows=0, bound=day.account_keys)
-    flagged = rules.flag_duplicates(frame, bound=day.account_keys)
-
-    def hints(df):
-        return df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
-    assert hints(beyond) == hints(flagged) - 1
-    assert flagged.filter("is_duplicate").count() == beyond.filter("is_duplicate").count() > 0
+    frame = day.priced.withColumn("eligible_for_reporting", F.lit("Y"))
+    p = plan(rules.rule_hits(frame, codes=["DQ004"]))
+    assert "HashAggregate" not in p and "SortMergeJoin" not in p
+    hits = {r.rule_code for r in rules.rule_hits(frame, codes=["DQ002", "DQ004"]).select("rule_code").distinct().collect()}
+    assert hits == {"DQ002", "DQ004"}
+
+
+def test_rates_are_cut_to_the_run_before_the_broadcast(spark, day):
+    other = day.fx.withColumn("effective_date", F.date_sub("effective_date", 400))
+    run = BankDay.from_testdata(spark, SF)
+    run.__dict__["fx"] = day.fx.unionByName(other)
+    assert run.run_rates.count() == day.fx.count()
 
 
 def test_master_dedupe_counts_is_one_aggregate(day):
