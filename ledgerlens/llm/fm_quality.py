@@ -35,7 +35,8 @@ _RUNS = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 
 #: chunk -> the buckets of its runs of letters and of other characters, as 32-bit integers
 _buckets = Cache(lambda chunk: np.array(
-    [xxhash.xxh3_64_intdigest(run.encode("utf-8")) % BUCKETS for run in _RUNS.findall(chunk)], dtype="<i4").tobytes())
+    [xxhash.xxh3_64_intdigest(run.encode("utf-8")) % BUCKETS for run in _RUNS.findall(chunk)], dtype="<i4").tobytes(),
+                 150_000)
 
 _UPPER, _LOWER, _DIGIT = (np.arange(lo, hi + 1) for lo, hi in ((65, 90), (97, 122), (48, 57)))
 _SYMBOLS = np.frombuffer(b"#*$%&|<>~^=+@\\/_", dtype=np.uint8)

@@ -59,7 +59,7 @@ class LibraryIds:
     def __init__(self, path: str):
         self.tok, self.symbols = library_tokenizer(path), byte_symbols()
         self.model = self.tok.model
-        self.chunk_ids = Cache(self._chunk)
+        self.chunk_ids = Cache(self._chunk, 500_000)
 
     def _piece(self, piece: str) -> list[int]:
         spelled = piece if piece.isascii() else "".join(self.symbols[b] for b in piece.encode("utf-8"))

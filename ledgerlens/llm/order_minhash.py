@@ -5,11 +5,12 @@ digits of the lower-cased text; a text of one to four words is one shingle).
 Each of ``SKETCHES`` sketches takes the ``PICKED`` smallest occurrence-labelled
 shingles under its own order and hashes them in text order, so that equal
 sketches are likely only where much of the text agrees in the same order.
-Texts with an equal sketch share a bucket.  First every text is paired with
-the most connected leader of its buckets.  Buckets that still hold several
-classes then pair each member outside their largest class with two members of
-it, others in each round, until a round finds nothing new; each round is
-linear in the size of these buckets.  A proposal is verified by a banded alignment
+Texts with an equal sketch share a bucket, and texts with ``SHARED`` equal
+sketches are candidates.  First every text is paired with the most connected
+leader of its buckets.  Buckets that still hold several classes then pair
+their members with four centres of other classes, and again with others as
+long as this links members of the bucket; each round is linear in the size of
+these buckets.  A proposal is verified by a banded alignment
 of the two shingle sequences: similarity is L / (a + b - L) for an alignment
 of L shingles, and 0.8 bounds the band.  Classes are the connected components.
 
@@ -35,15 +36,17 @@ from ledgerlens.llm.native import row_key, same, written
 from ledgerlens.llm.textual import Cache, slices
 
 SHINGLE = 5
-PICKED = 3
-SKETCHES = 16
+PICKED = 4
+SKETCHES = 24
+#: Equal sketches of a candidate pair.  A pair at the least similarity has about 10 of 24.
+SHARED = 2
 SIMILAR = 0.8
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Hash values held at once while the sketches of one text are made.
 _AT_ONCE = 1 << 20
 
-_word_hash = Cache(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8")))
+_word_hash = Cache(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8")), 200_000)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -175,31 +178,43 @@ def first_proposals(buckets: DataFrame) -> DataFrame:
     return best.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
 
 
+#: Centres of a bucket in a round: this many of its largest class, and as many of all its members.
+CENTRES = 2
+
+
 def unfinished(buckets: DataFrame, classes: DataFrame, rounds: int) -> DataFrame:
     """Rows of the buckets that hold several classes: band, sketch, node, class
-    and two members of the bucket's largest class, others each round."""
-    placed = buckets.select("band", "sketch", "node").join(classes, "node", "left").select(
-        "band", "sketch", "node", F.coalesce("class", "node").alias("class"), F.coalesce("size", F.lit(1)).alias("size"))
+    and the bucket's centres, others each round.  ``classes``: node, class, size."""
+    placed = buckets.select("band", "sketch", "node").join(classes, "node")
 
-    def centre(number: int) -> Column:
-        rank = F.xxhash64("node", "band", F.lit(2 * rounds + number))
-        return F.max(F.struct("size", rank.alias("rank"), "node", "class"))
+    def centre(number: int, *first: str) -> Column:
+        rank = F.xxhash64("node", "band", F.lit(rounds), F.lit(number))
+        return F.max(F.struct(*first, rank.alias("rank"), "node", "class")).alias(f"centre{number}")
 
     centres = placed.groupBy("band", "sketch").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), centre(0).alias("one"), centre(1).alias("two")) \
+        F.min("class").alias("low"), F.max("class").alias("high"),
+        *(centre(i, "size") for i in range(CENTRES)), *(centre(CENTRES + i) for i in range(CENTRES))) \
         .where(F.col("low") != F.col("high")).drop("low", "high")
     return placed.drop("size").join(centres, ["band", "sketch"])
 
 
 def later_proposals(open_buckets: DataFrame) -> DataFrame:
-    """(a, b): every member that is not of the largest class against two members that are."""
-    both = open_buckets.select("node", "class", F.explode(F.array(
-        F.struct(F.col("one.node").alias("node"), F.col("one.class").alias("class")),
-        F.struct(F.col("two.node").alias("node"), F.col("two.class").alias("class")))).alias("other"))
+    """(a, b): every member of a bucket against its centres of other classes."""
+    centres = F.array(*(F.struct(F.col(f"centre{i}.node").alias("node"), F.col(f"centre{i}.class").alias("class"))
+                        for i in range(2 * CENTRES)))
+    both = open_buckets.select("node", "class", F.explode(centres).alias("other"))
     return both.where(F.col("class") != F.col("other.class")).select(
         F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
 
 
+def candidates(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs with ``SHARED`` equal sketches or more.  ``sketches``: node, sketches."""
+    one = sketches.select(F.col("node").alias("a"), F.col("sketches").alias("left"))
+    two = sketches.select(F.col("node").alias("b"), F.col("sketches").alias("right"))
+    equal = F.size(F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda e: e))
+    return pairs.join(one, "a").join(two, "b").where(equal >= SHARED).select("a", "b")
+
+
 def shingle_table(texts: DataFrame) -> DataFrame:
     """node and the hashes of its shingles as bytes.  ``texts``: node, text."""
 
@@ -247,33 +262,55 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "class")
 
 
+def merged(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` (node, class) after joining the classes that the links in ``found`` connect."""
+    of_a, of_b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
+    links = found.join(of_a, "a").join(of_b, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    into = components(links).select(F.col("node").alias("class"), F.col("class").alias("into"))
+    return written(classes.join(into, "class", "left").select("node", F.coalesce("into", "class").alias("class")),
+                   "classes")
+
+
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key and class (a node) of every row, plus the node of its words."""
     rows = written(sketch_table(docs, id_col, text_col), "sketches")
-    nodes = rows.groupBy("node").agg(F.first("sketches").alias("sketches"))
+    # equal words have equal sketches
+    nodes = rows.dropDuplicates(["node"]).select("node", "sketches")
     exploded = nodes.select("node", F.posexplode("sketches").alias("band", "sketch"))
-    # only buckets of two texts or more matter
     shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    buckets = written(exploded.join(shared, ["band", "sketch"]), "buckets")
-    # one text a node: the row with the smallest (doc_id, key) of those that hold its words
-    holders = rows.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")) \
-        .join(buckets.select("node").distinct(), "node").select(
-            "node", F.col("of.doc_id").alias("held_id"), F.col("of.key").alias("held_key"))
+    in_shared = written(exploded.join(shared, ["band", "sketch"]), "shared")
+    # a node in fewer shared buckets has no candidate
+    wanted = written(in_shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED)
+                     .select("node"), "wanted")
+    buckets = written(in_shared.join(wanted, "node"), "buckets")
+    # one row a node: that with the smallest (doc_id, key) of those that hold its words
+    holders = rows.join(wanted, "node").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")).select(
+        "node", F.col("of.doc_id").alias("held_id"), F.col("of.key").alias("held_key"))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(text_col)).alias("key"),
                       F.col(text_col).alias("text"))
-    held = own.join(holders, (F.col("key") == F.col("held_key")) & same(F.col("doc_id"), F.col("held_id")))
+    # repeated rows hold the same text, of which one copy is enough
+    held = own.join(holders, (F.col("key") == F.col("held_key")) & same(F.col("doc_id"), F.col("held_id"))) \
+        .groupBy("node").agg(F.first("text").alias("text"))
     shingles = written(shingle_table(held), "shingles")
-    edges = written(verified(first_proposals(buckets), shingles), "links")
-    classes, rounds = components(edges), 0
+    sketches = written(nodes.join(wanted, "node"), "node-sketches")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return written(verified(candidates(pairs, sketches), shingles), "links")
+
+    classes = merged(wanted.select("node", F.col("node").alias("class")), linked(first_proposals(buckets)))
+    rounds = 0
     while True:
         sized = classes.join(classes.groupBy("class").agg(F.count(F.lit(1)).alias("size")), "class")
         # classes only grow, so a bucket of one class needs no further round
         buckets = written(unfinished(buckets, sized, rounds), "open-buckets")
-        found = written(verified(later_proposals(buckets), shingles), "links")
+        found = linked(later_proposals(buckets))
         if found.isEmpty():
             break
-        edges, rounds = edges.union(found), rounds + 1
-        classes = components(edges)
+        classes, rounds = merged(classes, found), rounds + 1
+        # a bucket whose centres linked nothing is done; the others try further centres
+        ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        moved = buckets.join(ends, "node", "left_semi").select("band", "sketch").distinct()
+        buckets = buckets.join(moved, ["band", "sketch"], "left_semi")
     return rows.select("doc_id", "key", "node").join(classes, "node", "left").select(
         "doc_id", "key", "node", F.coalesce("class", "node").alias("class"))
 

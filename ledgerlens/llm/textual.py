@@ -22,8 +22,9 @@ BYTE_CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 BYTE_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
-#: Entries a per-process cache may hold before it is emptied.
-CACHE_ENTRIES = 500_000
+#: Entries of a per-process cache.  Python workers outlive a stage, so the caches
+#: of several operators add up beside the executor's heap.
+CACHE_ENTRIES = 300_000
 #: Code points handled together inside a task.
 SLICE_CHARS = 6_000_000
 
