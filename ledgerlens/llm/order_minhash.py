@@ -5,13 +5,13 @@ digits of the lower-cased text; a text of one to four words is one shingle).
 Each of ``SKETCHES`` sketches takes the ``PICKED`` smallest occurrence-labelled
 shingles under its own order and hashes them in text order, so that equal
 sketches are likely only where much of the text agrees in the same order.
-Texts with an equal sketch share a bucket, and texts with ``SHARED`` equal
-sketches are candidates.  First every text is paired with the most connected
-leader of its buckets.  Buckets that still hold several classes then pair
-their members with four centres of other classes, and again with others as
-long as this links members of the bucket; each round is linear in the size of
-these buckets.  A proposal is verified by a banded alignment
-of the two shingle sequences: similarity is L / (a + b - L) for an alignment
+Texts with an equal sketch share a bucket; texts that share fewer than
+``SHARED`` buckets with any others have no partner.  First every text is
+paired with the most connected leader of its buckets.  Buckets that still hold
+several classes then pair their members with two centres of other classes, and
+again with others as long as this links members of the bucket; each round is
+linear in the size of these buckets.  A proposal is verified by a banded
+alignment of the two shingle sequences: similarity is L / (a + b - L) for an alignment
 of L shingles, and 0.8 bounds the band.  Classes are the connected components.
 
 Defined cases: texts with the same words are one class, null, empty and
@@ -38,7 +38,7 @@ from ledgerlens.llm.textual import Cache, slices
 SHINGLE = 5
 PICKED = 4
 SKETCHES = 24
-#: Equal sketches of a candidate pair.  A pair at the least similarity has about 10 of 24.
+#: Buckets that a text must share with others.  A pair at the least similarity has about 10 of 24 in common.
 SHARED = 2
 SIMILAR = 0.8
 _WORD = re.compile(r"[^\W_]+")
@@ -179,7 +179,7 @@ def first_proposals(buckets: DataFrame) -> DataFrame:
 
 
 #: Centres of a bucket in a round: this many of its largest class, and as many of all its members.
-CENTRES = 2
+CENTRES = 1
 
 
 def unfinished(buckets: DataFrame, classes: DataFrame, rounds: int) -> DataFrame:
@@ -207,14 +207,6 @@ def later_proposals(open_buckets: DataFrame) -> DataFrame:
         F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
 
 
-def candidates(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs with ``SHARED`` equal sketches or more.  ``sketches``: node, sketches."""
-    one = sketches.select(F.col("node").alias("a"), F.col("sketches").alias("left"))
-    two = sketches.select(F.col("node").alias("b"), F.col("sketches").alias("right"))
-    equal = F.size(F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda e: e))
-    return pairs.join(one, "a").join(two, "b").where(equal >= SHARED).select("a", "b")
-
-
 def shingle_table(texts: DataFrame) -> DataFrame:
     """node and the hashes of its shingles as bytes.  ``texts``: node, text."""
 
@@ -292,18 +284,14 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     held = own.join(holders, (F.col("key") == F.col("held_key")) & same(F.col("doc_id"), F.col("held_id"))) \
         .groupBy("node").agg(F.first("text").alias("text"))
     shingles = written(shingle_table(held), "shingles")
-    sketches = written(nodes.join(wanted, "node"), "node-sketches")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return written(verified(candidates(pairs, sketches), shingles), "links")
-
-    classes = merged(wanted.select("node", F.col("node").alias("class")), linked(first_proposals(buckets)))
+    found = written(verified(first_proposals(buckets), shingles), "links")
+    classes = merged(wanted.select("node", F.col("node").alias("class")), found)
     rounds = 0
     while True:
         sized = classes.join(classes.groupBy("class").agg(F.count(F.lit(1)).alias("size")), "class")
         # classes only grow, so a bucket of one class needs no further round
         buckets = written(unfinished(buckets, sized, rounds), "open-buckets")
-        found = linked(later_proposals(buckets))
+        found = written(verified(later_proposals(buckets), shingles), "links")
         if found.isEmpty():
             break
         classes, rounds = merged(classes, found), rounds + 1
