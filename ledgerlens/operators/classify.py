@@ -64,7 +64,7 @@ def classify_issues(issues: DataFrame, categories: DataFrame, severities: DataFr
         F.col("error_category").alias("exception_category"),
         F.col("error_description").alias("exception_description"),
         pick(F.col("_sev"), defaults["severity_code"]).alias("severity_code"),
-        F.when(classified, F.concat(F.lit("Severity: "), F.col("_sev")))
+        F.when(classified, F.concat(F.lit(specs.SEVERITY_TEXT), F.col("_sev")))
          .otherwise(F.lit(defaults["severity_description"])).alias("severity_description"),
         pick(F.col("_esc"), defaults["escalation_required"]).alias("escalation_required"),
         pick(F.col("_sla"), defaults["resolution_target_hours"]).cast("int").alias("resolution_target_hours"),
@@ -73,9 +73,9 @@ def classify_issues(issues: DataFrame, categories: DataFrame, severities: DataFr
         pick(F.col("_team"), defaults["support_team"]).alias("support_team"),
         F.col("logged_date"),
         date_value(business_date).alias("business_date"),
-        F.lit("OPEN").alias("exception_status"),
+        F.lit(specs.EXCEPTION_STATUS).alias("exception_status"),
         timestamp_value(as_of).alias("assigned_date"),
-        F.lit("PENDING").alias("resolution_status"),
+        F.lit(specs.RESOLUTION_STATUS).alias("resolution_status"),
     )
 
 
@@ -86,7 +86,7 @@ def escalate(exceptions: DataFrame) -> DataFrame:
         "escalation_level": lookup_expr("severity_code", specs.ESCALATION_LEVELS,
                                         specs.ESCALATION_LEVEL_OTHERWISE),
         "resolution_due_date": add_hours("logged_date", "resolution_target_hours"),
-        "exception_description": F.when(crit, F.concat(F.lit("[CRITICAL] "), F.col("exception_description")))
+        "exception_description": F.when(crit, F.concat(F.lit(specs.CRITICAL_TEXT), F.col("exception_description")))
                                   .otherwise(F.col("exception_description")),
     })
 

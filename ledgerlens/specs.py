@@ -181,6 +181,12 @@ EXECUTIVE_STATUS: tuple[tuple[str, int, str], ...] = (
 )
 EXECUTIVE_OTHERWISE = "Normal Operations"
 
+# Texts and states written into customer exceptions.
+SEVERITY_TEXT = "Severity: "
+CRITICAL_TEXT = "[CRITICAL] "
+EXCEPTION_STATUS = "OPEN"
+RESOLUTION_STATUS = "PENDING"
+
 ESCALATION_QUEUES: tuple[tuple[str, str], ...] = (
     ("CRITICAL", "Immediate Response"),
     ("HIGH", "Priority Queue"),
