@@ -7,7 +7,7 @@ shingles under its own order and hashes them in text order, so that equal
 sketches are likely only where much of the text agrees in the same order.
 Texts with an equal sketch share a bucket; texts that share fewer than
 ``SHARED`` buckets with any others have no partner.  First every text is
-paired with the most connected leader of its buckets.  Buckets that still hold
+paired with the leader of one of its buckets.  Buckets that still hold
 several classes then pair their members with two centres of other classes, and
 again with others as long as this links members of the bucket; each round is
 linear in the size of these buckets.  A proposal is verified by a banded
@@ -145,7 +145,7 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 
 
 def sketch_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key, node (digest of the words) and the sketches of every row."""
+    """doc_id, key, words (their digest) and the sketches of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,23 +159,23 @@ def sketch_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part)),
                      pa.array(nodes, pa.string()), pa.array(found, pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "node", "sketches"])
+                    names=["doc_id", "key", "words", "sketches"])
                 at += len(part)
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(text_col)).alias("key"),
                       F.col(text_col).alias("text"))
-    return own.mapInArrow(sketch, "doc_id long, key long, node string, sketches array<long>")
+    return own.mapInArrow(sketch, "doc_id long, key long, words string, sketches array<long>")
 
 
 def first_proposals(buckets: DataFrame) -> DataFrame:
-    """(a, b): one pair a node, with the most connected of its buckets' leaders.
-    ``buckets``: band, sketch, size, node."""
-    degree = buckets.groupBy("node").agg(F.sum("size").alias("degree"))
-    placed = buckets.select("band", "sketch", "node").join(degree, "node")
-    leaders = placed.groupBy("band", "sketch").agg(F.max(F.struct("degree", "node")).alias("lead"))
-    best = placed.select("band", "sketch", "node").join(leaders, ["band", "sketch"]).where(
-        F.col("lead.node") != F.col("node")).groupBy("node").agg(F.max("lead").alias("lead"))
-    return best.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+    """(a, b): one pair a node, with the leader of one of its buckets.  Leaders
+    follow one order of all nodes, so the buckets of a group mostly agree on
+    theirs.  ``buckets``: band, sketch, node."""
+    order = F.xxhash64("node")
+    leaders = buckets.groupBy("band", "sketch").agg(F.max(F.struct(order.alias("order"), "node")).alias("lead"))
+    best = buckets.join(leaders, ["band", "sketch"]).where(F.col("lead.node") != F.col("node")).groupBy("node").agg(
+        F.max("lead").alias("lead"))
+    return best.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
 
 #: Centres of a bucket in a round: this many of its largest class, and as many of all its members.
@@ -185,7 +185,7 @@ CENTRES = 1
 def unfinished(buckets: DataFrame, classes: DataFrame, rounds: int) -> DataFrame:
     """Rows of the buckets that hold several classes: band, sketch, node, class
     and the bucket's centres, others each round.  ``classes``: node, class, size."""
-    placed = buckets.select("band", "sketch", "node").join(classes, "node")
+    placed = buckets.select("band", "sketch", "node").join(classes, "node")  # with class and size
 
     def centre(number: int, *first: str) -> Column:
         rank = F.xxhash64("node", "band", F.lit(rounds), F.lit(number))
@@ -216,7 +216,7 @@ def shingle_table(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())],
                                              names=["node", "shingles"])
 
-    return texts.select("node", "text").mapInArrow(pack, "node string, shingles binary")
+    return texts.select("node", "text").mapInArrow(pack, "node long, shingles binary")
 
 
 def verified(pairs: DataFrame, shingles: DataFrame, least: float = SIMILAR) -> DataFrame:
@@ -233,7 +233,7 @@ def verified(pairs: DataFrame, shingles: DataFrame, least: float = SIMILAR) -> D
     one = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     two = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(
-        align, "a string, b string")
+        align, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -254,29 +254,44 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "class")
 
 
-def merged(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``classes`` (node, class) after joining the classes that the links in ``found`` connect."""
-    of_a, of_b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
-    links = found.join(of_a, "a").join(of_b, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-    into = components(links).select(F.col("node").alias("class"), F.col("class").alias("into"))
-    return written(classes.join(into, "class", "left").select("node", F.coalesce("into", "class").alias("class")),
-                   "classes")
+def hooked(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` (node, class, size) after each class joined the largest class
+    that a link in ``found`` connects it with.  One step, not the whole
+    component: a class left over proposes again, and the exact components of
+    all links follow at the end."""
+    of_a, of_b = (classes.select(F.col("node").alias(c), F.struct("size", "class").alias(f"class_{c}")) for c in "ab")
+    ends = found.join(of_a, "a").join(of_b, "b").select(F.explode(F.array(
+        F.struct(F.col("class_a").alias("own"), F.col("class_b").alias("other")),
+        F.struct(F.col("class_b").alias("own"), F.col("class_a").alias("other")))).alias("e"))
+    into = ends.groupBy(F.col("e.own.class").alias("class")).agg(
+        F.max(F.greatest("e.own", "e.other")).getField("class").alias("into"))
+    moved = classes.select("node", "class").join(into, "class", "left").select(
+        "node", F.coalesce("into", "class").alias("class"))
+    return sized(moved)
+
+
+def sized(classes: DataFrame) -> DataFrame:
+    """node, class and the number of nodes in the class."""
+    sizes = classes.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
+    return written(classes.join(sizes, "class").select("node", "class", "size"), "classes")
 
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key and class (a node) of every row, plus the node of its words."""
+    """doc_id, key and class (a number) of every row."""
     rows = written(sketch_table(docs, id_col, text_col), "sketches")
-    # equal words have equal sketches
-    nodes = rows.dropDuplicates(["node"]).select("node", "sketches")
+    # equal words have equal sketches; nodes are numbered for the joins that follow
+    nodes = written(rows.dropDuplicates(["words"]).select("words", F.monotonically_increasing_id().alias("node"),
+                                                          "sketches"), "nodes")
     exploded = nodes.select("node", F.posexplode("sketches").alias("band", "sketch"))
-    shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
     in_shared = written(exploded.join(shared, ["band", "sketch"]), "shared")
-    # a node in fewer shared buckets has no candidate
+    # a node in fewer shared buckets has no partner
     wanted = written(in_shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED)
                      .select("node"), "wanted")
     buckets = written(in_shared.join(wanted, "node"), "buckets")
     # one row a node: that with the smallest (doc_id, key) of those that hold its words
-    holders = rows.join(wanted, "node").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")).select(
+    numbers = nodes.select("words", "node").join(wanted, "node")
+    holders = rows.join(numbers, "words").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")).select(
         "node", F.col("of.doc_id").alias("held_id"), F.col("of.key").alias("held_key"))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(text_col)).alias("key"),
                       F.col(text_col).alias("text"))
@@ -284,23 +299,24 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     held = own.join(holders, (F.col("key") == F.col("held_key")) & same(F.col("doc_id"), F.col("held_id"))) \
         .groupBy("node").agg(F.first("text").alias("text"))
     shingles = written(shingle_table(held), "shingles")
+
     found = written(verified(first_proposals(buckets), shingles), "links")
-    classes = merged(wanted.select("node", F.col("node").alias("class")), found)
-    rounds = 0
+    links, rounds = found, 0
+    classes = hooked(wanted.select("node", F.col("node").alias("class"), F.lit(1).cast("long").alias("size")), found)
     while True:
-        sized = classes.join(classes.groupBy("class").agg(F.count(F.lit(1)).alias("size")), "class")
-        # classes only grow, so a bucket of one class needs no further round
-        buckets = written(unfinished(buckets, sized, rounds), "open-buckets")
+        buckets = written(unfinished(buckets, classes, rounds), "open-buckets")
         found = written(verified(later_proposals(buckets), shingles), "links")
         if found.isEmpty():
             break
-        classes, rounds = merged(classes, found), rounds + 1
+        links, rounds = links.union(found), rounds + 1
+        classes = hooked(classes, found)
         # a bucket whose centres linked nothing is done; the others try further centres
         ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         moved = buckets.join(ends, "node", "left_semi").select("band", "sketch").distinct()
-        buckets = buckets.join(moved, ["band", "sketch"], "left_semi")
-    return rows.select("doc_id", "key", "node").join(classes, "node", "left").select(
-        "doc_id", "key", "node", F.coalesce("class", "node").alias("class"))
+        buckets = buckets.select("band", "sketch", "node").join(moved, ["band", "sketch"], "left_semi")
+    named = nodes.select("words", "node").join(components(links), "node", "left").select(
+        "words", F.coalesce("class", "node").alias("class"))
+    return rows.select("doc_id", "key", "words").join(named, "words").select("doc_id", "key", "class")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
