@@ -61,13 +61,14 @@ class LibraryIds:
         self.model = self.tok.model
         self.chunk_ids = Cache(self._chunk, 500_000)
 
-    def _piece(self, piece: str) -> list[int]:
-        spelled = piece if piece.isascii() else "".join(self.symbols[b] for b in piece.encode("utf-8"))
-        return [t.id for t in self.model.tokenize(spelled)]
-
     def _chunk(self, chunk: str) -> bytes:
         pieces = [chunk] if chunk.isalpha() else WORD_PIECES.findall(chunk)
-        ids = [i for p in pieces for i in self._piece(p)]
+        if len(pieces) > 1:
+            # a word with its punctuation: the word alone is usually known
+            return b"".join(map(self.chunk_ids.__getitem__, pieces))
+        piece = pieces[0]
+        spelled = piece if piece.isascii() else "".join(self.symbols[b] for b in piece.encode("utf-8"))
+        ids = [t.id for t in self.model.tokenize(spelled)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
