@@ -183,19 +183,21 @@ CENTRES = 1
 
 
 def unfinished(buckets: DataFrame, classes: DataFrame, rounds: int) -> DataFrame:
-    """Rows of the buckets that hold several classes: band, sketch, node, class
-    and the bucket's centres, others each round.  ``classes``: node, class, size."""
-    placed = buckets.select("band", "sketch", "node").join(classes, "node")  # with class and size
+    """Rows of the buckets that hold several classes and a node that the last
+    round linked: band, sketch, node, class and the bucket's centres, others
+    each round.  ``classes``: node, class, size, fresh."""
+    placed = written(buckets.select("band", "sketch", "node").join(classes, "node"), "placed")
 
     def centre(number: int, *first: str) -> Column:
         rank = F.xxhash64("node", "band", F.lit(rounds), F.lit(number))
         return F.max(F.struct(*first, rank.alias("rank"), "node", "class")).alias(f"centre{number}")
 
+    # a bucket whose centres linked nothing is done; the others try further centres
     centres = placed.groupBy("band", "sketch").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"),
+        F.min("class").alias("low"), F.max("class").alias("high"), F.max("fresh").alias("fresh"),
         *(centre(i, "size") for i in range(CENTRES)), *(centre(CENTRES + i) for i in range(CENTRES))) \
-        .where(F.col("low") != F.col("high")).drop("low", "high")
-    return placed.drop("size").join(centres, ["band", "sketch"])
+        .where((F.col("low") != F.col("high")) & F.col("fresh")).drop("low", "high", "fresh")
+    return placed.drop("size", "fresh").join(centres, ["band", "sketch"])
 
 
 def later_proposals(open_buckets: DataFrame) -> DataFrame:
@@ -255,7 +257,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def hooked(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``classes`` (node, class, size) after each class joined the largest class
+    """``classes`` (node, class, size, fresh) after each class joined the largest class
     that a link in ``found`` connects it with.  One step, not the whole
     component: a class left over proposes again, and the exact components of
     all links follow at the end."""
@@ -265,15 +267,11 @@ def hooked(classes: DataFrame, found: DataFrame) -> DataFrame:
         F.struct(F.col("class_b").alias("own"), F.col("class_a").alias("other")))).alias("e"))
     into = ends.groupBy(F.col("e.own.class").alias("class")).agg(
         F.max(F.greatest("e.own", "e.other")).getField("class").alias("into"))
-    moved = classes.select("node", "class").join(into, "class", "left").select(
-        "node", F.coalesce("into", "class").alias("class"))
-    return sized(moved)
-
-
-def sized(classes: DataFrame) -> DataFrame:
-    """node, class and the number of nodes in the class."""
-    sizes = classes.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
-    return written(classes.join(sizes, "class").select("node", "class", "size"), "classes")
+    linked = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("linked", F.lit(True))
+    moved = classes.select("node", "class").join(into, "class", "left").join(linked, "node", "left").select(
+        "node", F.coalesce("into", "class").alias("class"), F.coalesce("linked", F.lit(False)).alias("fresh"))
+    sizes = moved.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
+    return written(moved.join(sizes, "class").select("node", "class", "size", "fresh"), "classes")
 
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,7 +300,9 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     found = written(verified(first_proposals(buckets), shingles), "links")
     links, rounds = found, 0
-    classes = hooked(wanted.select("node", F.col("node").alias("class"), F.lit(1).cast("long").alias("size")), found)
+    alone = wanted.select("node", F.col("node").alias("class"), F.lit(1).cast("long").alias("size"),
+                          F.lit(True).alias("fresh"))
+    classes = hooked(alone, found).withColumn("fresh", F.lit(True))
     while True:
         buckets = written(unfinished(buckets, classes, rounds), "open-buckets")
         found = written(verified(later_proposals(buckets), shingles), "links")
@@ -310,10 +310,6 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             break
         links, rounds = links.union(found), rounds + 1
         classes = hooked(classes, found)
-        # a bucket whose centres linked nothing is done; the others try further centres
-        ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        moved = buckets.join(ends, "node", "left_semi").select("band", "sketch").distinct()
-        buckets = buckets.select("band", "sketch", "node").join(moved, ["band", "sketch"], "left_semi")
     named = nodes.select("words", "node").join(components(links), "node", "left").select(
         "words", F.coalesce("class", "node").alias("class"))
     return rows.select("doc_id", "key", "words").join(named, "words").select("doc_id", "key", "class")
