@@ -190,23 +190,25 @@ def unfinished(buckets: DataFrame, classes: DataFrame, rounds: int) -> DataFrame
 
     def centre(number: int, *first: str) -> Column:
         rank = F.xxhash64("node", "band", F.lit(rounds), F.lit(number))
-        return F.max(F.struct(*first, rank.alias("rank"), "node", "class")).alias(f"centre{number}")
+        return F.max(F.struct(*first, rank.alias("rank"), "node", "class", F.col("size").alias("of"))) \
+            .alias(f"centre{number}")
 
     # a bucket whose centres linked nothing is done; the others try further centres
     centres = placed.groupBy("band", "sketch").agg(
         F.min("class").alias("low"), F.max("class").alias("high"), F.max("fresh").alias("fresh"),
         *(centre(i, "size") for i in range(CENTRES)), *(centre(CENTRES + i) for i in range(CENTRES))) \
         .where((F.col("low") != F.col("high")) & F.col("fresh")).drop("low", "high", "fresh")
-    return placed.drop("size", "fresh").join(centres, ["band", "sketch"])
+    return placed.drop("fresh").join(centres, ["band", "sketch"])
 
 
 def later_proposals(open_buckets: DataFrame) -> DataFrame:
-    """(a, b): every member of a bucket against its centres of other classes."""
-    centres = F.array(*(F.struct(F.col(f"centre{i}.node").alias("node"), F.col(f"centre{i}.class").alias("class"))
-                        for i in range(2 * CENTRES)))
-    both = open_buckets.select("node", "class", F.explode(centres).alias("other"))
-    return both.where(F.col("class") != F.col("other.class")).select(
-        F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
+    """(a, b): every member of a bucket against its centres of other classes,
+    from the smaller class to the larger one."""
+    centres = F.array(*(F.struct(F.col(f"centre{i}.node").alias("node"), F.col(f"centre{i}.class").alias("class"),
+                                 F.col(f"centre{i}.of").alias("of")) for i in range(2 * CENTRES)))
+    others = F.filter(centres, lambda c: (c["class"] != F.col("class")) & (c["of"] >= F.col("size")))
+    both = open_buckets.select("node", F.explode(others).alias("other"))
+    return both.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
 
 
 def shingle_table(texts: DataFrame) -> DataFrame:
