@@ -5,14 +5,16 @@ digits of the lower-cased text; a text of one to four words is one shingle).
 Each of ``SKETCHES`` sketches takes the ``PICKED`` smallest occurrence-labelled
 shingles under its own order and hashes them in text order, so that equal
 sketches are likely only where much of the text agrees in the same order.
-Texts with an equal sketch share a bucket; texts that share fewer than
-``SHARED`` buckets with any others have no partner.  First every text is
-paired with the leader of one of its buckets.  Buckets that still hold
-several classes then pair their members with two centres of other classes, and
-again with others as long as this links members of the bucket; each round is
-linear in the size of these buckets.  A proposal is verified by a banded
-alignment of the two shingle sequences: similarity is L / (a + b - L) for an alignment
-of L shingles, and 0.8 bounds the band.  Classes are the connected components.
+Texts with an equal sketch share a bucket.  First every text is paired with
+the leader of one of its buckets.  Buckets that still hold several classes
+then pair their members with two centres of other classes, and again with
+others as long as this links members of the bucket; each round is linear in
+the size of these buckets.  What the rounds leave apart is settled exactly:
+the members of every bucket that still holds several classes are joined by
+their rarest shingles, of which two similar texts always share one.  A proposal is
+verified by a banded alignment of the two shingle sequences: similarity is
+L / (a + b - L) for an alignment of L shingles, and 0.8 bounds the band.
+Classes are the connected components.
 
 Defined cases: texts with the same words are one class, null, empty and
 wordless texts being one too; a class is named by its smallest doc_id (null
@@ -38,9 +40,9 @@ from ledgerlens.llm.textual import Cache, slices
 SHINGLE = 5
 PICKED = 4
 SKETCHES = 24
+SIMILAR = 0.8
 #: Buckets that a text must share with others.  A pair at the least similarity has about 10 of 24 in common.
 SHARED = 2
-SIMILAR = 0.8
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Hash values held at once while the sketches of one text are made.
@@ -66,17 +68,23 @@ def shingles_of(words: list[str]) -> np.ndarray:
     return out
 
 
-def sketches_of(shingles: np.ndarray, count: int = SKETCHES, picked: int = PICKED) -> np.ndarray:
-    """Order MinHash: one 64-bit value a sketch."""
+def labelled_of(shingles: np.ndarray) -> np.ndarray:
+    """The shingles told apart by their occurrence in the text."""
     n = len(shingles)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
     by = np.argsort(shingles, kind="stable")
     s = shingles[by]
-    new = np.concatenate(([True], s[1:] != s[:-1]))
+    new = np.concatenate((np.ones(min(1, n), dtype=bool), s[1:] != s[:-1]))
     nth = np.empty(n, dtype=np.uint64)
     nth[by] = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    labelled = _mixed(shingles + nth * np.uint64(0xD1B54A32D192ED03))
+    return _mixed(shingles + nth * np.uint64(0xD1B54A32D192ED03))
+
+
+def sketches_of(shingles: np.ndarray, count: int = SKETCHES, picked: int = PICKED) -> np.ndarray:
+    """Order MinHash: one 64-bit value a sketch."""
+    n = len(shingles)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    labelled = labelled_of(shingles)
     seeds = _mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
     take, out, step = min(picked, n), [], max(1, _AT_ONCE // n)
     for a in range(0, count, step):
@@ -145,26 +153,29 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 
 
 def sketch_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key, words (their digest) and the sketches of every row."""
+    """doc_id, key, words (their digest), the sketches and the number of shingles of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for part in slices(batch.column(2).to_pylist()):
-                nodes, found = [], []
+                nodes, found, lengths = [], [], []
                 for text in part:
                     words = _WORD.findall(text.lower())
                     nodes.append(hashlib.md5(" ".join(words).encode("utf-8"), usedforsecurity=False).hexdigest())
-                    found.append(sketches_of(shingles_of(words)))
+                    shingles = shingles_of(words)
+                    found.append(sketches_of(shingles))
+                    lengths.append(len(shingles))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part)),
-                     pa.array(nodes, pa.string()), pa.array(found, pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "words", "sketches"])
+                     pa.array(nodes, pa.string()), pa.array(found, pa.list_(pa.int64())),
+                     pa.array(lengths, pa.int32())],
+                    names=["doc_id", "key", "words", "sketches", "length"])
                 at += len(part)
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(text_col)).alias("key"),
                       F.col(text_col).alias("text"))
-    return own.mapInArrow(sketch, "doc_id long, key long, words string, sketches array<long>")
+    return own.mapInArrow(sketch, "doc_id long, key long, words string, sketches array<long>, length int")
 
 
 def first_proposals(buckets: DataFrame) -> DataFrame:
@@ -211,6 +222,68 @@ def later_proposals(open_buckets: DataFrame) -> DataFrame:
     return both.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
 
 
+#: Rows of a shingle outside its largest class that one task joins.
+SALTED = 1024
+#: Shingles of the exact join handed on at once.
+_HANDED_ON = 1 << 18
+
+
+def rare_prefixes(members: DataFrame, shingles: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """node, class, length, place and shingle: the rarest shingles of each text,
+    as many as may be left unaligned and one more, without those of one text
+    only.  ``members``: node, class."""
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, parts, held = [], [], 0
+            for i, (node, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), 1):
+                parts.append(labelled_of(np.frombuffer(packed, dtype=np.uint64)).view(np.int64))
+                nodes.append(np.full(len(parts[-1]), node, dtype=np.int64))
+                held += len(parts[-1])
+                if held >= _HANDED_ON or i == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(parts))],
+                                                     names=["node", "shingle"])
+                    nodes, parts, held = [], [], 0
+
+    own = written(shingles.join(members, "node").select("node", "shingles", "class"), "members")
+    each = own.select("node", "shingles").mapInArrow(labelled, "node long, shingle long")
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > 1)
+    listed = each.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct(
+        "held", "shingle"))).alias("rare"))
+    length = (F.length("shingles") / 8).cast("int")
+    sized = listed.join(own.select("node", "class", length.alias("length")), "node") \
+        .withColumn("single", F.col("length") - F.size("rare"))
+    wanted = F.floor(F.col("length") * (1 - least) + 1e-9).cast("int") + 1 - F.col("single")
+    return sized.where(wanted > 0).select("node", "class", "length", "single", F.posexplode(
+        F.slice("rare", F.lit(1), wanted)).alias("at", "one")).select(
+        "node", "class", "length", (F.col("single") + F.col("at")).alias("place"), F.col("one.shingle").alias("shingle"))
+
+
+def exact_proposals(members: DataFrame, shingles: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """(a, b): all pairs of different classes among ``members`` (node, class)
+    that can be similar by their rarest shingles, their places and lengths."""
+    prefixes = written(rare_prefixes(members, shingles, least), "prefixes")
+    # no pair lies inside one class, so the largest class of a shingle is on one side only
+    leads = prefixes.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle").agg(
+        F.max(F.struct("n", "class")).alias("lead"), F.sum("n").alias("all")).where(F.col("all") > F.col("lead.n")) \
+        .select("shingle", F.col("lead.class").alias("lead"),
+                F.ceil((F.col("all") - F.col("lead.n")) / SALTED).cast("int").alias("salts"))
+    rows = written(prefixes.join(leads, "shingle"), "open-prefixes")
+    one = rows.where(F.col("class") != F.col("lead")).select(
+        "shingle", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.col("node").alias("a"),
+        F.col("class").alias("class_a"), F.col("length").alias("length_a"), F.col("place").alias("place_a"))
+    two = rows.select("shingle", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                      F.col("node").alias("b"), F.col("class").alias("class_b"), F.col("length").alias("length_b"),
+                      F.col("place").alias("place_b"), (F.col("class") == F.col("lead")).alias("leads"))
+    # the first shingle in common leaves at most the rest of each text to align
+    rest = F.least(F.col("length_a") - F.col("place_a"), F.col("length_b") - F.col("place_b"))
+    enough = rest >= (F.col("length_a") + F.col("length_b")) * (least / (1 + least)) - 1e-6
+    # two texts outside the largest class meet once
+    pairs = one.join(two, ["shingle", "salt"]).where(
+        (F.col("class_a") != F.col("class_b")) & (F.col("leads") | (F.col("a") < F.col("b"))) & enough)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def shingle_table(texts: DataFrame) -> DataFrame:
     """node and the hashes of its shingles as bytes.  ``texts``: node, text."""
 
@@ -281,14 +354,14 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = written(sketch_table(docs, id_col, text_col), "sketches")
     # equal words have equal sketches; nodes are numbered for the joins that follow
     nodes = written(rows.dropDuplicates(["words"]).select("words", F.monotonically_increasing_id().alias("node"),
-                                                          "sketches"), "nodes")
+                                                          "sketches", "length"), "nodes")
     exploded = nodes.select("node", F.posexplode("sketches").alias("band", "sketch"))
     shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
     in_shared = written(exploded.join(shared, ["band", "sketch"]), "shared")
     # a node in fewer shared buckets has no partner
     wanted = written(in_shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED)
                      .select("node"), "wanted")
-    buckets = written(in_shared.join(wanted, "node"), "buckets")
+    buckets = in_shared = written(in_shared.join(wanted, "node"), "buckets")
     # one row a node: that with the smallest (doc_id, key) of those that hold its words
     numbers = nodes.select("words", "node").join(wanted, "node")
     holders = rows.join(numbers, "words").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")).select(
@@ -312,7 +385,20 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             break
         links, rounds = links.union(found), rounds + 1
         classes = hooked(classes, found)
-    named = nodes.select("words", "node").join(components(links), "node", "left").select(
+    # the rounds only spare the exact join most pairs: whatever still meets in a bucket goes through it
+    classes = written(wanted.join(components(links), "node", "left").select(
+        "node", F.coalesce("class", "node").alias("class")), "classes")
+    placed = in_shared.join(classes, "node")
+    mixed = placed.groupBy("band", "sketch").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
+        .where(F.col("low") != F.col("high")).select("band", "sketch")
+    apart = placed.join(mixed, ["band", "sketch"]).select("node").distinct()
+    found = written(verified(exact_proposals(written(classes.join(apart, "node"), "apart"), shingles), shingles), "links")
+    of_a, of_b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
+    further = components(found.join(of_a, "a").join(of_b, "b").select(
+        F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    joined = classes.join(further.select(F.col("node").alias("class"), F.col("class").alias("into")), "class", "left") \
+        .select("node", F.coalesce("into", "class").alias("class"))
+    named = nodes.select("words", "node").join(joined, "node", "left").select(
         "words", F.coalesce("class", "node").alias("class"))
     return rows.select("doc_id", "key", "words").join(named, "words").select("doc_id", "key", "class")
 

@@ -195,6 +195,41 @@ def test_classes_of_a_large_group_and_a_shared_passage(spark):
     assert classes_of(omh.near_duplicates(df).collect()) == brute_classes(texts)
 
 
+def test_near_copies_inside_a_family_with_a_shared_passage(spark):
+    """The copies agree in little but the passage that hundreds of other texts hold as well."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(91)]
+    texts = {k: " ".join(passage + [f"q{k}x{i}" for i in range(13)]) for k in range(400)}
+    for k in range(400, 460, 2):
+        own = [f"q{k}x{i}" for i in range(13)]
+        texts[k] = " ".join(passage + own)
+        texts[k + 1] = " ".join(passage + own[:3] + [f"r{k}x{i}" for i in range(10)])
+    df = spark.createDataFrame(rng.sample(list(texts.items()), len(texts)), "doc_id long, text string")
+    want = {frozenset((k,)) for k in range(400)} | {frozenset((k, k + 1)) for k in range(400, 460, 2)}
+    assert brute_classes(texts) == want
+    assert classes_of(omh.near_duplicates(df).collect()) == want
+
+
+def test_exact_proposals_hold_every_similar_pair(spark, monkeypatch):
+    """One class a text, and shingles dealt out to several salts."""
+    monkeypatch.setattr(omh, "SALTED", 3)
+    rng = random.Random(8)
+    seqs = {}
+    for k in range(120):
+        base = seqs[rng.randrange(k)] if k and rng.random() < 0.8 else [rng.randrange(25) for _ in range(rng.randrange(1, 60))]
+        seqs[k] = [x for x in base if rng.random() > 0.04] + [rng.randrange(25) for _ in range(rng.randrange(3))] or [0]
+    arrays = {k: np.array(v, dtype=np.uint64) for k, v in seqs.items()}
+    shingles = spark.createDataFrame([(k, v.tobytes()) for k, v in arrays.items()], "node long, shingles binary")
+    members = spark.createDataFrame([(k, k) for k in seqs], "node long, class long")
+    got = [tuple(r) for r in omh.exact_proposals(members, shingles).collect()]
+    want = {(a, b) for a in seqs for b in seqs if a < b and omh.similarity(arrays[a], arrays[b])}
+    assert want and want <= set(got) and len(got) == len(set(got))
+    # inside a class there is nothing to propose
+    one = spark.createDataFrame([(k, 0 if k else 1) for k in seqs], "node long, class long")
+    assert {tuple(r) for r in omh.exact_proposals(one, shingles).collect()} >= {p for p in want if p[0] == 0}
+    assert all(r.a == 0 for r in omh.exact_proposals(one, shingles).collect())
+
+
 def test_near_duplicates_edge_rows(edge, empty, clashing):
     for df in (edge, clashing):
         rows = omh.near_duplicates(df).collect()
