@@ -10,11 +10,13 @@ the leader of one of its buckets.  Buckets that still hold several classes
 then pair their members with two centres of other classes, and again with
 others as long as this links members of the bucket; each round is linear in
 the size of these buckets.  What the rounds leave apart is settled exactly:
-the members of every bucket that still holds several classes are joined by
-their rarest shingles, of which two similar texts always share one.  A proposal is
+the members of every bucket that still holds several classes, and all texts of
+at most ``SHORT`` shingles with their possible partners, are joined by their
+rarest shingles, of which two similar texts always share one.  A proposal is
 verified by a banded alignment of the two shingle sequences: similarity is
 L / (a + b - L) for an alignment of L shingles, and 0.8 bounds the band.
-Classes are the connected components.
+Classes are the connected components.  So a pair is missed only if a text of
+more than ``SHORT`` shingles has no sketch in common with its partner.
 
 Defined cases: texts with the same words are one class, null, empty and
 wordless texts being one too; a class is named by its smallest doc_id (null
@@ -41,8 +43,8 @@ SHINGLE = 5
 PICKED = 4
 SKETCHES = 24
 SIMILAR = 0.8
-#: Buckets that a text must share with others.  A pair at the least similarity has about 10 of 24 in common.
-SHARED = 2
+#: Texts of at most this many shingles find their partners without sketches.
+SHORT = 30
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Hash values held at once while the sketches of one text are made.
@@ -357,11 +359,11 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                                                           "sketches", "length"), "nodes")
     exploded = nodes.select("node", F.posexplode("sketches").alias("band", "sketch"))
     shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
-    in_shared = written(exploded.join(shared, ["band", "sketch"]), "shared")
-    # a node in fewer shared buckets has no partner
-    wanted = written(in_shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED)
-                     .select("node"), "wanted")
-    buckets = in_shared = written(in_shared.join(wanted, "node"), "buckets")
+    buckets = in_shared = written(exploded.join(shared, ["band", "sketch"]), "shared")
+    # similar texts differ in length by this factor at most
+    short = nodes.where(F.col("length") <= int(SHORT / SIMILAR + 1e-9)).select("node")
+    # no other node can have a partner
+    wanted = written(in_shared.select("node").union(short).distinct(), "wanted")
     # one row a node: that with the smallest (doc_id, key) of those that hold its words
     numbers = nodes.select("words", "node").join(wanted, "node")
     holders = rows.join(numbers, "words").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")).select(
@@ -391,7 +393,7 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     placed = in_shared.join(classes, "node")
     mixed = placed.groupBy("band", "sketch").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
         .where(F.col("low") != F.col("high")).select("band", "sketch")
-    apart = placed.join(mixed, ["band", "sketch"]).select("node").distinct()
+    apart = placed.join(mixed, ["band", "sketch"]).select("node").union(short).distinct()
     found = written(verified(exact_proposals(written(classes.join(apart, "node"), "apart"), shingles), shingles), "links")
     of_a, of_b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
     further = components(found.join(of_a, "a").join(of_b, "b").select(

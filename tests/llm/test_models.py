@@ -210,6 +210,16 @@ def test_near_copies_inside_a_family_with_a_shared_passage(spark):
     assert classes_of(omh.near_duplicates(df).collect()) == want
 
 
+def test_short_near_copies(spark):
+    """Texts of 8 and 9 words: 4 of 5 shingles in common."""
+    texts = {}
+    for k in range(0, 1200, 2):
+        texts[k] = " ".join(f"w{k}x{i}" for i in range(8))
+        texts[k + 1] = f"{texts[k]} more{k}"
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert classes_of(omh.near_duplicates(df).collect()) == {frozenset((k, k + 1)) for k in range(0, 1200, 2)}
+
+
 def test_exact_proposals_hold_every_similar_pair(spark, monkeypatch):
     """One class a text, and shingles dealt out to several salts."""
     monkeypatch.setattr(omh, "SALTED", 3)
