@@ -1,13 +1,15 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the
 nearest ancestor directory that has a licence file.
 
-Every line of a file is a header candidate; a licence file (LICENSE, LICENCE,
-COPYING, NOTICE, UNLICENSE, with any extension) is compared as a whole as well.
+Every line of a file is a header candidate, and so is every sentence of a block
+of neighbouring lines (comment marks removed), whole and cut where a notice
+begins; a licence file (LICENSE, LICENCE, COPYING, NOTICE, UNLICENSE, with any
+extension) is compared as a whole as well.
 Vectors hold the words of the template vocabulary, weighted by term frequency
 and the inverse document frequency over all files; other words lengthen a
-vector, each distinct one as a word seen nowhere else.  The best template at a
-cosine of at least ``SIMILAR`` names the file's licence (ties: the larger
-cosine, then the earlier template).  A file without one takes that of the
+vector, each distinct one as a word seen nowhere else.  Of the templates at a
+cosine of at least ``SIMILAR`` the one with the most distinct words in common
+names the file's licence (ties: the larger cosine, then the earlier template).  A file without one takes that of the
 nearest directory, its own included, whose licence file has one; directories
 and ancestors are joined by path.
 
@@ -39,6 +41,8 @@ TEMPLATES = (
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                 "General Public License as published by the Free Software Foundation, either version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
                      "provided that the following conditions are met."),
@@ -51,6 +55,11 @@ TEMPLATES = (
 #: Words that tell no licences apart.
 STOP_WORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "by", "can", "either", "except", "for", "from", "in",
               "into", "is", "it", "of", "on", "or", "the", "this", "to", "under", "with", "you")
+#: Ends of a sentence, but not "v." before a number; an empty line, bare comment marks included, ends one as well.
+_SENTENCE_END = "\\n\\n+|(?<=[.!?])(?<!\\bv\\.)\\s+"
+#: Where a template's first two words stand, and after a colon that ends a line.
+_NOTICE_START = "(?i)(?=\\b(?:" + "|".join(sorted({"\\s+".join(t.split()[:2]) for _, t in TEMPLATES})) + \
+    ")\\b)|(?<=:)[ \\t]*\\n"
 _LICENCE_FILE = "(?i)(^|/)(un)?(licen[sc]e|copying|notice)(\\.[^/]*)?$"
 
 
@@ -73,13 +82,18 @@ def directory_of(path: Column) -> Column:
 
 
 def _units(files: DataFrame) -> DataFrame:
-    """file_id, key, path, unit, n_other and terms of the lines (and whole
-    licence files) that hold a word of the template vocabulary."""
+    """file_id, key, path, unit, n_other and terms of the lines, sentences and
+    notices (and whole licence files) that hold a word of the template vocabulary."""
     vocabulary = F.array(*map(F.lit, _vocabulary()))
     stop = F.array(*map(F.lit, (*STOP_WORDS, *_vocabulary())))
     lines = F.split("text", "\n", -1)
+    bare = F.regexp_replace(F.regexp_replace("text", "\r\n?", "\n"), "(?m)^[^\\p{L}\\p{N}\\n]+", "")
+    sentences = F.split(bare, _SENTENCE_END, -1)
+    notices = F.flatten(F.transform("sentences", lambda x: F.split(x, _NOTICE_START, -1)))
     whole = F.when(F.col("path").rlike(_LICENCE_FILE), F.array(F.col("text"))).otherwise(F.array().cast("array<string>"))
-    unit = files.select("file_id", "key", "path", F.posexplode(F.concat(lines, whole)).alias("unit", "line"))
+    parts = files.select("file_id", "key", "path", "text", sentences.alias("sentences"))
+    unit = parts.select("file_id", "key", "path", F.posexplode(F.array_distinct(F.concat(
+        lines, whole, "sentences", notices))).alias("unit", "line"))
     split = unit.select("file_id", "key", "path", "unit", words_of(F.col("line")).alias("words"))
     return split.where(F.arrays_overlap("words", vocabulary)).select(
         "file_id", "key", "path", "unit", F.size(F.array_except("words", stop)).alias("n_other"),
@@ -113,11 +127,11 @@ def own_licences(files: DataFrame, least: float = SIMILAR) -> DataFrame:
     dots = unit_lengths.select("file_id", "key", "path", "unit", "unit_length", F.inline("terms")) \
         .join(F.broadcast(templates), "term").groupBy("file_id", "key", "path", "unit", "unit_length", "template",
                                                       "licence", "template_length") \
-        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    scored = dots.select("file_id", "key", "path", "licence", "template", F.round(
+        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.count(F.lit(1)).alias("matched"))
+    scored = dots.select("file_id", "key", "path", "licence", "template", "matched", F.round(
         F.col("dot") / (F.col("unit_length") * F.col("template_length")), 6).alias("cosine"))
     best = scored.where(F.col("cosine") >= least).groupBy("file_id", "key", "path").agg(
-        F.max(F.struct("cosine", (-F.col("template")).alias("early"), "licence")).alias("best"))
+        F.max(F.struct("matched", "cosine", (-F.col("template")).alias("early"), "licence")).alias("best"))
     return best.select("file_id", "key", "path", F.col("best.licence").alias("licence"),
                        F.col("best.cosine").alias("cosine"))
 

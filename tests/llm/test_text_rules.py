@@ -230,6 +230,32 @@ def test_root_licence_reaches_every_directory(spark):
     assert all(r.licence == "MIT" for r in lic.scan_licences(df, F.col("path")).collect())
 
 
+def test_wrapped_and_prefixed_notices(spark):
+    program = ("{0}This program is free software{1} you can redistribute it and/or modify\n"
+               "{0}it under the terms of the GNU General Public License as published by\n"
+               "{0}the Free Software Foundation{2} either version {3} of the License, or\n"
+               "{0}(at your option) any later version.\n")
+    work = "This work is licensed under the GNU General\nPublic License, version {}.\n"
+    apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in " \
+             "compliance with the License.\n"
+    files = [("GPL-2.0", program.format("# ", ";", ";", 2) + "import os\n"),
+             ("GPL-3.0", program.format(" * ", ":", ",", 3) + "int x;\n"),
+             ("GPL-2.0", "/*\r\n * Copyright (C) 2020 Foo Bar\r\n *\r\n" + program.format(" * ", ";", ";", 2) + " */\n"),
+             ("GPL-2.0", work.format(2)), ("GPL-3.0", work.format(3)),
+             ("Apache-2.0", "# Copyright 2020 Foo Bar Baz Quux\n# " + apache + "x = 1\n"),
+             ("MIT", "// Copyright 2020 Foo Bar Baz Quux Industries. Released under the MIT License.\ncode"),
+             ("MIT", "// Copyright 2020 Foo Bar Baz Quux Industries Released under the MIT License.\ncode"),
+             ("BSD-3-Clause", "# Redistribution and use in source and binary forms, with or without\n# modification, are "
+                              "permitted provided that the following conditions are met:\n# 1. Keep the list of names"),
+             ("MPL-2.0", "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a "
+                         "copy of the MPL was not distributed with this\n# file, You can obtain one elsewhere."),
+             (None, "the general public works on its own version of free code.\nnothing else")]
+    rows = [(i, f"d{i}/x.py", t) for i, (_, t) in enumerate(files)]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: r.licence for r in lic.scan_licences(df, F.col("path")).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(files)}
+
+
 def test_licences_of_a_table(spark, texts):
     rows = se.queries()["op2_license_scan"](spark, SF).collect()
     phrase = {"Apache License": "Apache-2.0", "MIT License": "MIT", "GNU General": "GPL-3.0", "CC BY-NC": "CC-BY-NC-4.0"}
