@@ -10,7 +10,7 @@ every document is scored.
 
 Defined cases: null and empty texts are scored from their statistics alone; a
 null recorded length is the text's own; without labelled rows every score is
-0.5; repeated rows give repeated results.
+0.5 and ``keep_good`` keeps every document; repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -205,6 +205,10 @@ def recorded_length(docs: DataFrame) -> Column:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """``docs`` without the documents that score under the threshold."""
-    score = quality_score(F.col("text"), recorded_length(docs), train(docs, labels))
+    """``docs`` without the documents that score under the threshold; all of them without any labelled row."""
+    machine = train(docs, labels)
+    # fitted on nothing, it tells nothing
+    if not machine.factors.any():
+        return docs
+    score = quality_score(F.col("text"), recorded_length(docs), machine)
     return docs.where(score >= threshold)

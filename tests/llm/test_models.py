@@ -68,6 +68,10 @@ def test_scores_of_edge_rows(score, edge, empty, clashing, labels):
     assert {r.score for r in score(edge, labels.limit(0)).collect()} == {0.5}
 
 
+def test_keep_good_without_labels_keeps_all(edge, labels):
+    assert fm.keep_good(edge, labels.limit(0)).count() == len(EDGE_ROWS)
+
+
 # -- toxicity --------------------------------------------------------------
 
 def test_swaps():
