@@ -150,20 +150,25 @@ def fit(x: Inputs, y: np.ndarray, epochs: int = 12, batch: int = 256, rate: floa
     return m
 
 
+def _known(texts: list[str], recorded: list[float | None]) -> list[float]:
+    """The recorded lengths, a null one being the text's own."""
+    return [float(len(t) if n is None or n != n else max(0, n)) for t, n in zip(texts, recorded)]
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Machine:
-    rows = training_sample(docs, labels, label)
+    rows = training_sample(docs, labels, label, recorded=recorded_length(docs))
 
     @pandas_udf("ids binary, values binary, dense binary")
-    def features(text: pd.Series) -> pd.DataFrame:
-        out = []
+    def features(text: pd.Series, recorded: pd.Series) -> pd.DataFrame:
+        lengths, out = recorded.tolist(), []
         for part in slices(text):
-            x = inputs_of(part, [float(len(t)) for t in part])
+            x = inputs_of(part, _known(part, lengths[len(out):len(out) + len(part)]))
             cut = np.searchsorted(x.row, np.arange(len(part) + 1))
             out += [(x.ids[a:b].astype("<i4").tobytes(), x.values[a:b].tobytes(), x.dense[i].tobytes())
                     for i, (a, b) in enumerate(zip(cut, cut[1:]))]
         return pd.DataFrame(out, columns=["ids", "values", "dense"])
 
-    got = sorted(rows.select("doc_id", "y", features("text").alias("x")).collect(), key=lambda r: r.doc_id)
+    got = sorted(rows.select("doc_id", "y", features("text", "recorded").alias("x")).collect(), key=lambda r: r.doc_id)
     if not got:
         empty = np.zeros(0)
         return fit(Inputs(empty, empty, empty, np.zeros((0, STATS))), empty)
@@ -183,9 +188,7 @@ def quality_score(text: Column, n_chars: Column, machine: Machine) -> Column:
         for texts, recorded in batches:
             lengths, out, at = recorded.tolist(), [], 0
             for part in slices(texts):
-                known = [float(len(t) if n != n or n is None else max(0, n))
-                         for t, n in zip(part, lengths[at:at + len(part)])]
-                out.append(machine.score(inputs_of(part, known)))
+                out.append(machine.score(inputs_of(part, _known(part, lengths[at:at + len(part)]))))
                 at += len(part)
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 

@@ -14,8 +14,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, size: int = SAMPLE_DOCS) -> DataFrame:
-    """doc_id, text and ``y`` of about ``size`` labelled documents outside the
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, size: int = SAMPLE_DOCS,
+                    recorded: Column | None = None) -> DataFrame:
+    """doc_id, text, ``recorded`` (null if not given) and ``y`` of about ``size`` labelled documents outside the
     held-out fold, picked by a hash of the id.  Null labels do not count; a
     document labelled twice counts once with its smaller label, and one of the
     rows of a repeated doc_id is taken."""
@@ -25,5 +26,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, size: int =
     share = min(_SLOTS, _SLOTS * size // total + 1) if total else 0
     # about ``size`` rows of 12 bytes, whatever the tables
     picked = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(_SLOTS)) < share))
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return own.join(picked, "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                      (F.lit(None) if recorded is None else recorded).cast("double").alias("recorded"))
+    return own.join(picked, "doc_id").groupBy("doc_id").agg(
+        F.min("y").alias("y"), F.min(F.struct("text", "recorded")).alias("of")).select(
+        "doc_id", "y", F.col("of.text").alias("text"), F.col("of.recorded").alias("recorded"))

@@ -68,6 +68,16 @@ def test_scores_of_edge_rows(score, edge, empty, clashing, labels):
     assert {r.score for r in score(edge, labels.limit(0)).collect()} == {0.5}
 
 
+def test_fitted_on_the_recorded_length(spark):
+    """Equal texts whose labels follow n_chars alone."""
+    ids = [i for i in range(400) if not held(i)]
+    df = spark.createDataFrame([(i, "the same text", 5 if i % 2 else 90_000) for i in ids],
+                               "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    scores = {r.doc_id: r.score for r in fm.quality(df, labels).collect()}
+    assert min(s for i, s in scores.items() if i % 2) > max(s for i, s in scores.items() if not i % 2) + 0.2
+
+
 def test_keep_good_without_labels_keeps_all(edge, labels):
     assert fm.keep_good(edge, labels.limit(0)).count() == len(EDGE_ROWS)
 
