@@ -5,14 +5,16 @@ digits of the lower-cased text; a text of one to four words is one shingle).
 Each of ``SKETCHES`` sketches takes the ``PICKED`` smallest occurrence-labelled
 shingles under its own order and hashes them in text order, so that equal
 sketches are likely only where much of the text agrees in the same order.
-Texts with an equal sketch share a bucket.  First every text is paired with
-the leader of one of its buckets.  Buckets that still hold several classes
-then pair their members with two centres of other classes, and again with
-others as long as this links members of the bucket; each round is linear in
-the size of these buckets.  What the rounds leave apart is settled exactly:
-the members of every bucket that still holds several classes, and all texts of
-at most ``SHORT`` shingles with their possible partners, are joined by their
-rarest shingles, of which two similar texts always share one.  A proposal is
+Texts with an equal sketch share a bucket.  The leader of a bucket is its
+member with the most company over all its buckets - in a group of edited copies
+that is the text they were made from.  Every text is proposed with the
+``PROPOSALS`` leaders it shares most sketches with, which is linear in the
+number of texts.  What this leaves apart is settled exactly: the members of
+every bucket that still holds several classes, and all texts of at most
+``SHORT`` shingles with their possible partners, are joined by their rarest
+shingles, of which two similar texts always share one; pairs inside a class
+are never made.  Of these pairs each text first tries one of every other class,
+then the pairs whose classes are still different follow.  A proposal is
 verified by a banded alignment of the two shingle sequences: similarity is
 L / (a + b - L) for an alignment of L shingles, and 0.8 bounds the band.
 Classes are the connected components.  So a pair is missed only if a text of
@@ -22,7 +24,9 @@ Defined cases: texts with the same words are one class, null, empty and
 wordless texts being one too; a class is named by its smallest doc_id (null
 only if all are null); a null doc_id is kept; rows that share a doc_id are
 told apart by their text; repeated rows give repeated results; an empty table
-gives no rows.
+gives no rows; texts of any length are taken whole (they travel to the workers
+in batches of ``BATCH_ROWS`` rows); columns other than doc_id and text are
+never read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -34,15 +38,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerlens.llm.native import row_key, same, written
+from ledgerlens.llm.native import row_key, same, small_batches, written
 from ledgerlens.llm.textual import Cache, slices
 
 SHINGLE = 5
 PICKED = 4
 SKETCHES = 24
 SIMILAR = 0.8
+#: Leaders that a text is compared with before the exact join.
+PROPOSALS = 3
+#: Rows of texts or pairs of shingle sequences that a worker holds at once.
+BATCH_ROWS = 256
 #: Texts of at most this many shingles find their partners without sketches.
 SHORT = 30
 _WORD = re.compile(r"[^\W_]+")
@@ -72,6 +80,9 @@ def shingles_of(words: list[str]) -> np.ndarray:
 
 def labelled_of(shingles: np.ndarray) -> np.ndarray:
     """The shingles told apart by their occurrence in the text."""
+    s = np.sort(shingles)
+    if not (s[1:] == s[:-1]).any():
+        return _mixed(shingles)
     n = len(shingles)
     by = np.argsort(shingles, kind="stable")
     s = shingles[by]
@@ -81,8 +92,26 @@ def labelled_of(shingles: np.ndarray) -> np.ndarray:
     return _mixed(shingles + nth * np.uint64(0xD1B54A32D192ED03))
 
 
+def _smallest(order: np.ndarray, take: int) -> np.ndarray:
+    """Places of the ``take`` smallest values of each row, ascending.  In long
+    rows only values under a bound that nearly always leaves enough are sorted."""
+    count, n = order.shape
+    if n > 64:
+        under = order < np.uint64((1 << 64) // n * 14)
+        rows, cols = np.nonzero(under)
+        held = np.bincount(rows, minlength=count)
+        if held.min() >= take:
+            at = np.arange(len(rows)) - np.repeat(np.cumsum(held) - held, held)
+            values = np.full((count, held.max()), np.iinfo(np.uint64).max, dtype=np.uint64)
+            places = np.zeros(values.shape, dtype=np.int64)
+            values[rows, at], places[rows, at] = order[rows, cols], cols
+            low = np.argpartition(values, take - 1, axis=1)[:, :take]
+            return np.sort(np.take_along_axis(places, low, axis=1), axis=1)
+    return np.sort(np.argpartition(order, take - 1, axis=1)[:, :take], axis=1)
+
+
 def sketches_of(shingles: np.ndarray, count: int = SKETCHES, picked: int = PICKED) -> np.ndarray:
-    """Order MinHash: one 64-bit value a sketch."""
+    """Order MinHash: one 64-bit value a sketch, no two sketches sharing values but by chance."""
     n = len(shingles)
     if not n:
         return np.zeros(0, dtype=np.int64)
@@ -90,10 +119,11 @@ def sketches_of(shingles: np.ndarray, count: int = SKETCHES, picked: int = PICKE
     seeds = _mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
     take, out, step = min(picked, n), [], max(1, _AT_ONCE // n)
     for a in range(0, count, step):
-        order = _mixed(labelled[None, :] ^ seeds[a:a + step, None])
-        low = np.argpartition(order, take - 1, axis=1)[:, :take] if take < n \
-            else np.broadcast_to(np.arange(n), (len(order), n))
-        kept = labelled[np.sort(low, axis=1)]
+        some = seeds[a:a + step, None]
+        # an order of its own: the product with an odd number keeps mixed values apart
+        low = _smallest((labelled[None, :] ^ some) * (some | np.uint64(1)), take) if take < n \
+            else np.broadcast_to(np.arange(n), (len(some), n))
+        kept = labelled[low]
         value = seeds[a:a + step].copy()
         for i in range(take):
             value = _mixed(value + kept[:, i])
@@ -180,48 +210,20 @@ def sketch_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return own.mapInArrow(sketch, "doc_id long, key long, words string, sketches array<long>, length int")
 
 
-def first_proposals(buckets: DataFrame) -> DataFrame:
-    """(a, b): one pair a node, with the leader of one of its buckets.  Leaders
-    follow one order of all nodes, so the buckets of a group mostly agree on
-    theirs.  ``buckets``: band, sketch, node."""
-    order = F.xxhash64("node")
-    leaders = buckets.groupBy("band", "sketch").agg(F.max(F.struct(order.alias("order"), "node")).alias("lead"))
-    best = buckets.join(leaders, ["band", "sketch"]).where(F.col("lead.node") != F.col("node")).groupBy("node").agg(
-        F.max("lead").alias("lead"))
-    return best.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
-
-
-#: Centres of a bucket in a round: this many of its largest class, and as many of all its members.
-CENTRES = 1
-
-
-def unfinished(buckets: DataFrame, classes: DataFrame, rounds: int) -> DataFrame:
-    """Rows of the buckets that hold several classes and a node that the last
-    round linked: band, sketch, node, class and the bucket's centres, others
-    each round.  ``classes``: node, class, size, fresh."""
-    placed = written(buckets.select("band", "sketch", "node").join(classes, "node"), "placed")
-
-    def centre(number: int, *first: str) -> Column:
-        rank = F.xxhash64("node", "band", F.lit(rounds), F.lit(number))
-        return F.max(F.struct(*first, rank.alias("rank"), "node", "class", F.col("size").alias("of"))) \
-            .alias(f"centre{number}")
-
-    # a bucket whose centres linked nothing is done; the others try further centres
-    centres = placed.groupBy("band", "sketch").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.max("fresh").alias("fresh"),
-        *(centre(i, "size") for i in range(CENTRES)), *(centre(CENTRES + i) for i in range(CENTRES))) \
-        .where((F.col("low") != F.col("high")) & F.col("fresh")).drop("low", "high", "fresh")
-    return placed.drop("fresh").join(centres, ["band", "sketch"])
-
-
-def later_proposals(open_buckets: DataFrame) -> DataFrame:
-    """(a, b): every member of a bucket against its centres of other classes,
-    from the smaller class to the larger one."""
-    centres = F.array(*(F.struct(F.col(f"centre{i}.node").alias("node"), F.col(f"centre{i}.class").alias("class"),
-                                 F.col(f"centre{i}.of").alias("of")) for i in range(2 * CENTRES)))
-    others = F.filter(centres, lambda c: (c["class"] != F.col("class")) & (c["of"] >= F.col("size")))
-    both = open_buckets.select("node", F.explode(others).alias("other"))
-    return both.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
+def leading_proposals(shared: DataFrame) -> DataFrame:
+    """(a, b): every node with the ``PROPOSALS`` leaders of its buckets that it
+    shares most buckets with.  ``shared``: sketch, node, n (members of the bucket)."""
+    company = F.sum("n").over(Window.partitionBy("node"))  # at most a row a sketch
+    ranked = shared.select("sketch", F.struct(company.alias("company"), F.xxhash64("node").alias("rank"), "node").alias("one"))
+    leaders = ranked.groupBy("sketch").agg(F.max("one").alias("lead"))
+    met = ranked.join(leaders, "sketch").where(F.col("one.node") != F.col("lead.node")).groupBy(
+        F.col("one.node").alias("node")).agg(F.collect_list("lead").alias("leads"))
+    agree = F.transform(F.array_distinct("leads"), lambda lead: F.struct(
+        F.size(F.filter("leads", lambda other: other == lead)).alias("agree"), lead.alias("lead")))
+    best = F.slice(F.sort_array(agree, asc=False), 1, PROPOSALS)
+    both = met.select("node", F.explode(best).alias("best"))
+    other = F.col("best.lead.node")
+    return both.select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")).distinct()
 
 
 #: Rows of a shingle outside its largest class that one task joins.
@@ -230,6 +232,11 @@ SALTED = 1024
 _HANDED_ON = 1 << 18
 
 
+def _sequence(packed: pa.BinaryScalar) -> np.ndarray:
+    """The shingles of one row, without a copy."""
+    return np.frombuffer(packed.as_buffer(), dtype=np.uint64)
+
+
 def rare_prefixes(members: DataFrame, shingles: DataFrame, least: float = SIMILAR) -> DataFrame:
     """node, class, length, place and shingle: the rarest shingles of each text,
     as many as may be left unaligned and one more, without those of one text
@@ -238,8 +245,8 @@ def rare_prefixes(members: DataFrame, shingles: DataFrame, least: float = SIMILA
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, parts, held = [], [], 0
-            for i, (node, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), 1):
-                parts.append(labelled_of(np.frombuffer(packed, dtype=np.uint64)).view(np.int64))
+            for i, (node, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1)), 1):
+                parts.append(labelled_of(_sequence(packed)).view(np.int64))
                 nodes.append(np.full(len(parts[-1]), node, dtype=np.int64))
                 held += len(parts[-1])
                 if held >= _HANDED_ON or i == batch.num_rows:
@@ -247,8 +254,9 @@ def rare_prefixes(members: DataFrame, shingles: DataFrame, least: float = SIMILA
                                                      names=["node", "shingle"])
                     nodes, parts, held = [], [], 0
 
-    own = written(shingles.join(members, "node").select("node", "shingles", "class"), "members")
-    each = own.select("node", "shingles").mapInArrow(labelled, "node long, shingle long")
+    with small_batches(members.sparkSession, BATCH_ROWS):
+        own = written(shingles.join(members, "node").select("node", "shingles", "class"), "members")
+        each = written(own.select("node", "shingles").mapInArrow(labelled, "node long, shingle long"), "labelled")
     common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > 1)
     listed = each.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct(
         "held", "shingle"))).alias("rare"))
@@ -291,7 +299,7 @@ def shingle_table(texts: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [shingles_of(_WORD.findall((t or "").lower())).tobytes() for t in batch.column(1).to_pylist()]
+            packed = [shingles_of(_WORD.findall((t.as_py() or "").lower())).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())],
                                              names=["node", "shingles"])
 
@@ -299,20 +307,20 @@ def shingle_table(texts: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, shingles: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """The pairs whose shingle sequences are similar."""
+    """The pairs whose shingle sequences are similar, as a table."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, left, right = batch.columns
-            keep = [similarity(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), least) > 0
-                    for x, y in zip(left.to_pylist(), right.to_pylist())]
+            keep = [similarity(_sequence(x), _sequence(y), least) > 0 for x, y in zip(left, right)]
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
     one = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     two = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(
-        align, "a long, b long")
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
+    with small_batches(pairs.sparkSession, BATCH_ROWS):
+        return written(joined.mapInArrow(align, "a long, b long"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -333,74 +341,71 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "class")
 
 
-def hooked(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``classes`` (node, class, size, fresh) after each class joined the largest class
-    that a link in ``found`` connects it with.  One step, not the whole
-    component: a class left over proposes again, and the exact components of
-    all links follow at the end."""
-    of_a, of_b = (classes.select(F.col("node").alias(c), F.struct("size", "class").alias(f"class_{c}")) for c in "ab")
-    ends = found.join(of_a, "a").join(of_b, "b").select(F.explode(F.array(
-        F.struct(F.col("class_a").alias("own"), F.col("class_b").alias("other")),
-        F.struct(F.col("class_b").alias("own"), F.col("class_a").alias("other")))).alias("e"))
-    into = ends.groupBy(F.col("e.own.class").alias("class")).agg(
-        F.max(F.greatest("e.own", "e.other")).getField("class").alias("into"))
-    linked = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("linked", F.lit(True))
-    moved = classes.select("node", "class").join(into, "class", "left").join(linked, "node", "left").select(
-        "node", F.coalesce("into", "class").alias("class"), F.coalesce("linked", F.lit(False)).alias("fresh"))
-    sizes = moved.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
-    return written(moved.join(sizes, "class").select("node", "class", "size", "fresh"), "classes")
+def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` (node, class) after the classes that ``links`` (a, b: nodes) connect became one."""
+    of_a, of_b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
+    between = links.join(of_a, "a").join(of_b, "b").where(F.col("class_a") != F.col("class_b")).select(
+        F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    into = components(between).select(F.col("node").alias("class"), F.col("class").alias("into"))
+    return written(classes.join(into, "class", "left").select("node", F.coalesce("into", "class").alias("class")),
+                   "classes")
+
+
+def still_apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b, class_a and class_b of the pairs between different classes."""
+    of_a, of_b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
+    return pairs.join(of_a, "a").join(of_b, "b").where(F.col("class_a") != F.col("class_b"))
+
+
+def one_a_class(pairs: DataFrame) -> DataFrame:
+    """(a, b): for every node one partner in each other class.  ``pairs``: a, b, class_a, class_b."""
+    ends = pairs.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.col("class_b").alias("other"), F.col("b").alias("partner")),
+        F.struct(F.col("b").alias("node"), F.col("class_a").alias("other"), F.col("a").alias("partner")))).alias("e"))
+    chosen = ends.groupBy("e.node", "e.other").agg(F.min(F.struct(
+        F.xxhash64("e.partner").alias("rank"), F.col("e.partner").alias("partner"))).alias("of"))
+    return chosen.select(F.least("node", "of.partner").alias("a"), F.greatest("node", "of.partner").alias("b")).distinct()
 
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key and class (a number) of every row."""
-    rows = written(sketch_table(docs, id_col, text_col), "sketches")
-    # equal words have equal sketches; nodes are numbered for the joins that follow
-    nodes = written(rows.dropDuplicates(["words"]).select("words", F.monotonically_increasing_id().alias("node"),
-                                                          "sketches", "length"), "nodes")
-    exploded = nodes.select("node", F.posexplode("sketches").alias("band", "sketch"))
-    shared = exploded.groupBy("band", "sketch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
-    buckets = in_shared = written(exploded.join(shared, ["band", "sketch"]), "shared")
+    spark = docs.sparkSession
+    with small_batches(spark, BATCH_ROWS):
+        rows = written(sketch_table(docs, id_col, text_col), "sketches")
+    # equal words have equal sketches; a node stands for them, and one row of them holds its text
+    who = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("who")
+    nodes = written(rows.groupBy("words").agg(
+        F.min(F.struct(who, "key")).alias("of"), F.first("sketches").alias("sketches"), F.first("length").alias("length"))
+        .select("words", F.monotonically_increasing_id().alias("node"), "of.who", "of.key", "sketches", "length"), "nodes")
+    exploded = nodes.select("node", F.explode("sketches").alias("sketch"))
+    sizes = exploded.groupBy("sketch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shared = written(exploded.join(sizes, "sketch"), "shared")
     # similar texts differ in length by this factor at most
     short = nodes.where(F.col("length") <= int(SHORT / SIMILAR + 1e-9)).select("node")
     # no other node can have a partner
-    wanted = written(in_shared.select("node").union(short).distinct(), "wanted")
-    # one row a node: that with the smallest (doc_id, key) of those that hold its words
-    numbers = nodes.select("words", "node").join(wanted, "node")
-    holders = rows.join(numbers, "words").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of")).select(
-        "node", F.col("of.doc_id").alias("held_id"), F.col("of.key").alias("held_key"))
+    wanted = written(shared.select("node").union(short).distinct(), "wanted")
+    holders = nodes.select("node", "who", "key").join(wanted, "node")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(F.col(text_col)).alias("key"),
-                      F.col(text_col).alias("text"))
+                      F.col(text_col).alias("text")).select(who, "key", "text")
     # repeated rows hold the same text, of which one copy is enough
-    held = own.join(holders, (F.col("key") == F.col("held_key")) & same(F.col("doc_id"), F.col("held_id"))) \
-        .groupBy("node").agg(F.first("text").alias("text"))
-    shingles = written(shingle_table(held), "shingles")
-
-    found = written(verified(first_proposals(buckets), shingles), "links")
-    links, rounds = found, 0
-    alone = wanted.select("node", F.col("node").alias("class"), F.lit(1).cast("long").alias("size"),
-                          F.lit(True).alias("fresh"))
-    classes = hooked(alone, found).withColumn("fresh", F.lit(True))
-    while True:
-        buckets = written(unfinished(buckets, classes, rounds), "open-buckets")
-        found = written(verified(later_proposals(buckets), shingles), "links")
-        if found.isEmpty():
-            break
-        links, rounds = links.union(found), rounds + 1
-        classes = hooked(classes, found)
-    # the rounds only spare the exact join most pairs: whatever still meets in a bucket goes through it
+    held = own.join(holders, ["key", "who"]).groupBy("key", "who").agg(
+        F.first("node").alias("node"), F.first("text").alias("text"))
+    with small_batches(spark, BATCH_ROWS):
+        shingles = written(shingle_table(held), "shingles")
+
+    links = verified(leading_proposals(shared), shingles)
     classes = written(wanted.join(components(links), "node", "left").select(
         "node", F.coalesce("class", "node").alias("class")), "classes")
-    placed = in_shared.join(classes, "node")
-    mixed = placed.groupBy("band", "sketch").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
-        .where(F.col("low") != F.col("high")).select("band", "sketch")
-    apart = placed.join(mixed, ["band", "sketch"]).select("node").union(short).distinct()
-    found = written(verified(exact_proposals(written(classes.join(apart, "node"), "apart"), shingles), shingles), "links")
-    of_a, of_b = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
-    further = components(found.join(of_a, "a").join(of_b, "b").select(
-        F.col("class_a").alias("a"), F.col("class_b").alias("b")))
-    joined = classes.join(further.select(F.col("node").alias("class"), F.col("class").alias("into")), "class", "left") \
-        .select("node", F.coalesce("into", "class").alias("class"))
-    named = nodes.select("words", "node").join(joined, "node", "left").select(
+    placed = shared.select("sketch", "node").join(classes, "node")
+    mixed = placed.groupBy("sketch").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
+        .where(F.col("low") != F.col("high")).select("sketch")
+    apart = placed.join(mixed, "sketch").select("node").union(short).distinct()
+    pairs = written(exact_proposals(written(classes.join(apart, "node"), "apart"), shingles), "pairs")
+    # most pairs lie between two classes that one of them joins
+    for chosen in (one_a_class, lambda rest: rest.select("a", "b")):
+        links = verified(chosen(still_apart(pairs, classes)), shingles)
+        classes = merged(classes, links)
+    named = nodes.select("words", "node").join(classes, "node", "left").select(
         "words", F.coalesce("class", "node").alias("class"))
     return rows.select("doc_id", "key", "words").join(named, "words").select("doc_id", "key", "class")
 
