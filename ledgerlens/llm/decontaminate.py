@@ -12,14 +12,16 @@
 The masks hit every stretch of 7 to 13 words with the substitutions this allows.  Words are
 runs of letters and digits of the lower-cased text.  Defined cases: null and
 empty texts, and items of fewer than five words, match nothing; repeated rows
-and repeated items give repeated results; a null doc_id is kept.
+and repeated items give repeated results; a null doc_id is kept; empty tables
+give no rows; texts and items of any length are compared whole; other columns
+are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.llm.native import row_key, same, written
+from ledgerlens.llm.native import let, row_key, same, written
 
 #: Positions that count are 1.
 MASKS = ("11111", "110111", "1101011", "11100011")
@@ -54,12 +56,11 @@ def overlap(words: Column, item: Column, diagonal: Column) -> Column:
     """Most agreeing places of a stretch of the item on the diagonal; 0 if none reaches the share."""
     length = F.least(F.lit(STRETCH), F.size(item))
     agree = F.transform(item, lambda w, i: (F.coalesce(F.get(words, i + diagonal) == w, F.lit(False))).cast("int"))
-    # running sums: the count of a stretch is a difference of two
-    sums = F.aggregate(agree, F.array(F.lit(0)), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
-    best = F.element_at(F.transform(F.array(sums), lambda s: F.array_max(F.transform(
-        F.sequence(F.lit(0), F.size(item) - length), lambda i: F.get(s, i + length) - F.get(s, i)))), 1)
+    starts = F.sequence(F.lit(1), F.size(item) - length + 1)
+    best = let(agree, lambda a: F.array_max(F.transform(starts, lambda i: F.aggregate(
+        F.slice(a, i, length), F.lit(0), lambda sum, x: sum + x))))
     least = F.when(length < TOLERANT, length).otherwise(F.ceil(length * AGREE))
-    return F.when(best >= least, best).otherwise(0)
+    return let(best, lambda n: F.when(n >= least, n).otherwise(0))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -79,8 +80,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         (F.col("at") - F.col("item_at")).alias("diagonal")).distinct(), "proposals")
     with_item = proposed.join(F.broadcast(keyed) if fits else keyed, "item_key").withColumnRenamed("words", "item")
     joined = own.join(with_item, (F.col("key") == F.col("p_key")) & same(F.col("doc_id"), F.col("p_id")))
-    checked = joined.select("doc_id", "key", "item_id", overlap(words_of(F.col("text")), F.col("item"),
-                                                                F.col("diagonal")).alias("matched"))
+    # a text is split once a row, not once an item word
+    matched = let(words_of(F.col("text")), lambda words: overlap(words, F.col("item"), F.col("diagonal")))
+    checked = joined.select("doc_id", "key", "item_id", matched.alias("matched"))
     return checked.where(F.col("matched") > 0).groupBy("doc_id", "key", "item_id").agg(
         F.max("matched").cast("long").alias("matched_words"))
 
