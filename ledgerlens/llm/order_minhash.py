@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.llm.native import row_key, same, small_batches, written
-from ledgerlens.llm.textual import Cache, slices
+from ledgerlens.llm.textual import Cache, keep_only, slices
 
 SHINGLE = 5
 PICKED = 4
@@ -188,6 +188,7 @@ def sketch_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, key, words (their digest), the sketches and the number of shingles of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(_word_hash)
         for batch in batches:
             at = 0
             for part in slices(batch.column(2).to_pylist()):
@@ -298,6 +299,7 @@ def shingle_table(texts: DataFrame) -> DataFrame:
     """node and the hashes of its shingles as bytes.  ``texts``: node, text."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(_word_hash)
         for batch in batches:
             packed = [shingles_of(_WORD.findall((t.as_py() or "").lower())).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())],

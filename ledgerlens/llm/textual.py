@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import weakref
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -51,9 +52,12 @@ class Cache(dict):
     """``make(key)`` on a miss.  When it reaches its bound the entries become the
     old generation, from which those still in use come back without being made again."""
 
+    known: list[weakref.ref] = []
+
     def __init__(self, make, bound: int = CACHE_ENTRIES):
         super().__init__()
         self.make, self.bound, self.old = make, bound, {}
+        self.known.append(weakref.ref(self))
 
     def __missing__(self, key):
         value = self.old.get(key)
@@ -66,6 +70,15 @@ class Cache(dict):
         return value
 
 
+def keep_only(*caches: Cache) -> None:
+    """Empties every other cache of this worker: those of earlier stages."""
+    for ref in Cache.known:
+        cache = ref()
+        if cache is not None and not any(cache is c for c in caches):
+            cache.clear()
+            cache.old = {}
+
+
 @lru_cache(maxsize=1)
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies: printable
