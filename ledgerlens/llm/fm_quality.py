@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerlens.llm.labelled import held_out, training_sample
-from ledgerlens.llm.textual import Cache, slices
+from ledgerlens.llm.textual import Cache, keep_only, slices
 
 BUCKETS = 1 << 16
 FACTORS = 8
@@ -185,6 +185,7 @@ def quality_score(text: Column, n_chars: Column, machine: Machine) -> Column:
 
     @pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        keep_only(_buckets)
         for texts, recorded in batches:
             lengths, out, at = recorded.tolist(), [], 0
             for part in slices(texts):

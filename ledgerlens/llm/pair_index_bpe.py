@@ -27,8 +27,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ledgerlens.llm.textual import (BYTE_CHUNKS, BYTE_PIECES, CACHE_ENTRIES, byte_symbols, is_plain,
-                                    library_tokenizer, slices, special_pattern, special_tokens, tokenizer_spec)
+from ledgerlens.llm.textual import (BYTE_CHUNKS, BYTE_PIECES, CACHE_ENTRIES, byte_symbols, forgettable, is_plain,
+                                    keep_only, library_tokenizer, slices, special_pattern, special_tokens,
+                                    tokenizer_spec)
 
 
 class PairIndexBpe:
@@ -52,6 +53,10 @@ class PairIndexBpe:
             self.spelling[i] = self._bytes(token)
         for token, i in self.special_ids.items():
             self.spelling[i] = self._bytes(token)
+        self.forget()
+        forgettable(self)
+
+    def forget(self) -> None:
         self.pieces: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
@@ -148,7 +153,7 @@ class PairIndexBpe:
         """Ids of each text of a slice; pre-tokens met for the first time go
         through the pair index together, known ones come from the cache."""
         if len(self.pieces) > CACHE_ENTRIES or len(self.chunks) > CACHE_ENTRIES:
-            self.pieces, self.chunks = {}, {}
+            self.forget()
         plans, chunks = [], self.chunks
         fresh: dict[str, list[str]] = {}
         wanted: dict[str | bytes, None] = {}
@@ -228,6 +233,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     @pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = codec(path)
+        keep_only(own)
         for batch in batches:
             rows = []
             for part in slices(batch):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 import weakref
@@ -27,7 +28,7 @@ WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}
 #: of several operators add up beside the executor's heap.
 CACHE_ENTRIES = 300_000
 #: Code points handled together inside a task.
-SLICE_CHARS = 6_000_000
+SLICE_CHARS = 2_000_000
 
 
 def is_plain(text: str) -> bool:
@@ -48,16 +49,39 @@ def slices(texts: Iterable[str | None], chars: int = SLICE_CHARS) -> Iterator[li
         yield part
 
 
+_forgettable: list[weakref.ref] = []
+
+
+def forgettable(owner) -> None:
+    """``owner.forget()`` gives up what it has cached in this worker."""
+    _forgettable.append(weakref.ref(owner))
+
+
+def keep_only(*owners) -> None:
+    """Empties the caches of all other owners: workers are used again by later
+    stages and would hold those of earlier ones beside their own."""
+    for ref in _forgettable:
+        owner = ref()
+        if owner is not None and not any(owner is o for o in owners):
+            owner.forget()
+    try:  # glibc keeps freed memory until it is told not to
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 class Cache(dict):
     """``make(key)`` on a miss.  When it reaches its bound the entries become the
     old generation, from which those still in use come back without being made again."""
 
-    known: list[weakref.ref] = []
-
     def __init__(self, make, bound: int = CACHE_ENTRIES):
         super().__init__()
         self.make, self.bound, self.old = make, bound, {}
-        self.known.append(weakref.ref(self))
+        forgettable(self)
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
 
     def __missing__(self, key):
         value = self.old.get(key)
@@ -70,15 +94,6 @@ class Cache(dict):
         return value
 
 
-def keep_only(*caches: Cache) -> None:
-    """Empties every other cache of this worker: those of earlier stages."""
-    for ref in Cache.known:
-        cache = ref()
-        if cache is not None and not any(cache is c for c in caches):
-            cache.clear()
-            cache.old = {}
-
-
 @lru_cache(maxsize=1)
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies: printable
