@@ -83,6 +83,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.warc import archive_report, write_warc
+    out = shared_folder(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), out)
+    return archive_report(spark, out)
+
+
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.cover_tree import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.token_alignment import align
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_license_scan": op2_license_scan,
@@ -94,4 +113,7 @@ QUERIES = {
     "op8_llr_quality": op8_llr_quality,
     "op9_id_files": op9_id_files,
     "op10_toxicity": op10_toxicity,
+    "op11_warc": op11_warc,
+    "op12_cover_tree": op12_cover_tree,
+    "op13_token_alignment": op13_token_alignment,
 }

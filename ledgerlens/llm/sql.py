@@ -64,7 +64,35 @@ def _overlaps() -> str:
       SELECT doc_id, item_id, max(n) AS matched_words FROM counted WHERE n >= need GROUP BY doc_id, item_id"""
 
 
+_CAPTURES = """WITH told AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                        sha256(coalesce(html, '')) AS payload_digest FROM pages),
+      placed AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM told)
+      SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+             CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END
+               AS record_type,
+             CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+      FROM placed"""
+
+_HARD_NEGATIVES = """WITH part AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+                 FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+                        CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+                 FROM part a JOIN part b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+      positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+      SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                                                               ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+             other_id AS negative_id, positive_score, score AS negative_score
+      FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT alike
+           AND 100 * score BETWEEN 80 * positive_score AND 100 * positive_score
+      QUALIFY rank <= 5"""
+
+
 ORACLE: dict[str, str] = {
     "op4_secret_index": _secrets(),
     "op7_decontamination": _overlaps(),
+    "op11_warc": _CAPTURES,
+    "op12_cover_tree": _HARD_NEGATIVES,
 }
