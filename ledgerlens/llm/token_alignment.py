@@ -62,17 +62,17 @@ def groups_of(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int,
     out, open_ = [], [(0, len(ends_a), 0, len(ends_b))] if ends_a else []
     while open_:
         a0, a1, b0, b1 = open_.pop()
-        # the last end is shared anyway; ends nearest the middle come first
-        middle, cut = (a0 + a1 - 1) // 2, None
-        for step in range(max(middle - a0, a1 - 2 - middle) + 1):
-            for i in ((middle + step, middle - step) if step else (middle,)):
+        # the last end is shared anyway; the ends nearest the middle come first
+        left, cut = ((a0 + a1) // 2 - 1, None) if b1 - b0 > 1 else (a0 - 1, None)
+        right = left + 1 if b1 - b0 > 1 else a1
+        while cut is None and (left >= a0 or right < a1 - 1):
+            for i in (left, right):
                 if a0 <= i < a1 - 1:
                     j = bisect_left(ends_b, ends_a[i], b0, b1 - 1)
                     if j < b1 - 1 and ends_b[j] == ends_a[i]:
                         cut = (i + 1, j + 1)
                         break
-            if cut:
-                break
+            left, right = left - 1, right + 1
         if cut:
             # the left half is next on the stack, so groups come in order
             open_ += [(cut[0], a1, cut[1], b1), (a0, cut[0], b0, cut[1])]
@@ -100,6 +100,7 @@ class Aligner:
         self.model = self.a.model
         spec = tokenizer_spec(path_a)
         self.symbols = byte_symbols()
+        self.space = self.symbols[32]
         of_symbol = {c: b for b, c in enumerate(self.symbols)}
         vocab = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_a = [b""] * (1 + max(vocab.values()))
@@ -110,6 +111,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8")
                         for i, p in enumerate(pieces)]
+        self.name = [*map(str, range(max(len(self.bytes_a), len(self.bytes_b))))]
         own = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
         #: runs are read alone only where no token crosses their start
         self.crossed = {c for p in own for c in p if c.isspace()}
@@ -120,27 +122,35 @@ class Aligner:
         marks = "".join(c for c in ".,;:!?" if not any(x.isalpha() and y == c for p in own for x, y in zip(p, p[1:])))
         word = rf"\s*[^\W\d_]+(?=[{re.escape(marks)}])|" if marks else ""
         self.split = re.compile(rf"{word}\s*\S+|\s+").findall
-        self.runs = Cache(self.run, 150_000)
+        self.runs = Cache(self.run, 250_000)
 
     def _aligned(self, ids_a: list[int], ids_b: list[int], spelled: bytes) -> Aligned | None:
-        own_a, own_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
+        own_a, own_b = [*map(self.bytes_a.__getitem__, ids_a)], [*map(self.bytes_b.__getitem__, ids_b)]
         if b"".join(own_a) != spelled or b"".join(own_b) != spelled:
             return None
         if len(ids_a) == 1 or len(ids_b) == 1:
             groups = [(0, len(ids_a), 0, len(ids_b))]
         else:
-            groups = groups_of(list(accumulate(map(len, own_a))), list(accumulate(map(len, own_b))))
-        text, links = [], array("q")
+            groups = groups_of([*accumulate(map(len, own_a))], [*accumulate(map(len, own_b))])
+        text, links, name = [], [], self.name
         for a0, a1, b0, b1 in groups:
-            some_a, some_b = ids_a[a0:a1], ids_b[b0:b1]
-            text.append(",".join(map(str, some_a)) + "|" + ",".join(map(str, some_b)))
-            links.extend([a << _B_BITS | b for a in some_a for b in some_b])
-        return ";".join(text), links.tobytes(), len(ids_a), len(ids_b), len(groups)
+            if a1 - a0 == b1 - b0 == 1:
+                a, b = ids_a[a0], ids_b[b0]
+                text.append(f"{name[a]}|{name[b]}")
+                links.append(a << _B_BITS | b)
+            else:
+                some_a, some_b = ids_a[a0:a1], ids_b[b0:b1]
+                text.append(",".join([name[a] for a in some_a]) + "|" + ",".join([name[b] for b in some_b]))
+                links += [a << _B_BITS | b for a in some_a for b in some_b]
+        return ";".join(text), array("q", links).tobytes(), len(ids_a), len(ids_b), len(groups)
 
     def run(self, run: str) -> Aligned | None:
         """White space and the word behind it, as it stands in space + text."""
-        ids_a = [t.id for piece in BYTE_PIECES.findall(run) for t in self.model.tokenize(
-            piece if piece.isascii() and piece.isalnum() else "".join(self.symbols[b] for b in piece.encode("utf-8")))]
+        if run[0] == " " and run.isascii() and run[1:].isalpha():
+            ids_a = [t.id for t in self.model.tokenize(self.space + run[1:])]
+        else:
+            ids_a = [t.id for piece in BYTE_PIECES.findall(run) for t in self.model.tokenize(
+                "".join([self.symbols[b] for b in piece.encode("utf-8")]))]
         if run[0] == " ":
             ids_b = self.b.encode(run[1:]) if len(run) > 1 else [self.lone_space]
         else:
