@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,6 +119,34 @@ def event_row(spark: SparkSession, execution_id: str, procedure: str, business_d
         [(execution_id, procedure, business_date, load_type, at, status, *counts, message)], EVENT_SCHEMA)
 
 
+def events_of(spark: SparkSession, log_path: str) -> DataFrame | None:
+    """All events of a run log, None where there is none yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(log_path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(EVENT_SCHEMA).parquet(log_path)
+
+
+def finished_stages(spark: SparkSession, log_path: str, execution_id: str | None, business_date: dt.date,
+                    clock=dt.datetime.now) -> dict[str, dict]:
+    """What the stages of an execution that ended well recorded, by name.  A stage
+    still RUNNING belongs to a driver that is gone (an execution has one driver):
+    it gets a FAILED event."""
+    events = events_of(spark, log_path)
+    if events is None:
+        return {}
+    own = events.where(F.col("execution_id").eqNullSafe(F.lit(execution_id))
+                       & (F.col("business_date") == F.lit(business_date)))
+    found = {}
+    for r in latest(own).collect():  # a row a stage
+        if r.status == "RUNNING":
+            event_row(spark, execution_id, r.procedure_name, business_date, r.load_type, "FAILED", clock(),
+                      "closed by a later run: the driver ended without an event").write.mode("append").parquet(log_path)
+        elif r.status == "SUCCESS" and r.message.startswith("completed {"):
+            found[r.procedure_name] = json.loads(r.message.removeprefix("completed "))
+    return found
+
+
 @contextlib.contextmanager
 def logged_run(spark: SparkSession, log_path: str, execution_id: str, procedure: str,
                business_date: dt.date, load_type: str, clock=dt.datetime.now):

@@ -80,12 +80,13 @@ def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in source.columns if c not in keys]
     grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                         *(F.any_value(c).alias(c) for c in rest))
-    # the check sits in a column that the result needs, so it cannot be pruned
-    first = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+    refused = F.raise_error(F.concat(
         F.lit(f"upsert source: duplicate key {list(keys)}: "),
-        F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys))))
-        .cast(source.schema[rest[0]].dataType)).otherwise(F.col(rest[0])) if rest else None
-    return grouped.select(*(first.alias(c) if rest and c == rest[0] else F.col(c) for c in source.columns))
+        F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys)))).cast("boolean")
+    # a condition on the rows, not a column: no plan can leave it out, and the
+    # grouping by key still serves the join
+    alone = grouped.where(F.when(F.col("_n") > 1, refused).otherwise(F.lit(True)))
+    return alone.select(*source.columns)
 
 
 def merged(result: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@
 
 Each attribute is a DataFrame built on first access; nothing runs until an
 action.  ``materialize()`` cuts the lineage of the frames that feed several
-outputs (enriched accounts, master, portfolio, exceptions) with a reliable
-checkpoint in the cluster's ``spark.checkpoint.dir``, so a multi-output run
-reads the sources once and survives executor loss.
+outputs (enriched accounts, master, portfolio, exceptions): they are written as
+Parquet to the cluster's ``spark.checkpoint.dir``, so a multi-output run reads
+the sources once, later reads prune columns, and executors may be lost.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import specs
 from ..operators import classify, kpi, master, portfolio, rules, upsert
-from ..session import ensure_checkpoint_dir
-from ..sources import config_tables, extract, testdata
+from ..sources import config_tables, extract, tables, testdata
 
 MASTER_CHANGE_COLUMNS = {"customer_status": "", "customer_category": ""}
 MASTER_UPDATE_COLUMNS = ("first_name", "last_name", "customer_category", "branch_code",
@@ -152,12 +151,9 @@ class BankDay:
     @cached_property
     def priced(self) -> DataFrame:
         """Cleansed accounts with rate and product.  Several frames read them,
-        so a sharing run stores them once (reliable checkpoint)."""
+        so a sharing run stores them once."""
         df = portfolio.price_accounts(self.staged, self.run_rates, self.products)
-        if not self.share:
-            return df
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint()
+        return tables.stored(df, "priced") if self.share else df
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -211,23 +207,18 @@ class BankDay:
     def scorecard(self) -> DataFrame:
         return kpi.scorecard(self.portfolio, self.exceptions, self.report_as_of, self.thresholds)
 
+    #: Frames in the order in which they build on each other.
     DERIVED = ("customer_master", "priced", "enriched", "critical_customers", "portfolio_rows", "portfolio",
                "portfolio_errors", "branch_exceptions", "exceptions", "staged_exceptions", "scorecard")
-
-    def materialize(self, names: Sequence[str] = ("customer_master", "priced", "enriched", "portfolio_rows",
-                                                "branch_exceptions"),
-                    eager: bool = True) -> BankDay:
-        """Checkpoint the shared frames into ``spark.checkpoint.dir`` (reliable,
-        survives executor loss) and build every later output on top of them."""
-        ensure_checkpoint_dir(self.spark)
-        done: set[str] = set()
-        for n in names:
-            df = getattr(self, n).checkpoint(eager=eager)
-            # drop cached frames derived from the old lineage, then pin this one
-            for dep in self.DERIVED:
-                if dep not in done:
-                    self.__dict__.pop(dep, None)
+    #: Frames that several outputs read.
+    shared = ("customer_master", "priced", "enriched", "portfolio_rows", "branch_exceptions")
+
+    def materialize(self, names: Sequence[str] | None = None) -> BankDay:
+        """Store the shared frames and build every later output on top of them."""
+        for n in names or self.shared:
+            df = tables.stored(getattr(self, n), n)
+            # drop the frames built on the old lineage, then pin this one
+            for dep in self.DERIVED[self.DERIVED.index(n):]:
+                self.__dict__.pop(dep, None)
             self.__dict__[n] = df
-            done.add(n)
         return self
-

@@ -17,7 +17,8 @@ from ..operators import classify, kpi, master, portfolio, reconcile, rules, runl
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks, testdata
 from .bank_day import BankDay
-from .daily import PORTFOLIO_CHANGE, PORTFOLIO_KEYS, read_table, run_daily
+from .daily import (ISSUE_CHANGE, ISSUE_KEYS, ISSUE_UPDATES, PORTFOLIO_CHANGE, PORTFOLIO_KEYS, read_table,
+                    run_daily)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,8 +32,9 @@ def register(name: str):
 
 def day(spark: SparkSession, sf_dir: str, **kw) -> BankDay:
     """The priced accounts, which most queries read more than once, are stored
-    when a query first needs them; nothing else runs while a query is built."""
-    return BankDay.from_testdata(spark, sf_dir, share=True, **kw)
+    when a query first needs them; nothing else runs while a query is built.
+    Queries that read them once pass ``share=False``."""
+    return BankDay.from_testdata(spark, sf_dir, **{"share": True} | kw)
 
 
 def trend_day(spark: SparkSession, sf_dir: str) -> BankDay:
@@ -132,7 +134,7 @@ def _(spark, sf):
 
 @register("raw_errors")
 def _(spark, sf):
-    d = day(spark, sf)
+    d = day(spark, sf, share=False)
     return portfolio.raw_errors(d.priced, d.as_of)
 
 
@@ -222,7 +224,7 @@ def _(spark, sf):
 
 def _rule(code: str):
     def fn(spark, sf):
-        d = day(spark, sf)
+        d = day(spark, sf, share=code in ("DQ001", "DQ006"))
         frame = d.enriched if code == "DQ001" else d.priced.withColumn("eligible_for_reporting", F.lit("Y"))
         return rules.attach_rule_config(rules.rule_hits(frame, codes=[code]), d.rules_config, d.owners, d.as_of)
     return fn
@@ -302,11 +304,6 @@ def _(spark, sf):
 
 EXC_CHANGE = {"severity_code": "", "exception_description": "", "source_account_number": ""}
 
-ISSUE_KEYS = ["business_date", "customer_id", "exception_category"]
-
-
-ISSUE_UPDATES = [c for c in classify.EXCEPTION_COLUMNS if c not in ISSUE_KEYS + ["assigned_date"]]
-
 
 @register("issues_enriched")
 def _(spark, sf):
@@ -329,9 +326,8 @@ def _(spark, sf):
     other = (F.col("exception_category") == "Product Validation") & F.col("customer_id").endswith("5")
     table = run.filter(F.col("exception_category") != "Customer Review").withColumn(
         "business_owner", F.when(other, F.lit("Reassigned")).otherwise(F.col("business_owner")))
-    return upsert.upsert(table, run, ISSUE_KEYS,
-                         {"severity_code": "", "exception_description": "", "business_owner": ""},
-                         ISSUE_UPDATES, null_safe_keys=True, unique_source=True)
+    return upsert.upsert(table, run, ISSUE_KEYS, ISSUE_CHANGE, ISSUE_UPDATES, null_safe_keys=True,
+                         unique_source=True)
 
 
 @register("upsert_portfolio")

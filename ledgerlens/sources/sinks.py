@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import timestamp_value
+from .tables import VersionedTable
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ("business_date",)) -> None:
@@ -43,37 +44,30 @@ def overwrite_dates(df: DataFrame, path: str, partition_by: Sequence[str] = ("bu
        .partitionBy(*partition_by).parquet(path))
 
 
+_WHOLE = "table"
+
+
 def write_then_switch(df: DataFrame, base: str, version: str,
                       partition_by: Sequence[str] = ()) -> str:
-    """Write a new version of a table under ``base/version``, record it as
+    """Write a new version of a whole table under ``base/version``, make it
     current and return its path.
 
-    Readers keep using the previous version until the record is written, so a
-    failed job never leaves a half-written table."""
-    path = f"{base.rstrip('/')}/{version}"
+    Readers keep using the previous version until the switch, which is one
+    rename that fails if another load switched meanwhile (``tables.commit``)."""
+    table = VersionedTable(df.sparkSession, base)
+    before = table.current()
+    path = f"{table.base}/{version}"
     overwrite(df, path, partition_by)
-    spark = df.sparkSession
-    # versions are numbered; the record with the largest number is current
-    records = _versions(spark, base)
-    number = 0 if records is None else records.agg(F.max("number")).head()[0] + 1
-    spark.createDataFrame([(number, path)], _VERSION).coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/CURRENT")
+    # a whole table may change its columns, so no schema is held against it
+    table.commit(before, {_WHOLE: version}, "")
     return path
 
 
-_VERSION = "number long, path string"
-
-
-def _versions(spark: SparkSession, base: str) -> DataFrame | None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/CURRENT")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    return spark.read.schema(_VERSION).parquet(folder.toString())
-
-
 def current_version(spark: SparkSession, base: str) -> str | None:
     """Path of the table's current version, None before the first load."""
-    records = _versions(spark, base)
-    return None if records is None else records.orderBy(F.col("number").desc()).head().path
+    table = VersionedTable(spark, base)
+    now = table.current()
+    return None if now is None else f"{table.base}/{now.parts[_WHOLE]}"
 
 
 def snapshot(df: DataFrame, path: str, captured_at) -> None:

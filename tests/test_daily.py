@@ -179,3 +179,186 @@ def test_report_totals_equal_the_separate_aggregates(spark):
     a = kpi.executive_totals(day.portfolio, day.exceptions).first()
     b = kpi.report_totals(day.portfolio, day.exceptions, day.report_as_of).first()
     assert all(a[c] == b[c] for c in a.asDict())
+
+
+# --- versioned tables ---------------------------------------------------------
+
+def files_of(table, part):
+    return sorted(f for f in table.read([part]).inputFiles())
+
+
+def later(spark, days, **kw):
+    """The fixture's day, ``days`` later."""
+    move = {s.table: s.date for s in specs.SOURCES}
+    src = {t: df.withColumn(move[t], F.date_add(move[t], days)) for t, df in fx.source_tables(spark).items()}
+    d = BankDay(spark, src, fx.master(spark), business_date=fx.BD + dt.timedelta(days=days),
+                as_of=fx.LOGGED + dt.timedelta(days=days), execution_id=f"R{days}", **kw)
+    d.__dict__["fx"] = d.fx.withColumn("effective_date", F.date_add("effective_date", days))
+    return d
+
+
+def test_three_days_leave_earlier_dates_alone_and_remember_critical_customers(spark, scratch):
+    from ledgerlens.plans.daily import dated_table, master_table
+    base = f"{scratch}/bank"
+    issue = ("CUST002", "Financial Validation", "frozen account")
+    first = make_day(spark)
+    shape = first.data_quality_issues
+    row = shape.limit(1).withColumn("customer_id", F.lit(issue[0])).withColumn("error_category", F.lit(issue[1])) \
+        .withColumn("error_description", F.lit(issue[2]))
+    first = make_day(spark, extra_issues=row)
+    run_daily(first, base)
+    held = read_table(spark, base, "customer_exceptions").filter("customer_id = 'CUST002'").collect()
+    assert [(r.severity_code, r.exception_status) for r in held] == [("CRITICAL", "OPEN")]
+    dated = [n for n in TABLES if n != "customer_master"]
+    before = {n: files_of(dated_table(spark, base, n), fx.BD) for n in dated}
+    master_files = sorted(master_table(spark, base).read().inputFiles())
+    for k in (1, 2):
+        run_daily(later(spark, k), base)
+    assert {n: files_of(dated_table(spark, base, n), fx.BD) for n in dated} == before
+    # the same customers come in every day: no bucket of the master is written again
+    assert sorted(master_table(spark, base).read().inputFiles()) == master_files
+    rows = read_table(spark, base, "customer_portfolio")
+    assert {r.business_date for r in rows.select("business_date").distinct().collect()} == {
+        fx.BD + dt.timedelta(days=k) for k in range(3)}
+    assert rows.filter("customer_id = 'CUST002'").count() == 0 < rows.filter("customer_id = 'CUST001'").count()
+
+
+def test_the_log_holds_the_counts_of_what_was_written(spark, scratch):
+    base = f"{scratch}/bank"
+    day = make_day(spark)
+    run_daily(day, base)
+    log = {r.procedure_name: r for r in runlog.latest(spark.read.parquet(f"{base}/run_log")).collect()}
+    fresh = make_day(spark)
+    master = {r.action: r.row_count for r in upsert.action_metrics(fresh.master_upsert).collect()}
+    one = log[runlog.STAGES[0]]
+    assert (one.rows_read, one.rows_inserted, one.rows_updated, one.rows_rejected) == (
+        fresh.customer_ids.count(), master.get("INSERT", 0), master.get("UPDATE", 0), fresh.data_quality_issues.count())
+    two = log[runlog.STAGES[2]]
+    assert (two.rows_read, two.rows_inserted, two.rows_updated) == (fresh.staged.count(), 19, 0)
+    assert two.rows_rejected == read_table(spark, base, "portfolio_errors").count()
+    assert (log[runlog.STAGES[3]].rows_read, log[runlog.STAGES[3]].rows_inserted) == (19, fresh.exceptions.count())
+    assert log[runlog.STAGES[4]].rows_inserted == 4
+    # the same day again: nothing is new in the merged tables
+    run_daily(make_day(spark), base)
+    again = {r.procedure_name: r for r in runlog.latest(spark.read.parquet(f"{base}/run_log")).collect()}
+    assert [(again[s].rows_inserted, again[s].rows_updated) for s in runlog.STAGES[:3]] == [(0, 0)] * 3
+
+
+def test_customer_exceptions_are_merged_by_date_customer_and_category(spark, scratch):
+    from ledgerlens.plans.daily import dated_table
+    base = f"{scratch}/bank"
+    run_daily(make_day(spark), base)
+    table = dated_table(spark, base, "customer_exceptions")
+    held = table.read()
+    other = held.withColumn("business_owner", F.lit("Reassigned")).withColumn("assigned_date", F.to_timestamp_ntz(F.lit("2020-01-01 00:00:00"))
+                                                                              .cast(held.schema["assigned_date"].dataType))
+    extra = other.limit(1).withColumn("customer_id", F.lit("OLD"))
+    table.replace(other.unionByName(extra), [fx.BD])
+    run_daily(make_day(spark), base)
+    rows = read_table(spark, base, "customer_exceptions").collect()
+    assert sorted(r.business_owner == "Reassigned" for r in rows) == [False] * (len(rows) - 1) + [True]
+    assert {str(r.assigned_date)[:4] for r in rows} == {"2020"}, "a merged row keeps the date it was assigned"
+
+
+def test_a_killed_run_goes_on_at_its_first_unfinished_stage(spark, scratch, monkeypatch):
+    from ledgerlens.plans import daily
+    base = f"{scratch}/bank"
+
+    class Killed(BaseException):
+        """No event is written, as when the driver dies."""
+
+    def dies(self, counts):
+        raise Killed
+    with monkeypatch.context() as m:
+        m.setattr(daily.DailyRun, "load_customer_portfolio", dies)
+        with pytest.raises(Killed):
+            run_daily(make_day(spark), base)
+    status = {r.procedure_name: r.status for r in runlog.latest(spark.read.parquet(f"{base}/run_log")).collect()}
+    assert status == {runlog.STAGES[0]: "SUCCESS", runlog.STAGES[1]: "SUCCESS", runlog.STAGES[2]: "RUNNING"}
+    assert run_daily(make_day(spark), base, resume=True) == list(runlog.STAGES[2:])
+    log = spark.read.parquet(f"{base}/run_log")
+    assert log.filter("status = 'FAILED' and message like 'closed by a later run%'").count() == 1
+    latest = {r.procedure_name: r for r in runlog.latest(log).collect()}
+    assert {r.status for r in latest.values()} == {"SUCCESS"} and len(latest) == 5
+    assert len(rows_of(spark, base, "customer_portfolio")) == 19
+    assert run_daily(make_day(spark), base, resume=True) == []
+    # a table that somebody changed is loaded again, and all after it
+    daily.dated_table(spark, base, "portfolio_errors").replace(read_table(spark, base, "portfolio_errors").limit(0), [fx.BD])
+    assert run_daily(make_day(spark), base, resume=True) == list(runlog.STAGES[2:])
+
+
+def test_a_dated_table_replaces_only_what_it_is_told(spark, scratch):
+    from ledgerlens.sources.tables import CommitConflict, DatedTable
+    one, two, three = (fx.BD + dt.timedelta(days=k) for k in range(3))
+    t = DatedTable(spark, f"{scratch}/t")
+    assert t.read() is None and t.dates() == []
+
+    def rows(*pairs):
+        return spark.createDataFrame(list(pairs), "business_date date, v int")
+    t.replace(rows((one, 1), (two, 2), (None, 3)), [one, two, None])
+    start = t.current()
+    kept = files_of(t, one)
+    t.replace(rows((two, 20), (two, 21)), [two])
+    t.replace(rows(), [None, three])
+    assert files_of(t, one) == kept and t.dates() == [str(one), str(two)]
+    assert sorted(r.v for r in t.read().collect()) == [1, 20, 21] and t.read([three]).count() == 0
+    assert "InMemoryFileIndex(1 paths)" in t.read([two])._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="not replaced"):
+        t.replace(rows((one, 1), (two, 2)), [one])
+    with pytest.raises(ValueError, match="columns differ"):
+        t.replace(rows((one, 1)).withColumn("w", F.lit(1)), [one])
+    # a load made from an older table goes through for its own date, and is refused for one changed since
+    t.replace(rows((three, 5)), [three], start)
+    with pytest.raises(CommitConflict):
+        t.replace(rows((two, 6)), [two], start)
+    assert sorted(r.v for r in t.read().collect()) == [1, 5, 20, 21]
+    t.verify(two, 2)
+    with pytest.raises(RuntimeError, match="2 rows"):
+        t.verify(two, 0)
+    gone = t.expire(keep=1)
+    assert gone and sorted(r.v for r in t.read().collect()) == [1, 5, 20, 21] and files_of(t, one) == kept
+
+
+def test_two_loads_of_one_number_cannot_both_commit(spark, scratch):
+    from ledgerlens.sources.tables import Manifest, VersionedTable
+    t = VersionedTable(spark, f"{scratch}/t")
+    assert t._publish(Manifest(1, {"a": "x"}, "")) and not t._publish(Manifest(1, {"a": "y"}, ""))
+    assert t.current().parts == {"a": "x"} and t._names("drafts") == []
+
+
+def test_a_bucketed_upsert_moves_no_target_row_and_keeps_unchanged_buckets(spark, scratch):
+    from ledgerlens.sources.tables import BucketedTable
+    t = BucketedTable(spark, f"{scratch}/m", ["k"], 6)
+    rows = spark.range(500).selectExpr("concat('C', id) k", "cast(id % 7 as string) v", "'old' as name")
+    t.load(rows)
+    source = spark.createDataFrame([("C5", "x", "new"), ("C6", "6", "new"), ("N1", "y", "new")], "k string, v string, name string")
+    plan = upsert.upsert(t.read(), t.aligned(source), ["k"], {"v": ""}, ["v", "name"], unique_source=True) \
+        ._jdf.queryExecution().executedPlan().toString()
+    target_side, source_side = plan.split("Aggregate", 1)
+    assert "Bucketed: true" in target_side and "SortMergeJoin" in target_side and "Exchange" not in target_side
+    assert source_side.count("Exchange") == 1
+    before = t.current().parts
+    done = t.upsert(source, {"v": ""}, ["v", "name"])
+    assert done == {"INSERT": 1, "UPDATE": 1, "NOOP": 1, "DELETE": 0, "KEEP": 498}
+    spots = {r.b for r in source.where("k <> 'C6'").select(t.bucket().alias("b")).collect()}
+    assert {int(p) for p, f in t.current().parts.items() if before[p] != f} == spots
+    want = {(f"C{i}", str(i % 7), "old") for i in range(500) if i != 5} | {("C5", "x", "new"), ("N1", "y", "new")}
+    assert {tuple(r) for r in t.read().collect()} == want
+    again = t.current()
+    assert t.upsert(source, {"v": ""}, ["v", "name"])["NOOP"] == 3 and t.current() == again
+    gone = t.upsert(source, {"v": ""}, ["v", "name"], delete_unmatched=True)
+    assert gone["DELETE"] == 498 and t.read().count() == 3
+    with pytest.raises(Exception, match="duplicate key"):
+        t.upsert(source.unionByName(source), {"v": ""}, ["v", "name"])
+
+
+def test_no_reading_of_an_upsert_passes_over_a_repeated_source_key(spark):
+    t = spark.createDataFrame([(1, "a", "p")], "k int, v string, w string")
+    twice = spark.createDataFrame([(1, "b", "q"), (1, "b", "r")], "k int, v string, w string")
+    keys = t.select("k")
+    for make in (lambda: upsert.action_metrics(upsert.upsert(t, twice, ["k"], {"w": ""}, ["v"], unique_source=True)),
+                 lambda: upsert.upsert(t, twice, ["k"], {"w": ""}, ["v"], unique_source=True).select("k", "_action"),
+                 lambda: upsert.upsert(t, twice, ["k"], {"w": ""}, ["v"], unique_source=True).select("k"),
+                 lambda: upsert.upsert(keys, twice.select("k"), ["k"], {}, [], unique_source=True)):
+        with pytest.raises(Exception, match="duplicate key"):
+            make().collect()
