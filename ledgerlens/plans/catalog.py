@@ -13,10 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import classify, kpi, master, portfolio, reconcile, rules, runlog, upsert
+from ..operators import classify, digests, kpi, master, portfolio, reconcile, rules, runlog, upsert
 from ..session import ensure_checkpoint_dir
-from ..sources import sinks, testdata
+from ..sources import sinks, tables, testdata
 from .bank_day import BankDay
+from .rollup import ExceptionRollup
 from .daily import (ISSUE_CHANGE, ISSUE_KEYS, ISSUE_UPDATES, PORTFOLIO_CHANGE, PORTFOLIO_KEYS, read_table,
                     run_daily)
 
@@ -411,6 +412,20 @@ def _(spark, sf):
     return kpi.trend(d.exceptions, testdata.TREND_DATE, 30)
 
 
+@register("trend_from_rollup")
+def _(spark, sf):
+    """K9: the trend from kept daily aggregates.  The last day is first loaded
+    without its critical exceptions and then replaced."""
+    d = trend_day(spark, sf)
+    rows = tables.stored(d.exceptions.select("business_date", "severity_code", "business_owner"), "trend-exceptions")
+    days = [testdata.TREND_DATE - dt.timedelta(days=k) for k in range(46)]
+    rollup = ExceptionRollup(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/rollup-{uuid.uuid4().hex}")
+    last = F.col("business_date") == F.lit(testdata.TREND_DATE)
+    rollup.update(rows.where(~last | (F.col("severity_code") != "CRITICAL")), days)
+    rollup.update(rows, days[:1])
+    return rollup.trend(testdata.TREND_DATE, 30)
+
+
 @register("scorecard")
 def _(spark, sf):
     return day(spark, sf).scorecard
@@ -462,6 +477,13 @@ def _(spark, sf):
     return reconcile.compare_hashes(b.exceptions, c.exceptions)
 
 
+@register("recon_digest_diff")
+def _(spark, sf):
+    """The exceptions that one run holds only, by a tree of digests."""
+    b, c = _pair(spark, sf)
+    return digests.one_sided(b.exceptions, c.exceptions, ["exception_hash"], ["exception_hash", *reconcile.DETAIL])
+
+
 @register("recon_hash_summary")
 def _(spark, sf):
     b, c = _pair(spark, sf)

@@ -229,3 +229,6 @@ ERR_UNKNOWN_PRODUCT = ("UNKNOWN_PRODUCT", "Unknown Product Code: ")
 ERR_CUSTOMER_NOT_FOUND = ("CUSTOMER_NOT_FOUND", "Customer not found in Customer Master.")
 ERR_NEGATIVE_PORTFOLIO = ("NEGATIVE_PORTFOLIO", "Portfolio balance below acceptable threshold.")
 ERR_MISSING_CUSTOMER_ID = ("MISSING_CUSTOMER_ID", "Customer identifier is missing or invalid.")
+
+# Lines of an export that cannot be read (category, text before a whole line, text before the fields).
+ERR_UNREADABLE_LINE = ("Unreadable Line", "Line with another number of fields: ", "Values of another type: ")

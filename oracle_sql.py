@@ -748,6 +748,9 @@ def _oracle() -> dict[str, str]:
         "trend_30d": w(base + trend, f"""SELECT business_date, count(*) AS total_exceptions,
             count_if(severity_code = 'CRITICAL') AS critical_exceptions, count(DISTINCT business_owner) AS active_business_owners
             FROM tr_exc WHERE business_date BETWEEN DATE '{TREND_DATE}' - 30 AND DATE '{TREND_DATE}' GROUP BY 1"""),
+        "trend_from_rollup": w(base + trend, f"""SELECT business_date, count(*) AS total_exceptions,
+            count_if(severity_code = 'CRITICAL') AS critical_exceptions, count(DISTINCT business_owner) AS active_business_owners
+            FROM tr_exc WHERE business_date BETWEEN DATE '{TREND_DATE}' - 30 AND DATE '{TREND_DATE}' GROUP BY 1"""),
         "scorecard": w(base, "SELECT * FROM scorecard"),
         "executive_dashboard": w(base, "SELECT * EXCLUDE (sla_status) FROM score_base"),
         "recon_counts": w(recon, "SELECT * FROM recon_counts"),
@@ -755,6 +758,10 @@ def _oracle() -> dict[str, str]:
         "recon_by_severity": w(recon, "SELECT * FROM recon_by_severity"),
         "recon_by_rule": w(recon, "SELECT * FROM recon_by_rule"),
         "recon_hash_diff": w(recon, "SELECT * FROM recon_hash_diff"),
+        "recon_digest_diff": w(recon, """SELECT exception_hash, source_account_number, customer_id, rule_code, severity_code,
+            'MISSING' AS row_status FROM exc e WHERE NOT EXISTS (SELECT 1 FROM cur_exc c WHERE c.exception_hash = e.exception_hash)
+            UNION ALL SELECT exception_hash, source_account_number, customer_id, rule_code, severity_code, 'EXTRA'
+            FROM cur_exc c WHERE NOT EXISTS (SELECT 1 FROM exc e WHERE c.exception_hash = e.exception_hash)"""),
         "recon_hash_summary": w(recon, "SELECT hash_status, count(*) AS hash_count FROM recon_hash_diff GROUP BY 1"),
         "recon_kpis": w(recon, "SELECT * FROM recon_kpis"),
         "recon_missing_extra": w(recon, "SELECT * FROM recon_missing_extra"),

@@ -362,3 +362,79 @@ def test_no_reading_of_an_upsert_passes_over_a_repeated_source_key(spark):
                  lambda: upsert.upsert(keys, twice.select("k"), ["k"], {}, [], unique_source=True)):
         with pytest.raises(Exception, match="duplicate key"):
             make().collect()
+
+
+# --- rollup, digests, rejects ---------------------------------------------------
+
+def test_a_trend_from_the_rollup_equals_the_recomputed_one(spark, scratch):
+    from ledgerlens.plans.rollup import ExceptionRollup
+    days = [fx.BD - dt.timedelta(days=k) for k in range(40)]
+    rows = [(d, ("CRITICAL", "HIGH", "LOW")[i % 3], (None, "A", "B")[(i + d.day) % 3]) for d in days for i in range(d.day % 5)]
+    schema = "business_date date, severity_code string, business_owner string"
+    df = spark.createDataFrame(rows, schema)
+    r = ExceptionRollup(spark, f"{scratch}/rollup")
+    with pytest.raises(ValueError):
+        r.trend(fx.BD)
+
+    def same(frame):
+        assert sorted(map(tuple, r.trend(fx.BD).collect())) == sorted(map(tuple, kpi.trend(frame, fx.BD).collect()))
+    r.update(df, days)
+    same(df)
+    kept = {d: files_of(r.table, d) for d in days[2:] if str(d) in r.table.dates()}
+    # one date replaced, one emptied
+    changed = df.where(~F.col("business_date").isin(days[:2])).unionByName(
+        spark.createDataFrame([(days[0], "CRITICAL", "C"), (days[0], "LOW", "C")], schema))
+    r.update(changed, days[:2])
+    same(changed)
+    assert {d: files_of(r.table, d) for d in kept} == kept
+    assert len(r.trend(fx.BD).inputFiles()) <= 31
+
+
+def test_digests_find_the_rows_of_one_side(spark):
+    from ledgerlens.operators import digests
+    rows = [(i if i % 9 else None, f"v{i % 50}", i) for i in range(400)]
+    b = spark.createDataFrame(rows, "k int, v string, n int")
+    other = [r for r in rows if r[2] not in (7, 8, 300)] + [(7777, "new", 1), (None, "vx", 2)]
+    c = spark.createDataFrame(list(reversed(other)), "k int, v string, n int")
+    keys = ["k", "v"]
+    held = {(r[0], r[1]) for r in rows}, {(r[0], r[1]) for r in other}
+    want = sorted([(*x, "MISSING") for x in held[0] - held[1]] + [(*x, "EXTRA") for x in held[1] - held[0]], key=repr)
+    for leaves in (1, 8, 4096):
+        got = digests.one_sided(b, c, keys, leaves=leaves).distinct().collect()
+        assert sorted(map(tuple, got), key=repr) == want
+    one, two = (digests.leaf_digests(x, keys, b.columns, 64) for x in (b, b.orderBy(F.rand(3))))
+    assert digests.differing_leaves(one, two, 8).count() == 0
+    assert digests.one_sided(b, b, keys).count() == 0
+    # a changed value and a repeated row show in the leaf of their key, and in no other
+    moved = b.withColumn("n", F.when(F.col("n") == 20, -1).otherwise(F.col("n"))).unionByName(b.where("n = 30"))
+    spots = {r.leaf for r in digests.differing_leaves(one, digests.leaf_digests(moved, keys, b.columns, 64), 8).collect()}
+    assert spots == {r.leaf for r in b.where("n in (20, 30)").select(digests.leaf_of(keys, 64).alias("leaf")).collect()}
+    empty = b.limit(0)
+    assert digests.one_sided(empty, empty, keys).count() == 0
+    assert digests.one_sided(empty, b.where("k = 1"), keys).first().row_status == "EXTRA"
+
+
+def test_equal_runs_are_compared_without_joining_rows(spark, scratch):
+    """Only digests travel: rows are filtered by the leaves that differ before they are shuffled."""
+    from ledgerlens.operators import digests
+    spark.range(20_000).selectExpr("id k", "cast(id as string) v").write.parquet(f"{scratch}/b")
+    one = spark.read.parquet(f"{scratch}/b")
+    plan = digests.one_sided(one, one, ["k"], ["k", "v"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin [leaf") >= 4 and "LeftSemi" in text and plan.count() == 0
+
+
+def test_unreadable_lines_become_issues(spark, scratch):
+    path = f"{scratch}/x.csv"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\ufeff2026-01-31,A,1.50\n2026-01-31,B,NULL\n2026-13-99,C,2.00\n2026-01-31,D,abc\nbroken\n"
+                "2026-01-31,E,3,more\n2026-01-31,,4.25\n")
+    columns = [("business_date", "date"), ("code", "string"), ("amount", "decimal(18,2)")]
+    good = sinks.read_headerless_csv(spark, path, columns)
+    assert [f.dataType.simpleString() for f in good.schema] == ["date", "string", "decimal(18,2)"]
+    assert sorted((r.code or "", str(r.amount)) for r in good.collect()) == [("", "4.25"), ("A", "1.50"), ("B", "None")]
+    bad = sinks.csv_rejects(spark, path, columns, "EXPORT", fx.BD, fx.LOGGED, "R1")
+    assert bad.columns == make_day(spark).data_quality_issues.columns
+    assert sorted(r.error_description for r in bad.collect()) == [
+        "Line with another number of fields: 2026-01-31,E,3,more", "Line with another number of fields: broken",
+        "Values of another type: amount=abc", "Values of another type: business_date=2026-13-99"]

@@ -55,3 +55,13 @@ def test_query_matches_oracle(spark, duck, name):
     drows = [dict(zip(dcols, r)) for r in cur.fetchall()]
     d = collections.Counter(tuple(canon(r[c]) for c in sorted(dcols)) for r in drows)
     assert s == d
+
+
+def test_the_other_queries_go_on_without_what_the_optional_package_needs(monkeypatch):
+    import sys
+    from ledgerlens.plans.catalog import QUERIES
+    whole = set(se.queries())
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("ledgerlens.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)  # importing it raises ImportError
+    assert set(se.queries()) == set(QUERIES) and set(se.oracle_sql()) == set(QUERIES) <= whole
