@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import specs
 from ..functions.expressions import (date_value, ladder_below, percent, rag_lower_is_better,
                                      timestamp_value)
+from ..functions.intervals import Ladders
 
 D = "business_date"
 
@@ -84,12 +85,13 @@ def report_totals(portfolio: DataFrame, exceptions: DataFrame, as_of) -> DataFra
     return _executive(account_totals(portfolio), totals)
 
 
-def health_status(totals: DataFrame) -> DataFrame:
+def health_status(totals: DataFrame, ladders: Ladders | None = None) -> DataFrame:
     """K2-K3: portfolio health from the rate; executive status from counts.
 
     No accounts (NULL rate) is ``NO DATA`` (D17)."""
-    health = F.when(F.col("exception_rate").isNull(), F.lit("NO DATA")).otherwise(
-        ladder_below("exception_rate", specs.HEALTH_LADDER, specs.HEALTH_OTHERWISE))
+    label = ladder_below("exception_rate", specs.HEALTH_LADDER, specs.HEALTH_OTHERWISE) \
+        if ladders is None or ladders.health is None else ladders.health.at("exception_rate", D)
+    health = F.when(F.col("exception_rate").isNull(), F.lit("NO DATA")).otherwise(label)
     status = None
     for sev, limit, label in specs.EXECUTIVE_STATUS:
         cond = F.col(f"{sev.lower()}_exceptions") > limit
@@ -199,25 +201,29 @@ def trend(exceptions: DataFrame, business_date, days: int = 30) -> DataFrame:
 # --- K10-K11 scorecard -------------------------------------------------------
 
 def scorecard(portfolio: DataFrame, exceptions: DataFrame, as_of,
-              thresholds: Sequence[specs.ThresholdSpec] = specs.THRESHOLDS) -> DataFrame:
+              thresholds: Sequence[specs.ThresholdSpec] = specs.THRESHOLDS,
+              ladders: Ladders | None = None) -> DataFrame:
     """Four (business_date, kpi_name, kpi_value, kpi_status) rows per day.
 
     One plan: totals and SLA rolled up from one aggregate and expanded by
     ``inline(array(struct ...))``; thresholds come from the threshold rows.
     No exceptions -> SLA 100 GREEN (D17); SLA status on the unrounded
     failure rate (D20)."""
-    j = health_status(report_totals(portfolio, exceptions, as_of))
+    j = health_status(report_totals(portfolio, exceptions, as_of), ladders)
     fail = F.coalesce(F.col("avg_sla_failure_rate"), F.lit(0))
     compliance = F.round(F.lit(100) - fail, 2).cast("decimal(10,2)")
-    t_rate, t_crit, t_sla = (_threshold("Exception Rate", thresholds),
-                             _threshold("Critical Exceptions", thresholds),
-                             _threshold("SLA Failure Rate", thresholds))
+
+    def rag(value: str | Column, metric: str) -> Column:
+        if ladders is not None and metric in ladders.thresholds:
+            return ladders.thresholds[metric].at(value, D, null_label="RED")
+        return rag_lower_is_better(value, _threshold(metric, thresholds))
+
     health_rag = (F.when(F.col("portfolio_health").isin("EXCELLENT", "GOOD"), F.lit("GREEN"))
                   .when(F.col("portfolio_health") == "FAIR", F.lit("AMBER"))
                   .when(F.col("portfolio_health") == "NO DATA", F.lit("NO DATA"))
                   .otherwise(F.lit("RED")))
     rate_rag = F.when(F.col("exception_rate").isNull(), F.lit("NO DATA")).otherwise(
-        rag_lower_is_better("exception_rate", t_rate))
+        rag("exception_rate", "Exception Rate"))
 
     def row(name: str, value: Column, status: Column) -> Column:
         return F.struct(F.lit(name).alias("kpi_name"), value.cast("string").alias("kpi_value"),
@@ -226,16 +232,17 @@ def scorecard(portfolio: DataFrame, exceptions: DataFrame, as_of,
     rows = F.array(
         row("Portfolio Health", F.col("portfolio_health"), health_rag),
         row("Critical Exceptions", F.col("critical_exceptions"),
-            rag_lower_is_better("critical_exceptions", t_crit)),
+            rag("critical_exceptions", "Critical Exceptions")),
         row("Exception Rate", F.col("exception_rate"), rate_rag),
-        row("SLA Compliance", compliance, rag_lower_is_better(fail, t_sla)),
+        row("SLA Compliance", compliance, rag(fail, "SLA Failure Rate")),
     )
     return j.select(D, F.inline(rows))
 
 
-def executive_dashboard(portfolio: DataFrame, exceptions: DataFrame, as_of) -> DataFrame:
+def executive_dashboard(portfolio: DataFrame, exceptions: DataFrame, as_of,
+                        ladders: Ladders | None = None) -> DataFrame:
     """The dashboard metric row per day."""
-    return health_status(report_totals(portfolio, exceptions, as_of)).withColumn(
+    return health_status(report_totals(portfolio, exceptions, as_of), ladders).withColumn(
         "sla_compliance",
         F.round(F.lit(100) - F.coalesce(F.col("avg_sla_failure_rate"), F.lit(0)), 2).cast("decimal(10,2)")
     ).drop("avg_sla_failure_rate")

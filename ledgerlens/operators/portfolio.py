@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import specs
 from ..functions.expressions import band_expr, blank_to_null, clean_code, fire, timestamp_value
+from ..functions.intervals import Ladders
 
 ERROR_COLUMNS = (
     "business_date", "source_system_code", "source_account_number", "customer_id",
@@ -242,19 +243,25 @@ def include_accounts(enriched: DataFrame, critical: DataFrame | None = None) ->
 
 
 def add_portfolio_metrics(included: DataFrame, bands: Sequence[specs.BandSpec] = specs.VALUE_BANDS,
-                          high_value_minimum: Decimal = specs.HIGH_VALUE_MINIMUM) -> DataFrame:
+                          high_value_minimum: Decimal = specs.HIGH_VALUE_MINIMUM,
+                          ladders: Ladders | None = None) -> DataFrame:
     """Value band and high-value flag per account; product_count =
-    included accounts per customer and date.
+    included accounts per customer and date.  ``ladders`` holds dated
+    configuration, which goes before the fixed one.
 
     ``stage_accounts`` already attached product_count through the customer
     join (see ``account_counts``); it counts the rows passing the row-level
     rules, which equals the portfolio count for every customer that survives
     the critical-customer anti join (that join removes whole customers).
     Frames without it get the count by a partial aggregate joined back."""
+    dated = ladders or Ladders()
+    band = band_expr("base_currency_balance", bands) if dated.bands is None \
+        else dated.bands.at("base_currency_balance", "business_date")
+    high = F.col("base_currency_balance") >= F.lit(high_value_minimum) if dated.high_value is None \
+        else dated.high_value.at("base_currency_balance", "business_date") == "true"
     out = included.withColumns({
-        "portfolio_value_band": band_expr("base_currency_balance", bands),
-        "high_value_customer": F.coalesce(F.col("base_currency_balance") >= F.lit(high_value_minimum),
-                                          F.lit(False)),
+        "portfolio_value_band": band,
+        "high_value_customer": F.coalesce(high, F.lit(False)),
         "eligible_for_reporting": F.lit("Y"),
     })
     if "product_count" in out.columns:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import specs
+from ..functions.intervals import Ladders
 from ..operators import classify, kpi, master, portfolio, rules, upsert
 from ..sources import config_tables, extract, tables, testdata
 
@@ -40,7 +41,8 @@ class BankDay:
                  date_range: tuple | None = None, report_as_of: dt.datetime | None = None,
                  share: bool = False, extra_issues: DataFrame | None = None,
                  bands: Sequence[specs.BandSpec] = specs.VALUE_BANDS,
-                 thresholds: Sequence[specs.ThresholdSpec] = specs.THRESHOLDS):
+                 thresholds: Sequence[specs.ThresholdSpec] = specs.THRESHOLDS,
+                 ladders: Ladders | None = None):
         self.spark = spark
         self.sources = dict(sources)
         self.existing_master = existing_master
@@ -57,6 +59,8 @@ class BankDay:
         self.extra_issues = extra_issues
         self.bands = list(bands)
         self.thresholds = list(thresholds)
+        #: dated configuration, which goes before ``bands`` and ``thresholds``
+        self.ladders = ladders
 
     # --- construction from the driver's test tables --------------------------
     @classmethod
@@ -73,7 +77,7 @@ class BankDay:
         """The same day with other settings; accounts priced by this one are shared."""
         kw = {k: getattr(self, k) for k in ("business_date", "as_of", "execution_id", "load_type", "source_specs",
                                             "master_sources", "customer_exceptions_table", "date_range",
-                                            "report_as_of", "share", "extra_issues", "bands", "thresholds")} | changed
+                                            "report_as_of", "share", "extra_issues", "bands", "thresholds", "ladders")} | changed
         other = BankDay(self.spark, self.sources, self.existing_master, **kw)
         if not {"load_type", "source_specs", "date_range", "business_date"} & changed.keys():
             other.__dict__["priced"] = self.priced
@@ -169,7 +173,7 @@ class BankDay:
     def portfolio_rows(self) -> DataFrame:
         """Included accounts with metrics and the enrichment flags still attached."""
         inc = portfolio.include_accounts(self.enriched, self.critical_customers)
-        return portfolio.add_portfolio_metrics(inc, self.bands)
+        return portfolio.add_portfolio_metrics(inc, self.bands, ladders=self.ladders)
 
     @cached_property
     def portfolio(self) -> DataFrame:
@@ -205,7 +209,8 @@ class BankDay:
     # --- report --------------------------------------------------------
     @cached_property
     def scorecard(self) -> DataFrame:
-        return kpi.scorecard(self.portfolio, self.exceptions, self.report_as_of, self.thresholds)
+        return kpi.scorecard(self.portfolio, self.exceptions, self.report_as_of, self.thresholds,
+                             self.ladders)
 
     #: Frames in the order in which they build on each other.
     DERIVED = ("customer_master", "priced", "enriched", "critical_customers", "portfolio_rows", "portfolio",

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import intervals
 from ..operators import classify, digests, kpi, master, portfolio, reconcile, rules, runlog, upsert
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks, tables, testdata
@@ -176,6 +177,17 @@ def _(spark, sf):
         F.sum("base_currency_balance").cast("decimal(28,2)").alias("total_value"))
 
 
+@register("dated_bands")
+def _(spark, sf):
+    """Bands and high-value flags of a run over several dates, each row by
+    the configuration of its own date."""
+    ladders = intervals.Ladders(intervals.bands_of(testdata.dated_bands(spark)),
+                                intervals.high_value_of(testdata.dated_high_value(spark)))
+    return trend_day(spark, sf).twin(ladders=ladders).portfolio.groupBy(
+        "business_date", "portfolio_value_band", "high_value_customer").agg(
+        F.count(F.lit(1)).alias("account_count"), F.sum("base_currency_balance").cast("decimal(28,2)").alias("total_value"))
+
+
 @register("high_value")
 def _(spark, sf):
     return day(spark, sf).portfolio.filter(F.col("high_value_customer")).select(

@@ -178,8 +178,8 @@ class DailyRun:
         day = self.day
         counts.inserted = self.replaced("exception_report", day.scorecard, counts)
         counts.read = self.rows.get("portfolio_exceptions")
-        self.replaced("executive_dashboard", kpi.executive_dashboard(day.portfolio, day.exceptions, day.report_as_of),
-                      counts)
+        self.replaced("executive_dashboard", kpi.executive_dashboard(day.portfolio, day.exceptions, day.report_as_of,
+                                                                     day.ladders), counts)
 
     def stages(self) -> list[tuple[str, Callable[[Counts], None]]]:
         return list(zip(runlog.STAGES, (self.load_customer_master, self.load_customer_exceptions,

@@ -12,10 +12,13 @@ scale.  The same rules are written in SQL for the DuckDB oracle.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import specs
+
 BUSINESS_DATE = dt.date(2026, 1, 31)
 AS_OF = dt.datetime(2026, 1, 31, 18, 0, 0)
 # When the report evaluates SLAs: 12 hours after logging.
@@ -186,3 +189,21 @@ def customer_issues(t: dict[str, DataFrame], business_date: dt.date, as_of: dt.d
     return issue(F.col("c_acctbal") < 0, "Financial Validation", "Customer overdrawn") \
         .unionByName(issue(F.col("c_mktsegment") == "MACHINERY", "Product Validation", "Segment without products")) \
         .unionByName(issue(F.col("c_mktsegment") == "HOUSEHOLD", "Customer Review", "Review due"))
+
+
+#: From this date on, the dated configuration of the multi-date run has all bounds of money at a hundredth.
+SECOND_VERSION = TREND_DATE - dt.timedelta(days=10)
+
+
+def dated_bands(spark: SparkSession) -> DataFrame:
+    """(effective_from, band_name, minimum_value, maximum_value): the fixed bands, and lower ones from ``SECOND_VERSION``."""
+    rows = [(d, b.name, (b.minimum / part).quantize(Decimal("0.01")),
+             ((b.maximum + Decimal("0.01")) / part - Decimal("0.01")).quantize(Decimal("0.01")))
+            for d, part in ((dt.date(1900, 1, 1), 1), (SECOND_VERSION, 100)) for b in specs.VALUE_BANDS]
+    return spark.createDataFrame(rows, "effective_from date, band_name string, minimum_value decimal(18,2), "
+                                       "maximum_value decimal(18,2)")
+
+
+def dated_high_value(spark: SparkSession) -> DataFrame:
+    rows = [(dt.date(1900, 1, 1), specs.HIGH_VALUE_MINIMUM), (SECOND_VERSION, specs.HIGH_VALUE_MINIMUM / 100)]
+    return spark.createDataFrame(rows, "effective_from date, minimum_value decimal(18,2)")

@@ -659,6 +659,13 @@ def _oracle() -> dict[str, str]:
         "portfolio_incremental": w(base + inc, "SELECT * FROM inc_portfolio"),
         "value_band": w(base, """SELECT portfolio_value_band, count(*) AS account_count,
             CAST(sum(base_currency_balance) AS DECIMAL(28,2)) AS total_value FROM portfolio GROUP BY 1"""),
+        "dated_bands": w(base + trend, f"""SELECT business_date, CASE {' '.join(
+                f"WHEN base_currency_balance * k >= {b.minimum} THEN '{b.name}'"
+                for b in sorted(specs.VALUE_BANDS, key=lambda b: -b.minimum)[:-1])} ELSE 'STANDARD' END AS portfolio_value_band,
+              coalesce(base_currency_balance * k >= {specs.HIGH_VALUE_MINIMUM}, FALSE) AS high_value_customer,
+              count(*) AS account_count, CAST(sum(base_currency_balance) AS DECIMAL(28,2)) AS total_value
+            FROM (SELECT *, CASE WHEN business_date >= DATE '{TREND_DATE}' - 10 THEN 100 ELSE 1 END AS k FROM tr_portfolio)
+            GROUP BY ALL"""),
         "high_value": w(base, """SELECT source_system_code, source_account_number, customer_id, base_currency_balance,
             portfolio_value_band FROM portfolio WHERE high_value_customer"""),
         "product_count": w(base, "SELECT DISTINCT customer_id, product_count FROM portfolio"),

@@ -438,3 +438,60 @@ def test_unreadable_lines_become_issues(spark, scratch):
     assert sorted(r.error_description for r in bad.collect()) == [
         "Line with another number of fields: 2026-01-31,E,3,more", "Line with another number of fields: broken",
         "Values of another type: amount=abc", "Values of another type: business_date=2026-13-99"]
+
+
+# --- dated ladders ----------------------------------------------------------------
+
+def test_dated_ladders_follow_the_date_and_the_bounds(spark):
+    from decimal import Decimal as D
+
+    from ledgerlens.functions.intervals import DatedLadder, Step
+    one, two = dt.date(2025, 1, 1), dt.date(2026, 1, 1)
+    ladder = DatedLadder([Step(one, None, "low"), Step(one, D("10"), "mid"), Step(one, D("20.5"), "high"),
+                          Step(two, D("0"), "all"), *(Step(two, D(k), f"s{k}") for k in range(5, 500, 5))])
+    values = [None, D("-3"), D("0"), D("5"), D("9.99"), D("10"), D("20.49"), D("20.50"), D("77.7"), D("499"), D("100000")]
+    rows = [(v, d) for v in values for d in (None, dt.date(2024, 12, 31), one, dt.date(2025, 12, 31), two, dt.date(2030, 1, 1))]
+    df = spark.createDataFrame(rows, "v decimal(18,2), d date")
+
+    def want(v, d):
+        if d is None or d < one:
+            return None
+        if d < two:
+            return "low" if v is None or v < 10 else "mid" if v < D("20.5") else "high"
+        return "all" if v is None or v < 5 else f"s{min(int(v) // 5 * 5, 495)}"
+    assert [r.x for r in df.select(ladder.at("v", "d").alias("x")).collect()] == [want(*r) for r in rows]
+    got = df.where("v is null").select(ladder.at("v", "d", null_label="none").alias("x"))
+    assert [r.x for r in got.collect()] == [None, None, "none", "none", "none", "none"]
+    with pytest.raises(ValueError):
+        DatedLadder([])
+    with pytest.raises(ValueError, match="same bound"):
+        DatedLadder([Step(one, None, "a"), Step(one, D("1"), "b"), Step(one, D("1"), "c")])
+
+
+def test_gaps_and_overlaps_of_intervals_are_refused():
+    from decimal import Decimal as D
+
+    from ledgerlens.functions.intervals import check_intervals
+    d, e = dt.date(2025, 1, 1), dt.date(2026, 1, 1)
+    good = [(d, "B", D("10.00"), D("19.99")), (d, "A", D("0.00"), D("9.99")), (e, "A", D("5.00"), D("6.00"))]
+    check_intervals(good)
+    for bad, text in (((d, "C", D("19.99"), D("30")), "overlap"), ((d, "C", D("20.01"), D("30")), "gap"),
+                      ((d, "C", D("20.00"), D("19")), "ends before")):
+        with pytest.raises(ValueError, match=text):
+            check_intervals([*good, bad])
+
+
+def test_the_fixed_values_as_dated_rows_give_the_same_report(spark):
+    from ledgerlens.functions import intervals
+    fixed = make_day(spark)
+    dated = make_day(spark, ladders=intervals.fixed_ladders(dt.date(1900, 1, 1)))
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+    assert rows(dated.portfolio) == rows(fixed.portfolio) and rows(dated.scorecard) == rows(fixed.scorecard)
+    strict = spark.createDataFrame([(fx.BD, "Critical Exceptions", 0, 0), (dt.date(1900, 1, 1), "Critical Exceptions", 50, 60)],
+                                   "effective_from date, metric_name string, green_threshold int, amber_threshold int")
+    later_on = make_day(spark, ladders=intervals.Ladders(thresholds=intervals.thresholds_of(strict)))
+    status = {r.kpi_name: r.kpi_status for r in later_on.scorecard.collect()}
+    assert status["Critical Exceptions"] == "RED" and status == {
+        r.kpi_name: "RED" if r.kpi_name == "Critical Exceptions" else r.kpi_status for r in fixed.scorecard.collect()}
