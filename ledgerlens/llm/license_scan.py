@@ -9,7 +9,10 @@ Vectors hold the words of the template vocabulary, weighted by term frequency
 and the inverse document frequency over all files; other words lengthen a
 vector, each distinct one as a word seen nowhere else.  Of the templates at a
 cosine of at least ``SIMILAR`` the one with the most distinct words in common
-names the file's licence (ties: the larger cosine, then the earlier template).  A file without one takes that of the
+names the file's licence (ties: the larger cosine, then the earlier template).
+A template names its family and version words, without which it does not match,
+and words of neighbouring families, with which it does not: an unknown version
+or family has no verdict.  A file without one takes that of the
 nearest directory, its own included, whose licence file has one; directories
 and ancestors are joined by path.
 
@@ -29,37 +32,94 @@ from ledgerlens.llm.native import row_key, same, written
 
 SIMILAR = 0.6
 
-#: SPDX name and the customary notice.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+#: SPDX name, a customary notice, title or sentence, words that a
+#: match must hold and words that it must not hold.
+TEMPLATES = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", "apache 2", ""),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
-                   "compliance with the License."),
-    ("MIT", "Released under the MIT License."),
+                   "compliance with the License.", "apache 2", ""),
+    ("MIT", "Released under the MIT License.", "mit", ""),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files, to deal in the Software without restriction."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+            "associated documentation files, to deal in the Software without restriction.", "granted charge", ""),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", "gnu 3", "lesser affero"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                "General Public License as published by the Free Software Foundation, either version 3."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+                "General Public License as published by the Free Software Foundation, either version 3.",
+     "gnu 3", "lesser affero"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", "gnu 2", "lesser affero"),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
-                "General Public License as published by the Free Software Foundation; either version 2."),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+                "General Public License as published by the Free Software Foundation; either version 2.",
+     "gnu 2", "lesser affero"),
+    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3.", "lesser 3", ""),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-)
+                     "provided that the following conditions are met.", "redistribution binary", ""),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mozilla 2", ""),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered", ""),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3.",
+     "affero 3", ""),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3.", "gnu affero 3", ""),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3.",
+     "lesser 3", ""),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1.",
+     "lesser 2 1", ""),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1.", "gnu lesser 2 1", ""),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3.", "gnu lesser 3", ""),
+    ("GPL-3.0", "GNU General Public License, version 3, 29 June 2007.", "gnu 3 2007", "lesser affero"),
+    ("GPL-2.0", "GNU General Public License, version 2, June 1991.", "gnu 2 1991", "lesser affero"),
+    ("Apache-2.0", "Apache License, version 2.0, January 2004.", "apache 2 2004", ""),
+    ("Apache-1.1", "The Apache Software License, Version 1.1.", "apache 1", ""),
+    ("BSD-2-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+                     "and the following disclaimer in the documentation and/or other materials provided with the "
+                     "distribution.", "redistributions binary reproduce", ""),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+                     "or promote products derived from this software without specific prior written permission.",
+     "endorse promote", ""),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+     "fee granted", ""),
+    ("ISC", "ISC License.", "isc", ""),
+    ("MPL-2.0", "Mozilla Public License, version 2.0.", "mozilla 2", ""),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License, Version 1.1.", "mozilla 1", ""),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0.", "eclipse 2", ""),
+    ("EPL-2.0", "Eclipse Public License, v 2.0.", "eclipse 2", ""),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License v1.0.", "eclipse 1", ""),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.", "boost 1", ""),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+             "and to alter it and redistribute it freely.", "alter freely", ""),
+    ("CC0-1.0", "CC0 1.0 Universal, public domain dedication.", "cc0", ""),
+]
+#: Where a notice may begin inside a sentence.
+_STARTS = sorted({r"\s+".join(t.split()[:2]) for _, t, _, _ in TEMPLATES if t.split()[0] in (
+    "Licensed", "Released", "Permission", "This", "Redistribution", "Redistributions", "Neither", "Distributed")})
+#: Parts of the Creative Commons names: short form, long form.
+_CC = {"nc": "NonCommercial", "sa": "ShareAlike", "nd": "NoDerivatives"}
+for _version in ("4.0", "3.0"):
+    for _parts in ((), ("sa",), ("nc",), ("nd",), ("nc", "sa"), ("nc", "nd")):
+        _name = "-".join(["CC", "BY", *(p.upper() for p in _parts)]) + f"-{_version}"
+        _short = "CC BY" + "".join(f"-{p.upper()}" for p in _parts)
+        _long = "Creative Commons Attribution" + "".join(f"-{_CC[p]}" for p in _parts)
+        _not = [p for p in _CC if p not in _parts]
+        TEMPLATES += [
+            (_name, f"Licensed under {_short} {_version}.", " ".join(["cc", _version[0], *_parts]), " ".join(_not)),
+            (_name, f"This work is licensed under a {_long} {_version} International License.",
+             " ".join(["attribution", _version[0], *(_CC[p].lower() for p in _parts)]), " ".join(_CC[p].lower() for p in _not))]
+#: An identifier line names any of them; "only" and "or later" do not change the name.
+for _name in sorted({n for n, *_ in TEMPLATES}):
+    _words = re.findall(r"[a-z0-9]+", _name.lower())
+    TEMPLATES += [(_name, f"SPDX-License-Identifier: {_name}{_tail}", " ".join(["spdx", *(w for w in _words if w != "by")]),
+                   " ".join(p for p in _CC if p not in _words) if _name.startswith("CC-BY") else "")
+                  for _tail in (("", "-only", "-or-later") if "GPL" in _name else ("",))]
 #: Words that tell no licences apart.
 STOP_WORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "by", "can", "either", "except", "for", "from", "in",
               "into", "is", "it", "of", "on", "or", "the", "this", "to", "under", "with", "you")
 #: Ends of a sentence, but not "v." before a number; an empty line, bare comment marks included, ends one as well.
 _SENTENCE_END = "\\n\\n+|(?<=[.!?])(?<!\\bv\\.)\\s+"
 #: Where a template's first two words stand, and after a colon that ends a line.
-_NOTICE_START = "(?i)(?=\\b(?:" + "|".join(sorted({"\\s+".join(t.split()[:2]) for _, t in TEMPLATES})) + \
-    ")\\b)|(?<=:)[ \\t]*\\n"
+_NOTICE_START = "(?i)(?=\\b(?:" + "|".join(_STARTS) + ")\\b)|(?<=:)[ \\t]*\\n"
 _LICENCE_FILE = "(?i)(^|/)(un)?(licen[sc]e|copying|notice)(\\.[^/]*)?$"
 
 
@@ -70,11 +130,12 @@ def words_of(text: Column) -> Column:
 def _template_words() -> list[tuple[int, str, list[str]]]:
     # "by" tells CC licences apart, so it stays where "cc" stands before it
     return [(i, name, [w for j, w in enumerate(ws) if w not in STOP_WORDS or (j and ws[j - 1] == "cc")])
-            for i, (name, ws) in enumerate((n, re.findall(r"[^\W_]+", t.lower())) for n, t in TEMPLATES)]
+            for i, (name, ws) in enumerate((n, re.findall(r"[^\W_]+", t.lower())) for n, t, _, _ in TEMPLATES)]
 
 
 def _vocabulary() -> list[str]:
-    return sorted({w for _, _, ws in _template_words() for w in ws if w not in STOP_WORDS})
+    barred = {w for *_, words in TEMPLATES for w in words.split()}
+    return sorted({w for _, _, ws in _template_words() for w in ws if w not in STOP_WORDS} | barred)
 
 
 def directory_of(path: Column) -> Column:
@@ -95,7 +156,9 @@ def _units(files: DataFrame) -> DataFrame:
     unit = parts.select("file_id", "key", "path", F.posexplode(F.array_distinct(F.concat(
         lines, whole, "sentences", notices))).alias("unit", "line"))
     split = unit.select("file_id", "key", "path", "unit", words_of(F.col("line")).alias("words"))
-    return split.where(F.arrays_overlap("words", vocabulary)).select(
+    # numbers alone tell nothing
+    spelled = F.array(*(F.lit(w) for w in _vocabulary() if not w.isdigit()))
+    return split.where(F.arrays_overlap("words", spelled)).select(
         "file_id", "key", "path", "unit", F.size(F.array_except("words", stop)).alias("n_other"),
         F.filter("words", lambda w: F.array_contains(vocabulary, w)).alias("terms")).distinct()
 
@@ -111,11 +174,17 @@ def own_licences(files: DataFrame, least: float = SIMILAR) -> DataFrame:
     vocabulary = spark.createDataFrame([(w,) for w in _vocabulary()], "term string")
     idf = written(vocabulary.join(seen, "term", "left").select(
         "term", (F.log((F.lit(total) + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf")), "licence-idf")
-    flat = [(i, name, w) for i, name, ws in _template_words() for w in ws if w not in STOP_WORDS]
-    weights = spark.createDataFrame(flat, "template int, licence string, term string") \
-        .groupBy("template", "licence", "term").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(idf), "term") \
-        .select("template", "licence", "term", (F.col("tf") * F.col("idf")).alias("weight"))
-    lengths = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("template_length"))
+    flat = [(i, name, w, 1, w in TEMPLATES[i][2].split(), False) for i, name, ws in _template_words() for w in ws
+            if w not in STOP_WORDS]
+    # words that a match must not hold weigh nothing
+    flat += [(i, name, w, 0, False, True) for i, (name, _, _, barred) in enumerate(TEMPLATES) for w in barred.split()]
+    weights = spark.createDataFrame(flat, "template int, licence string, term string, tf int, required boolean, "
+                                          "barred boolean") \
+        .groupBy("template", "licence", "term").agg(F.sum("tf").alias("tf"), F.max("required").alias("required"),
+                                                    F.max("barred").alias("barred")).join(F.broadcast(idf), "term") \
+        .select("template", "licence", "term", (F.col("tf") * F.col("idf")).alias("weight"), "required", "barred")
+    lengths = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("template_length"),
+                                              F.count_if("required").alias("wanted"))
     templates = weights.join(F.broadcast(lengths), "template")
     unseen = F.log(F.lit(total) + 1) + 1
     vectors = terms.groupBy("file_id", "key", "path", "unit", "n_other", "term").agg(F.count(F.lit(1)).alias("tf")) \
@@ -126,8 +195,10 @@ def own_licences(files: DataFrame, least: float = SIMILAR) -> DataFrame:
                               + F.col("n_other") * unseen * unseen))
     dots = unit_lengths.select("file_id", "key", "path", "unit", "unit_length", F.inline("terms")) \
         .join(F.broadcast(templates), "term").groupBy("file_id", "key", "path", "unit", "unit_length", "template",
-                                                      "licence", "template_length") \
-        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.count(F.lit(1)).alias("matched"))
+                                                      "licence", "template_length", "wanted") \
+        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.count_if(~F.col("barred")).alias("matched"),
+             F.count_if("required").alias("held"), F.count_if("barred").alias("barred")) \
+        .where((F.col("held") == F.col("wanted")) & (F.col("barred") == 0))
     scored = dots.select("file_id", "key", "path", "licence", "template", "matched", F.round(
         F.col("dot") / (F.col("unit_length") * F.col("template_length")), 6).alias("cosine"))
     best = scored.where(F.col("cosine") >= least).groupBy("file_id", "key", "path").agg(

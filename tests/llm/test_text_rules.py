@@ -256,6 +256,51 @@ def test_wrapped_and_prefixed_notices(spark):
     assert got == {i: name for i, (name, _) in enumerate(files)}
 
 
+def test_families_versions_and_near_misses(spark):
+    free = ("This {0} is free software; you can redistribute it and/or modify\nit under the terms of the GNU {1} as\n"
+            "published by the Free Software Foundation; either version {2}\nof the License, or (at your option) any later "
+            "version.\n")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that "
+           "the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright "
+           "notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must "
+           "reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the "
+           "documentation\n   and/or other materials provided with the distribution.\n\n")
+    third = ("3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or "
+             "promote products derived from\n   this software without specific prior written permission.\n\n")
+    files = [("AGPL-3.0", free.format("program", "Affero General Public License", 3)),
+             ("LGPL-2.1", free.format("library", "Lesser General Public License", "2.1")),
+             ("LGPL-3.0", free.format("library", "Lesser General Public License", 3)),
+             ("GPL-2.0", free.format("program", "General Public License", 2)),
+             (None, free.format("program", "General Public License", 7)),
+             ("BSD-2-Clause", "Copyright (c) 2020, A. Person\n\n" + bsd), ("BSD-3-Clause", bsd + third),
+             ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."), ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+             ("CC-BY-3.0", "Licensed under CC BY 3.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+             ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+             ("CC-BY-NC-SA-3.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 "
+                                 "International License."), (None, "Licensed under CC BY 9.0."),
+             ("Apache-1.1", "The Apache Software License, Version 1.1\n\nCopyright 1999 Some Foundation"),
+             (None, "Licensed under the Apache License, Version 5.0"),
+             ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee "
+                     "is hereby granted, provided that the above\ncopyright notice and this permission notice appear in "
+                     "all copies."),
+             ("BSL-1.0", "// Distributed under the Boost Software License, Version 1.0.\nint x;"),
+             ("EPL-2.0", "/* This program and the accompanying materials are made available under the\n * terms of the "
+                         "Eclipse Public License 2.0 which is available elsewhere. */"),
+             ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+             ("MIT", "# SPDX-License-Identifier: MIT\ncode"), ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-or-later"),
+             ("BSD-2-Clause", "// SPDX-License-Identifier: BSD-2-Clause"), ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
+             ("Apache-2.0", "                                 Apache License\n                           Version 2.0, "
+                            "January 2004\n\n   TERMS AND CONDITIONS"),
+             ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n"
+                         " Everyone is permitted to copy and distribute verbatim copies\n of this document."),
+             (None, "the library of the general public is free; version 3 of its catalogue lists other software")]
+    for place in ("d{}/x.py", "d{}/LICENSE"):
+        df = spark.createDataFrame([(i, place.format(i), t) for i, (_, t) in enumerate(files)],
+                                   "doc_id long, path string, text string")
+        got = {r.doc_id: r.licence for r in lic.scan_licences(df, F.col("path")).collect()}
+        assert got == {i: name for i, (name, _) in enumerate(files)}
+
+
 def test_licences_of_a_table(spark, texts):
     rows = se.queries()["op2_license_scan"](spark, SF).collect()
     phrase = {"Apache License": "Apache-2.0", "MIT License": "MIT", "GNU General": "GPL-3.0", "CC BY-NC": "CC-BY-NC-4.0"}
