@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerlens.llm.labelled import held_out, training_sample
+from ledgerlens.llm.native import written
 from ledgerlens.llm.textual import Cache, slices
 
 #: Identity terms; the terms of one line are swapped for one another.
@@ -104,10 +105,11 @@ class Linear:
         return self.bias + float(self.weights[self.of(keys)].sum())
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], fairness: float = 1.0,
-        epochs: int = 15, batch: int = 128, rate: float = 0.1, seed: int = 7) -> Linear:
+def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]],
+        times: list[int] | None = None, fairness: float = 1.0, epochs: int = 15, batch: int = 128, rate: float = 0.1, seed: int = 7) -> Linear:
     """AdaGrad on the logistic loss plus ``fairness`` times the mean squared logit
-    change over the swapped pairs, with soft thresholding (``SPARSE``)."""
+    change over the swapped pairs, each counted ``times`` (once if not given),
+    with soft thresholding (``SPARSE``)."""
     if not len(rows):
         return Linear()
     every, docs = np.unique(np.concatenate(rows), return_counts=True)
@@ -119,7 +121,9 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.
     at = [m.of(r) for r in rows]
     change = [(m.of(np.setdiff1d(a, b)), m.of(np.setdiff1d(b, a))) for a, b in pairs]
     rng, seen, seen_bias = np.random.default_rng(seed), np.full(len(keys), 1e-6), 1e-6
-    share = len(change) / max(1, len(rows))
+    upto = np.cumsum(np.ones(len(change), dtype=np.int64) if times is None else np.array(times, dtype=np.int64))
+    total = int(upto[-1]) if len(upto) else 0
+    share = total / max(1, len(rows))
     for _ in range(epochs):
         mixed = rng.permutation(len(rows))
         for start in range(0, len(rows), batch):
@@ -135,7 +139,8 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.
             m.bias -= rate * error.sum() / seen_bias ** 0.5
             if change:
                 slope: Counter = Counter()
-                chosen = rng.integers(0, len(change), size=max(1, round(len(part) * min(1.0, share))))
+                drawn = rng.integers(0, total, size=max(1, round(len(part) * min(1.0, share))))
+                chosen = np.searchsorted(upto, drawn, side="right")
                 for i in chosen:
                     gone, come = change[i]
                     gap = 2 * fairness * (m.weights[gone].sum() - m.weights[come].sum()) / len(chosen)
@@ -157,16 +162,26 @@ def _move(weights: np.ndarray, seen: np.ndarray, at: np.ndarray, step: np.ndarra
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Linear:
-    @pandas_udf("array<binary>")
-    def features(text: pd.Series) -> pd.Series:
-        return pd.Series([[keys_of(t).tobytes(), *(k.tobytes() for pair in swaps(t) for k in pair)]
-                          for part in slices(text) for t in part], dtype=object)
-
-    rows = training_sample(docs, labels, label).select("doc_id", "y", features("text").alias("x"))
-    got = sorted(rows.collect(), key=lambda r: r.doc_id)
-    read = [[np.frombuffer(bytes(b), dtype=np.uint64) for b in r.x] for r in got]
-    pairs = [p for r in read for p in zip(r[1::2], r[2::2])]
-    return fit([r[0] for r in read], np.array([float(r.y > 0) for r in got]), pairs)
+    """Only the input keys of a sample bounded in rows and bytes reach the
+    driver, and of its swaps each distinct difference with its number."""
+    @pandas_udf("own binary, swaps array<struct<gone: binary, come: binary>>")
+    def features(text: pd.Series) -> pd.DataFrame:
+        out = []
+        for part in slices(text):
+            for t in part:
+                out.append((keys_of(t).tobytes(), [{"gone": np.setdiff1d(a, b).tobytes(), "come": np.setdiff1d(b, a).tobytes()}
+                                                   for a, b in swaps(t)]))
+        return pd.DataFrame(out, columns=["own", "swaps"])
+
+    read = written(training_sample(docs, labels, label).select("doc_id", "y", features("text").alias("x")).select(
+        "doc_id", "y", "x.own", "x.swaps"), "toxicity-sample")
+    got = sorted(read.select("doc_id", "y", "own").collect(), key=lambda r: r.doc_id)
+    # identity terms and their beginnings: the same few differences however many sentences
+    swapped = read.select(F.explode("swaps").alias("s")).groupBy("s.gone", "s.come").count().collect()
+    told = sorted((bytes(r.gone), bytes(r.come), r["count"]) for r in swapped)
+    keys = [np.frombuffer(bytes(r.own), dtype=np.uint64) for r in got]
+    pairs = [(np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)) for a, b, _ in told]
+    return fit(keys, np.array([float(r.y > 0) for r in got]), pairs, [n for *_, n in told])
 
 
 def toxicity_score(text: Column, model: Linear) -> Column:

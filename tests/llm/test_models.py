@@ -108,6 +108,66 @@ def test_penalty_evens_out_identity_terms():
     assert gap[5.0] < 0.2 * gap[0.0]
 
 
+def test_scores_of_a_table_by_brute_force(spark, texts):
+    """Every document's score from the weights, input by input and pair by pair."""
+    import xxhash
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r.score for r in se.queries()["op10_toxicity"](spark, SF).collect()}
+    m = tox.train(docs, labels)
+    weight = dict(zip(m.keys.tolist(), m.weights.tolist()))
+    for i, t in texts.items():
+        words = set(re.findall(r"[^\W\d_]+", (t or "").lower()))
+        inputs = {f"w{w}" for w in words} | {f"{n}{w[:n]}" for w in words for n in tox.STEMS if len(w) >= n}
+        z = m.bias + sum(weight.get(xxhash.xxh3_64_intdigest(x.encode()), 0.0) for x in inputs)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+    assert set(got) == set(texts)
+
+    got = {r.doc_id: r.score for r in se.queries()["op1_quality_fm"](spark, SF).collect()}
+    lengths = {r.doc_id: r.n_chars for r in docs.collect()}
+    machine = fm.train(docs, labels)
+    for i, t in texts.items():
+        x = fm.inputs_of([t or ""], [float(lengths[i])])
+        counts = collections.Counter(xxhash.xxh3_64_intdigest(r.encode()) % fm.BUCKETS for c in (t or "").lower().split()
+                                     for r in re.findall(r"[^\W_]+|[^\w\s]+|_+", c))
+        norm = np.sqrt(sum(n * n for n in counts.values())) or 1.0
+        values = [*(n / norm for n in counts.values()), *x.dense[0].tolist()]
+        places = [*counts, *range(fm.BUCKETS, fm.BUCKETS + fm.STATS)]
+        v = machine.factors[places].astype(float) * np.array(values)[:, None]
+        every = v @ v.T
+        z = machine.bias + float(machine.linear[places] @ np.array(values)) + (every.sum() - np.trace(every)) / 2
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=2e-4)
+
+
+def test_settings_are_chosen_without_the_held_out_fold():
+    from ledgerlens.llm import choice
+    ids = list(range(300))
+    y = [None if i % 7 == 0 else i % 2 for i in ids]
+    places = choice.learning_rows(ids, y)
+    assert places and not any(held(ids[k]) or y[k] is None for k in places)
+    seen = []
+
+    def fit(rows):
+        def score(other):
+            assert not set(rows.tolist()) & set(other.tolist())
+            seen.extend(other.tolist())
+            return np.full(len(other), 0.5)
+        return score
+    loss = choice.mean_loss([ids[k] for k in places], np.array([float(y[k]) for k in places]), fit)
+    assert loss == pytest.approx(np.log(2)) and sorted(seen) == list(range(len(places)))
+    texts = ["good words here", "vile words here"] * 20
+    before = tox.STEMS, tox.SPARSE
+    assert choice.toxicity_loss(list(range(40)), texts, np.array([0.0, 1.0] * 20), (4,), 0.0) < 0.5
+    assert (tox.STEMS, tox.SPARSE) == before
+
+
+def test_training_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "w" * 1_000) for i in range(400)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    whole = training_sample(docs, marks, "quality").count()
+    some = training_sample(docs, marks, "quality", limit=100_000)
+    assert whole == sum(not held(i) for i in range(400)) and 50 < some.count() < 160
+
+
 # -- Order MinHash ---------------------------------------------------------
 
 def lcs(a, b):
