@@ -28,7 +28,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.llm.native import row_key, same, written
+from ledgerlens.llm.native import let, row_key, same, written
 
 SIMILAR = 0.6
 
@@ -38,7 +38,7 @@ TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", "apache 2", ""),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
                    "compliance with the License.", "apache 2", ""),
-    ("MIT", "Released under the MIT License.", "mit", ""),
+    ("MIT", "Released under the MIT License.", "mit license", ""),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files, to deal in the Software without restriction.", "granted charge", ""),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", "gnu 3", "lesser affero"),
@@ -79,7 +79,7 @@ TEMPLATES = [
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
      "fee granted", ""),
-    ("ISC", "ISC License.", "isc", ""),
+    ("ISC", "ISC License.", "isc license", ""),
     ("MPL-2.0", "Mozilla Public License, version 2.0.", "mozilla 2", ""),
     ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License, Version 1.1.", "mozilla 1", ""),
     ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
@@ -138,13 +138,18 @@ def _vocabulary() -> list[str]:
     return sorted({w for _, _, ws in _template_words() for w in ws if w not in STOP_WORDS} | barred)
 
 
+def _telling() -> list[str]:
+    """Of the words each template needs the longest: without any of these nothing matches."""
+    return sorted({max((w for w in wanted.split() if not w.isdigit()), key=len) for _, _, wanted, _ in TEMPLATES})
+
+
 def directory_of(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
 def _units(files: DataFrame) -> DataFrame:
     """file_id, key, path, unit, n_other and terms of the lines, sentences and
-    notices (and whole licence files) that hold a word of the template vocabulary."""
+    notices (and whole licence files) that hold a word some template needs."""
     vocabulary = F.array(*map(F.lit, _vocabulary()))
     stop = F.array(*map(F.lit, (*STOP_WORDS, *_vocabulary())))
     lines = F.split("text", "\n", -1)
@@ -152,13 +157,14 @@ def _units(files: DataFrame) -> DataFrame:
     sentences = F.split(bare, _SENTENCE_END, -1)
     notices = F.flatten(F.transform("sentences", lambda x: F.split(x, _NOTICE_START, -1)))
     whole = F.when(F.col("path").rlike(_LICENCE_FILE), F.array(F.col("text"))).otherwise(F.array().cast("array<string>"))
-    parts = files.select("file_id", "key", "path", "text", sentences.alias("sentences"))
+    # most files hold none of the words that some template needs, and are not split
+    telling = F.array(*map(F.lit, _telling()))
+    some = let(F.lower("text"), lambda low: F.exists(telling, lambda w: F.contains(low, w)))
+    parts = files.where(some).select("file_id", "key", "path", "text", sentences.alias("sentences"))
     unit = parts.select("file_id", "key", "path", F.posexplode(F.array_distinct(F.concat(
         lines, whole, "sentences", notices))).alias("unit", "line"))
     split = unit.select("file_id", "key", "path", "unit", words_of(F.col("line")).alias("words"))
-    # numbers alone tell nothing
-    spelled = F.array(*(F.lit(w) for w in _vocabulary() if not w.isdigit()))
-    return split.where(F.arrays_overlap("words", spelled)).select(
+    return split.where(F.arrays_overlap("words", telling)).select(
         "file_id", "key", "path", "unit", F.size(F.array_except("words", stop)).alias("n_other"),
         F.filter("words", lambda w: F.array_contains(vocabulary, w)).alias("terms")).distinct()
 
@@ -169,8 +175,10 @@ def own_licences(files: DataFrame, least: float = SIMILAR) -> DataFrame:
     units = written(_units(files), "licence-units")
     total = files.count()
     terms = units.select("file_id", "key", "path", "unit", "n_other", F.explode("terms").alias("term"))
-    # one row a word of the vocabulary: at most a few hundred
-    seen = terms.select("file_id", "key", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # in how many of all files a word stands; one row a word of the vocabulary: at most a few hundred
+    known = F.array(*map(F.lit, _vocabulary()))
+    seen = files.select(F.explode(F.array_intersect(words_of(F.col("text")), known)).alias("term")) \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     vocabulary = spark.createDataFrame([(w,) for w in _vocabulary()], "term string")
     idf = written(vocabulary.join(seen, "term", "left").select(
         "term", (F.log((F.lit(total) + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf")), "licence-idf")
