@@ -452,9 +452,13 @@ def _(spark, sf):
 # --- reconciliation: run with the first-pass master (baseline) vs the run with
 # a master built from all seven sources (current) ------------------------------
 
-def _pair(spark, sf):
+def _pair(spark, sf, store=("portfolio_rows", "branch_exceptions")):
+    """The two runs; what a comparison reads several times is stored once a side."""
     d = day(spark, sf)
-    return d, d.twin(master_sources=None)
+    both = d, d.twin(master_sources=None)
+    for run in both if store else ():
+        run.materialize(store)
+    return both
 
 
 @register("recon_counts")
@@ -467,38 +471,38 @@ def _(spark, sf):
 
 @register("recon_aggregates")
 def _(spark, sf):
-    b, c = _pair(spark, sf)
+    b, c = _pair(spark, sf, store=())
     return reconcile.compare_aggregates(b.portfolio, c.portfolio)
 
 
 @register("recon_by_severity")
 def _(spark, sf):
-    b, c = _pair(spark, sf)
+    b, c = _pair(spark, sf, store=())
     return reconcile.compare_group_counts(b.exceptions, c.exceptions, ["severity_code"])
 
 
 @register("recon_by_rule")
 def _(spark, sf):
-    b, c = _pair(spark, sf)
+    b, c = _pair(spark, sf, store=())
     return reconcile.compare_group_counts(b.exceptions, c.exceptions, ["rule_code", "severity_code"])
 
 
 @register("recon_hash_diff")
 def _(spark, sf):
-    b, c = _pair(spark, sf)
+    b, c = _pair(spark, sf, store=())
     return reconcile.compare_hashes(b.exceptions, c.exceptions)
 
 
 @register("recon_digest_diff")
 def _(spark, sf):
     """The exceptions that one run holds only, by a tree of digests."""
-    b, c = _pair(spark, sf)
+    b, c = _pair(spark, sf, store=("branch_exceptions",))
     return digests.one_sided(b.exceptions, c.exceptions, ["exception_hash"], ["exception_hash", *reconcile.DETAIL])
 
 
 @register("recon_hash_summary")
 def _(spark, sf):
-    b, c = _pair(spark, sf)
+    b, c = _pair(spark, sf, store=())
     return reconcile.hash_summary(reconcile.compare_hashes(b.exceptions, c.exceptions))
 
 
