@@ -18,7 +18,7 @@ from ..operators import classify, digests, kpi, master, portfolio, reconcile, ru
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks, tables, testdata
 from .bank_day import BankDay
-from .rollup import ExceptionRollup
+from .rollup import AffectedRollup, ExceptionRollup
 from .daily import (ISSUE_CHANGE, ISSUE_KEYS, ISSUE_UPDATES, PORTFOLIO_CHANGE, PORTFOLIO_KEYS, read_table,
                     run_daily)
 
@@ -292,6 +292,22 @@ def _(spark, sf):
     return rules.severity_area_dashboard(day(spark, sf).exceptions)
 
 
+@register("affected_from_states")
+def _(spark, sf):
+    """A3 / Q12: customers and accounts per severity and area over the whole
+    history, merged from bitmaps per date.  One date is first loaded without its
+    critical exceptions and then replaced."""
+    d = day(spark, sf, date_range=(dt.date(1900, 1, 1), dt.date(2100, 12, 31)))
+    rows = tables.stored(d.exceptions.select(*AffectedRollup.GROUPS, "customer_id", "source_system_code",
+                                             "source_account_number"), "affected-exceptions")
+    dates = [r[0] for r in rows.select("business_date").distinct().collect()]  # a row a date
+    rollup = AffectedRollup(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/affected-{uuid.uuid4().hex}")
+    late = F.col("business_date") == F.lit(testdata.BUSINESS_DATE)
+    rollup.update(rows.where(~late | (F.col("severity_code") != "CRITICAL")), dates)
+    rollup.update(rows, [testdata.BUSINESS_DATE])
+    return rollup.counts(by=("severity_code", "business_area"))
+
+
 @register("owner_next_due")
 def _(spark, sf):
     return rules.owner_next_due(day(spark, sf).exceptions)

@@ -270,12 +270,13 @@ class BucketedTable(VersionedTable):
         return self.commit(before, gone | found, _columns(rows))
 
     def upsert(self, source: DataFrame, change_columns: Mapping[str, object], update_columns: Sequence[str],
-               delete_unmatched: bool = False) -> dict[str, int]:
+               delete_unmatched: bool = False, read: Manifest | None = None) -> dict[str, int]:
         """Merges ``source`` into the table and returns the rows per action.
+        ``read`` is the manifest that ``source`` was made from, if it was.
 
         One pass over keys and changing columns finds the buckets with work;
         only those are read whole and written, in a second pass."""
-        before = self.current()
+        before = read or self.current()
         if before is None:
             raise ValueError(f"{self.base}: not loaded yet")
 

@@ -755,6 +755,11 @@ def _oracle() -> dict[str, str]:
         "trend_30d": w(base + trend, f"""SELECT business_date, count(*) AS total_exceptions,
             count_if(severity_code = 'CRITICAL') AS critical_exceptions, count(DISTINCT business_owner) AS active_business_owners
             FROM tr_exc WHERE business_date BETWEEN DATE '{TREND_DATE}' - 30 AND DATE '{TREND_DATE}' GROUP BY 1"""),
+        "affected_from_states": w(base + history, """SELECT severity_code, business_area, count(*) AS exception_count,
+            count(DISTINCT customer_id) AS customers_affected,
+            count(DISTINCT CASE WHEN source_system_code IS NOT NULL AND source_account_number IS NOT NULL
+                  THEN source_system_code || chr(1) || source_account_number END) AS accounts_affected
+            FROM hi_exc GROUP BY 1, 2"""),
         "trend_from_rollup": w(base + trend, f"""SELECT business_date, count(*) AS total_exceptions,
             count_if(severity_code = 'CRITICAL') AS critical_exceptions, count(DISTINCT business_owner) AS active_business_owners
             FROM tr_exc WHERE business_date BETWEEN DATE '{TREND_DATE}' - 30 AND DATE '{TREND_DATE}' GROUP BY 1"""),

@@ -390,6 +390,82 @@ def test_a_trend_from_the_rollup_equals_the_recomputed_one(spark, scratch):
     assert len(r.trend(fx.BD).inputFiles()) <= 31
 
 
+def affected_rows(n, first=0):
+    days = [fx.BD - dt.timedelta(days=k) for k in range(5)]
+    return [(days[i % 5], ("HIGH", "LOW", None)[i % 3], "ABC"[i % 2], None if i % 11 == 0 else f"C{(i * i) % 61}",
+             "S1" if i % 7 else None, f"A{i % 37}") for i in range(first, first + n)]
+
+
+AFFECTED_SCHEMA = ("business_date date, severity_code string, business_area string, customer_id string, "
+                   "source_system_code string, source_account_number string")
+
+
+def brute_affected(rows, by):
+    names = ("business_date", "severity_code", "business_area")
+    groups = {}
+    for r in rows:
+        groups.setdefault(tuple(r[names.index(b)] for b in by), []).append(r)
+    return {k: (len(g), len({r[3] for r in g if r[3]}), len({r[4:6] for r in g if r[4] and r[5]}))
+            for k, g in groups.items()}
+
+
+def test_distinct_counts_merge_over_dates_and_groups(spark, scratch):
+    from ledgerlens.operators import rules
+    from ledgerlens.plans.rollup import AffectedRollup
+    days = [fx.BD - dt.timedelta(days=k) for k in range(5)]
+    r = AffectedRollup(spark, f"{scratch}/affected", buckets=3)
+    with pytest.raises(ValueError):
+        r.counts()
+    rows = affected_rows(400)
+
+    def found(dates, by):
+        return {tuple(x[b] for b in by): (x.exception_count, x.customers_affected, x.accounts_affected)
+                for x in r.counts(dates, by).collect()}
+    r.update(spark.createDataFrame(rows, AFFECTED_SCHEMA), days[1:])
+    kept = {d: files_of(r.table, d) for d in days[2:]}
+    old = {x.customer_id: x.number for x in r.numbers["customers_affected"].table.read().collect()}
+    # a new date with new keys and a replaced date
+    rows = [x for x in rows if x[0] != days[1]] + [
+        (d, "HIGH", "A", f"N{i}", "S2", f"A{i}") for i in range(40) for d in days[:2]]
+    df = spark.createDataFrame(rows, AFFECTED_SCHEMA)
+    r.update(df, days[:2])
+    assert {d: files_of(r.table, d) for d in kept} == kept
+    now = {x.customer_id: x.number for x in r.numbers["customers_affected"].table.read().collect()}
+    assert old.items() <= now.items() and len(now) >= len(old) + 40
+    for by in (AffectedRollup.GROUPS, ("severity_code", "business_area"), ("business_date",), ("business_area",)):
+        assert found(None, by) == brute_affected(rows, by)
+    assert found(days[:2], ()) == brute_affected([x for x in rows if x[0] in days[:2]], ())
+    # the dashboard of a recomputation, without its Expand
+    dash = rules.severity_area_dashboard(df)
+    assert sorted(map(str, r.counts().select(*dash.columns).collect())) == sorted(map(str, dash.collect()))
+    assert "Expand" not in r.counts()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_of_keys_are_unique_lasting_and_refused_to_two_loads(spark, scratch):
+    from ledgerlens.operators.distinct import KeyNumbers, states
+    from ledgerlens.sources.tables import CommitConflict
+    k = KeyNumbers(spark, f"{scratch}/keys", ["k"], 2)
+    assert k.extend(spark.createDataFrame([], "k string, other int")) == 0
+    assert k.extend(spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), (None, 4)], "k string, other int")) == 2
+    before = k.table.current()
+    more = spark.range(70_000).selectExpr("cast(id as string) k", "id % 2 = 0 as g", "1 as number", "2 as bucket")
+    assert k.extend(more) == 70_000 and k.extend(more) == 0
+    assert k.table.read().groupBy(k.table.bucket(), "number").count().where("count > 1").isEmpty()
+    # columns of the rows may have the names used here; both chunks of a bucket count
+    got = states(more, ["g", "number"], k).groupBy("g", "number").agg(F.sum(F.bitmap_count("bits")))
+    assert sorted(map(tuple, got.collect())) == [(False, 1, 35_000), (True, 1, 35_000)]
+    assert states(more, [], k).select("chunk").distinct().count() == 2
+    with pytest.raises(CommitConflict):
+        k.table.upsert(spark.createDataFrame([("z", 3), ("y", 3), ("x", 3)], "k string, number long"), {"number": 0},
+                       ["number"], read=before)
+    # where the numbers are too many to broadcast, they stay in their buckets
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = k.of(more.select("k"))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert joined.count("Exchange") == 1 and "SortMergeJoin" in joined and "Bucketed: true" in joined
+
+
 def test_digests_find_the_rows_of_one_side(spark):
     from ledgerlens.operators import digests
     rows = [(i if i % 9 else None, f"v{i % 50}", i) for i in range(400)]
