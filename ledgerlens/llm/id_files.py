@@ -19,7 +19,8 @@ Defined cases: null and empty texts hold the end id alone; a null doc_id sorts
 first; rows that share a doc_id follow each other (by a hash of their text),
 repeated rows are written as often as they occur; an empty table gives files
 without blocks.  Ties are dealt over many partitions, so a repeated doc_id is
-no hot task.
+no hot task.  Texts of any length are written whole; other columns are not read,
+so their names cannot clash.
 """
 
 from __future__ import annotations

@@ -19,7 +19,9 @@ and ancestors are joined by path.
 Defined cases: null and empty texts have no licence of their own; a null path
 inherits nothing; a path without a slash lies in the root; of several licence
 files in one directory the best match counts, ties going to the smaller
-template name; repeated rows give repeated results.
+template name; repeated rows give repeated results; empty tables give no rows;
+texts of any length are compared whole; a null doc_id is kept; only doc_id and
+text are read, so names of other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ Words are runs of anything but ASCII white space.  Tokens of the n-grams are
 runs of letters and digits or runs of other characters of the lower-cased
 text.  Defined cases: null and empty texts have no words and fail the base
 rules; a text without tokens scores 0; repeated rows give repeated results;
-without any trusted document all ratios come from smoothing alone.
+without any trusted document all ratios come from smoothing alone; an empty
+table gives no rows; texts of any length are scored whole; a null doc_id is
+kept; only doc_id and text are read, so names of other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ the result is that of merging each pre-token alone.
 Defined cases: a null text counts as empty; an empty text has no ids and
 decodes to the empty text; special strings become their single id (the
 library's default) and decode to their string; repeated rows give repeated
-results.
+results; an empty table gives no rows; texts of any length are encoded whole; a
+null doc_id is kept; only doc_id and text are read, so names of other columns
+cannot clash.
 """
 
 from __future__ import annotations

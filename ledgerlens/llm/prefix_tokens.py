@@ -13,7 +13,10 @@ Defined cases: a null text counts as empty; an empty text has no tokens and
 the prefix table ``[0]``; special strings count as one token where they are
 complete and as ordinary text in a prefix that ends inside them; positions are
 code points of the text after the tokenizer's normalisation (the same as the
-raw ones unless NFC or lower-casing changes the length).
+raw ones unless NFC or lower-casing changes the length).  Repeated rows give
+repeated results; an empty table gives no rows; texts of any length are counted
+whole; a null doc_id is kept; only doc_id and text are read, so names of other
+columns cannot clash.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@
 Spans are code points, end exclusive.  Defined cases: a null text counts as
 empty and has no spans; a null doc_id is kept; repeated rows give repeated
 results; within one kind matches do not overlap, spans of different kinds may;
-redaction joins overlapping spans.
+redaction joins overlapping spans.  Texts of any length are searched whole; an
+empty table gives no rows; redaction carries all columns in a struct of their
+own, so their names cannot clash.
 """
 
 from __future__ import annotations

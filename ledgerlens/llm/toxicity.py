@@ -10,7 +10,9 @@ dropped, and each distinct word is looked up once a worker.
 
 Defined cases: null, empty and wordless texts get the score of a text without
 any weighted input; without labelled rows every score is 0.5; repeated rows
-give repeated results.
+give repeated results; an empty table gives no rows; texts of any length are
+scored whole; a null doc_id is scored and never learnt from; other columns are
+not read, so their names cannot clash.
 """
 
 from __future__ import annotations

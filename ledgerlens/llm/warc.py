@@ -17,7 +17,7 @@ Defined cases: a null html is an empty payload; a null page_id is kept (two
 pages of equal payload without any page_id are both responses); a null url gives
 records without a target; repeated rows give repeated records and captures;
 an empty table gives archives without records; texts of any length are written
-whole; other columns are not read.  Of several requests (or metadata records) of
+whole; other columns are not read, so their names cannot clash.  Of several requests (or metadata records) of
 one capture the one with the smallest identifier is shown, with their number.
 A record cut short, or one without a length, raises an error.
 """
