@@ -6,8 +6,8 @@ Plan shape for one business date::
       -> Project (cleanse)                  whole-stage codegen
       -> BroadcastHashJoin fx, product      config-sized sides, explicit broadcast
       == priced accounts: read twice below, so a run stores them once ==
-      -> SortMergeJoin master (+ per-customer account counts from a partial aggregate)
-                                            keyed by customer; NULL keys salted
+      -> ShuffledHashJoin master, account counts
+                                            one row per customer each, keyed by customer; NULL keys salted
       -> Filter (inclusion) -> anti join    critical customers (AQE may broadcast)
 
 Errors are produced in one pass per stage by ``array(when ...) -> inline``
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import specs
-from ..functions.expressions import band_expr, blank_to_null, clean_code, fire, timestamp_value
+from ..functions.expressions import band_expr, blank_to_null, by_hash, clean_code, fire, timestamp_value
 from ..functions.intervals import Ladders
 
 ERROR_COLUMNS = (
@@ -156,12 +156,12 @@ def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None =
     """Name, category and branch from the master (one row per customer),
     plus ``product_count`` when per-customer ``counts`` are given.
 
-    The counts ride along with the master side of the same join (a
-    customer-keyed full outer join of two per-customer frames), so the
-    account rows are shuffled once for both.  The master can be as large as
-    the customer base, so the join strategy is left to AQE (broadcast if
-    small, sort-merge with skew splitting otherwise).  ``customer_name``
-    follows ``concat`` semantics: NULL when either part is NULL (D6)."""
+    Both joins have the same key, so the account rows are shuffled once for
+    both, and they are hash joins that build on the customers of a partition:
+    the account rows, many per customer, are neither sorted nor held.  Counts
+    that no later column reads are left out of the plan with their join (one
+    row per customer on that side).  ``customer_name`` follows ``concat``
+    semantics: NULL when either part is NULL (D6)."""
     m = master.select(
         F.col("customer_id").alias("_cm_id"),
         F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("customer_name"),
@@ -169,16 +169,16 @@ def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None =
         F.col("branch_code").alias("branch_code"),
         F.lit(True).alias("_cm_found"),
     )
-    if counts is not None:
-        m = m.join(counts.withColumnRenamed("customer_id", "_cm_id"), "_cm_id", "full_outer")
-    j = df.withColumn("_ckey", salted_key("customer_id", "source_account_number")).join(
-        m, (F.col("_ckey") == F.col("_cm_id")) & F.col("customer_id").isNotNull(), "left")
+    key = salted_key("customer_id", "source_account_number")  # no column: it is not shuffled beside the id
+    j = df.join(m.hint("shuffle_hash"), (key == F.col("_cm_id")) & F.col("customer_id").isNotNull(), "left")
     if counts is not None:
         # NULL where the customer has no included account on the row's date
-        j = j.withColumn("product_count", F.try_element_at("_daily_counts", F.col("business_date"))) \
-             .drop("_daily_counts")
+        n = counts.withColumnRenamed("customer_id", "_n_id")
+        j = j.join(n.hint("shuffle_hash"), (key == F.col("_n_id")) & F.col("customer_id").isNotNull(), "left") \
+             .withColumn("product_count", F.try_element_at("_daily_counts", F.col("business_date"))) \
+             .drop("_n_id", "_daily_counts")
     return (j.withColumn("in_master", F.coalesce(F.col("_cm_found"), F.lit(False)))
-             .drop("_ckey", "_cm_id", "_cm_found"))
+             .drop("_cm_id", "_cm_found"))
 
 
 def enrichment_errors(enriched: DataFrame, as_of, execution_id: str | None = None) -> DataFrame:
@@ -215,15 +215,13 @@ def stage_accounts(staged: DataFrame, fx: DataFrame, products: DataFrame, master
 def inclusion_flag() -> Column:
     """Exclude CLOSED, zero balance, unknown product, missing rate, NULL customer.
 
-    A NULL balance is *kept*: ``NULL = 0`` is not true."""
-    excluded = (
-        (F.col("account_status") == "CLOSED")
-        | (F.col("base_currency_balance") == 0)
-        | F.col("product_description").isNull()
-        | F.col("rate_missing")
-        | F.col("customer_id").isNull()
-    )
-    return ~F.coalesce(excluded, F.lit(False))
+    A NULL balance is *kept*: ``NULL = 0`` is not true.  Written as a
+    conjunction, it tells the optimizer that included rows have a product and a
+    customer: rules on their absence, and columns read by them alone, leave the plan."""
+    closed, zero = F.col("account_status") == "CLOSED", F.col("base_currency_balance") == 0
+    return (F.col("product_description").isNotNull() & F.col("customer_id").isNotNull()
+            & ~F.coalesce(closed, F.lit(False)) & ~F.coalesce(zero, F.lit(False))
+            & ~F.coalesce(F.col("rate_missing"), F.lit(False)))
 
 
 def critical_customers(customer_exceptions: DataFrame) -> DataFrame:
@@ -236,7 +234,8 @@ def critical_customers(customer_exceptions: DataFrame) -> DataFrame:
 
 def include_accounts(enriched: DataFrame, critical: DataFrame | None = None) -> DataFrame:
     """Inclusion rules then drop customers with open critical exceptions."""
-    kept = enriched.filter(inclusion_flag())
+    # no included row lacks its rate: as a constant the flag needs no place in shuffled rows
+    kept = enriched.filter(inclusion_flag()).withColumn("rate_missing", F.lit(False))
     if critical is not None:
         kept = kept.join(critical.select("customer_id"), "customer_id", "left_anti")
     return kept
@@ -274,11 +273,13 @@ def add_portfolio_metrics(included: DataFrame, bands: Sequence[specs.BandSpec] =
 def one_row_per_account(portfolio: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the largest balance, ties by the remaining columns in
     order.  Accounts that occur more than once are reported by DQ006; a keyed
-    table can hold one of their rows only."""
+    table can hold one of their rows only.  Rows are shuffled by the hash that
+    a null-safe ``upsert`` joins by, which then moves none of them again."""
     rest = [c for c in PORTFOLIO_COLUMNS if c not in (*keys, "account_balance")]
-    w = Window.partitionBy(*keys).orderBy(F.col("account_balance").desc_nulls_last(),
-                                          *(F.col(c).asc_nulls_last() for c in rest))
-    return portfolio.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    w = Window.partitionBy(*by_hash(keys)).orderBy(F.col("account_balance").desc_nulls_last(),
+                                                   *(F.col(c).asc_nulls_last() for c in rest))
+    return portfolio.repartition(F.xxhash64(*keys)).withColumn("_rn", F.row_number().over(w)) \
+        .filter(F.col("_rn") == 1).drop("_rn")
 
 
 def to_portfolio(df: DataFrame) -> DataFrame:

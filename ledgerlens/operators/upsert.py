@@ -20,12 +20,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import changed
 
 ACTION = "_action"
+HASH = "_key_hash"
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -35,23 +38,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Return target columns + ``_action`` for every key of either side.
 
     A source key that occurs twice would match a target row twice, which MERGE
-    refuses.  With ``unique_source`` the plan itself refuses it: source rows
-    are grouped by key and a key with two rows raises when the frame runs
-    (no separate pass over the source).
+    refuses.  With ``unique_source`` the plan itself refuses it: a second source
+    row of a key raises when the frame runs (no separate pass over the source).
+
+    Null-safe keys are joined by a 64-bit hash of them, and rows with equal
+    hashes are then compared key by key: sides that are already shuffled by that
+    hash are not shuffled again, and the sort is one of numbers.
 
     ``change_columns`` maps column -> default used in ``COALESCE(t.c, d) <>
     COALESCE(s.c, d)`` (P9/D21); ``update_columns`` are copied from the source
     on UPDATE, every other column keeps the target value (so e.g.
     ``created_date`` survives updates).  INSERT takes every column the source
     has."""
-    t = target.select(*[F.col(c) for c in target.columns], F.lit(True).alias("_t_present")).alias("t")
-    if unique_source:
-        source = _one_row_per_key(source, keys)
-    s = source.select(*[F.col(c) for c in source.columns], F.lit(True).alias("_s_present")).alias("s")
-    cond = None
-    for k in keys:
-        c = F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe_keys else F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = c if cond is None else cond & c
+    hashed = F.xxhash64(*keys).alias(HASH)
+    t = target.select(*[F.col(c) for c in target.columns], F.lit(True).alias("_t_present"), hashed).alias("t")
+    s = source.select(*[F.col(c) for c in source.columns], F.lit(True).alias("_s_present"), hashed)
+    s = (_one_row_per_key(s, keys) if unique_source else s).alias("s")
+    if null_safe_keys:
+        # a count of equal keys, which no plan takes apart into further join keys
+        alike = reduce(lambda x, y: x + y, (F.when(F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")), 1).otherwise(0)
+                                            for k in keys))
+        cond = (F.col(f"t.{HASH}") == F.col(f"s.{HASH}")) & (alike == len(keys))
+    else:
+        # the last key first: dates, which most rows share, are no help to a sort
+        cond = reduce(lambda x, y: x & y, (F.col(f"t.{k}") == F.col(f"s.{k}") for k in reversed(keys)))
     j = t.join(s, cond, "full_outer")
     in_t = F.col("t._t_present").isNotNull()
     in_s = F.col("s._s_present").isNotNull()
@@ -76,16 +86,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source; running it raises where a key has more than one row."""
-    rest = [c for c in source.columns if c not in keys]
-    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                        *(F.any_value(c).alias(c) for c in rest))
+    """The source with the hash of its keys; running it raises where a key has more than one row."""
+    w = Window.partitionBy(HASH, *keys).orderBy(HASH)
+    numbered = source.repartition(HASH).withColumn("_n", F.lag(F.lit(2), 1, 1).over(w))
     refused = F.raise_error(F.concat(
         F.lit(f"upsert source: duplicate key {list(keys)}: "),
         F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys)))).cast("boolean")
     # a condition on the rows, not a column: no plan can leave it out, and the
-    # grouping by key still serves the join
-    alone = grouped.where(F.when(F.col("_n") > 1, refused).otherwise(F.lit(True)))
+    # shuffle and the sort by the hash still serve the join
+    alone = numbered.where(F.when(F.col("_n") > 1, refused).otherwise(F.lit(True)))
     return alone.select(*source.columns)
 
 
