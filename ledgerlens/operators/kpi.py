@@ -122,15 +122,22 @@ def source_quality(portfolio: DataFrame, exceptions: DataFrame) -> DataFrame:
 
 def source_quality_fanout(portfolio: DataFrame, exceptions: DataFrame) -> DataFrame:
     """K4, parity form: accounts counted *after* joining exceptions on
-    (date, account), as the stored procedure does (D16)."""
+    (date, account), as the stored procedure does (D16).
+
+    The exceptions are counted per account before the join, so an account row
+    meets one row: it stands for as many joined rows as its account has
+    exceptions, one if it has none.  Account rows are not sorted (hash join)."""
     p = portfolio.select(D, "source_system_code", "source_account_number").alias("p")
-    e = exceptions.select(D, "source_account_number", "severity_code", "exception_hash").alias("e")
+    e = exceptions.groupBy(D, "source_account_number").agg(
+        F.count(F.lit(1)).alias("n"), F.count("exception_hash").alias("hashes"),
+        F.count_if(F.col("severity_code") == "CRITICAL").alias("critical")).alias("e").hint("shuffle_hash")
     j = p.join(e, (F.col(f"p.{D}") == F.col(f"e.{D}"))
                & (F.col("p.source_account_number") == F.col("e.source_account_number")), "left")
+    zero = F.lit(0).cast("long")
     g = j.groupBy(F.col(f"p.{D}").alias(D), F.col("p.source_system_code").alias("source_system_code")).agg(
-        F.count(F.lit(1)).alias("total_accounts"),
-        F.count(F.col("e.exception_hash")).alias("total_exceptions"),
-        F.count_if(F.col("e.severity_code") == "CRITICAL").alias("critical_exceptions"))
+        F.sum(F.coalesce(F.col("e.n"), F.lit(1).cast("long"))).alias("total_accounts"),
+        F.sum(F.coalesce(F.col("e.hashes"), zero)).alias("total_exceptions"),
+        F.sum(F.coalesce(F.col("e.critical"), zero)).alias("critical_exceptions"))
     return g.withColumn("exception_rate", percent("total_exceptions", "total_accounts"))
 
 
