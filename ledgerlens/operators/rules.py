@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import specs
-from ..functions.expressions import add_hours, content_hash, fire, lookup_expr, timestamp_value
+from ..functions.expressions import add_hours, by_hash, content_hash, fire, lookup_expr, timestamp_value
 from .portfolio import salted_key
 
 STAGING_COLUMNS = (
@@ -46,20 +46,17 @@ def flag_in_master(df: DataFrame, master: DataFrame) -> DataFrame:
 def flag_duplicates(df: DataFrame) -> DataFrame:
     """``is_duplicate``: the account number occurs more than once on its date.
 
-    The duplicated keys come from a partial/final aggregate, so an account
-    number shared by a huge share of rows is combined map-side (a window
-    would put that whole group in one task).  The join back is left to AQE,
-    which measures the key set at run time: broadcast if small, otherwise a
-    shuffle join whose skewed partitions it splits.  ``df`` is read twice, so
-    a run passes stored rows or rows derived from stored ones."""
-    dups = (df.groupBy("business_date", "source_account_number")
-              .agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") > 1)
-              .select(F.col("business_date").alias("_d_date"),
-                      F.col("source_account_number").alias("_d_acct")))
-    j = df.join(dups, (F.col("business_date") == F.col("_d_date"))
-                & (F.col("source_account_number") == F.col("_d_acct")), "left")
-    return j.withColumn("is_duplicate", F.col("_d_acct").isNotNull()).drop("_d_date", "_d_acct")
+    Each row looks one row back and one ahead among those of its account, so
+    ``df`` is read, enriched and shuffled once; a group of equal accounts is
+    passed through with a buffer that spills, and joins nothing.  Rows without
+    an account or a date are never duplicates; another column spreads them."""
+    known = F.col("business_date").isNotNull() & F.col("source_account_number").isNotNull()
+    keyed = df.withColumn("_spread", F.when(~known, F.xxhash64(*(c for c in KEYS if c in df.columns))))
+    keys = ["business_date", "source_account_number", "_spread"]
+    w = Window.partitionBy(*by_hash(keys)).orderBy("_spread")
+    near = F.lag(F.lit(True)).over(w).isNotNull() | F.lead(F.lit(True)).over(w).isNotNull()
+    # shuffled by the hash as an expression, so that it is not written beside the keys
+    return keyed.repartition(F.xxhash64(*keys)).withColumn("is_duplicate", near & known).drop("_spread")
 
 
 def _hit(cond: Column, code: str, value: Column) -> tuple[Column, Column]:
@@ -130,7 +127,7 @@ def dedupe_exceptions(exceptions: DataFrame) -> DataFrame:
     and account so the survivor is deterministic (D14).  DQ001 therefore
     collapses to one row per customer.  ``row_number() = 1`` plans a partial
     WindowGroupLimit below the shuffle, so large groups shrink map-side."""
-    w = Window.partitionBy("business_date", "customer_id", "rule_code", "exception_value").orderBy(
+    w = Window.partitionBy(*by_hash(("business_date", "customer_id", "rule_code", "exception_value"))).orderBy(
         F.col("logged_date").desc(), F.col("source_system_code").asc_nulls_last(),
         F.col("source_account_number").asc_nulls_last())
     return exceptions.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
