@@ -74,15 +74,16 @@ def one_sided(baseline: DataFrame, current: DataFrame, keys: Sequence[str], colu
     sides = [leaf_digests(side, keys, keys, leaves) for side in (baseline, current)]
     open_leaves = F.broadcast(differing_leaves(*sides))  # at most ``leaves`` numbers
 
-    def part(side: DataFrame) -> DataFrame:
-        return side.select(*dict.fromkeys([*keys, *shown]), leaf_of(keys, leaves).alias("leaf")).join(
-            open_leaves, "leaf", "left_semi")
-
-    b, c = part(baseline), part(current)
-    alike = reduce(lambda x, y: x & y, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys))
-
-    def only(left: DataFrame, right: DataFrame, status: str) -> DataFrame:
-        return left.alias("l").join(right.alias("r"), (F.col("l.leaf") == F.col("r.leaf")) & alike, "left_anti") \
-            .select(*shown, F.lit(status).alias("row_status"))
-
-    return only(b, c, "MISSING").unionByName(only(c, b, "EXTRA"))
+    def part(side: DataFrame, name: str) -> DataFrame:
+        return side.select(*dict.fromkeys([*keys, *shown]), leaf_of(keys, leaves).alias("leaf"),
+                           F.xxhash64(*keys).alias("hash"), F.lit(True).alias("held")).join(
+            open_leaves, "leaf", "left_semi").alias(name)
+
+    # both directions in one join; equal hashes are then compared key by key
+    alike = reduce(lambda x, y: x + y, (F.when(F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")), 1).otherwise(0) for k in keys))
+    joined = part(baseline, "l").join(part(current, "r"), (F.col("l.hash") == F.col("r.hash")) & (alike == len(keys)),
+                                      "full_outer")
+    missing = F.col("r.held").isNull()
+    return joined.where(missing | F.col("l.held").isNull()).select(
+        *(F.when(missing, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")).alias(c) for c in shown),
+        F.when(missing, F.lit("MISSING")).otherwise(F.lit("EXTRA")).alias("row_status"))
