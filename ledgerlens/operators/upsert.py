@@ -50,10 +50,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     on UPDATE, every other column keeps the target value (so e.g.
     ``created_date`` survives updates).  INSERT takes every column the source
     has."""
-    hashed = F.xxhash64(*keys).alias(HASH)
-    t = target.select(*[F.col(c) for c in target.columns], F.lit(True).alias("_t_present"), hashed).alias("t")
-    s = source.select(*[F.col(c) for c in source.columns], F.lit(True).alias("_s_present"), hashed)
-    s = (_one_row_per_key(s, keys) if unique_source else s).alias("s")
+    hashed = [F.xxhash64(*keys).alias(HASH)] if null_safe_keys else []
+    t = target.select(*[F.col(c) for c in target.columns], F.lit(True).alias("_t_present"), *hashed).alias("t")
+    s = source.select(*[F.col(c) for c in source.columns], F.lit(True).alias("_s_present"), *hashed)
+    if unique_source:
+        s = _alone(_hashed_rows(s, keys) if null_safe_keys else _grouped_rows(s, keys), s.columns, keys)
+    s = s.alias("s")
     if null_safe_keys:
         # a count of equal keys, which no plan takes apart into further join keys
         alike = reduce(lambda x, y: x + y, (F.when(F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")), 1).otherwise(0)
@@ -85,17 +87,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return j.select(*[out(c) for c in target.columns], F.col(ACTION))
 
 
-def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source with the hash of its keys; running it raises where a key has more than one row."""
+def _hashed_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source shuffled and sorted by the hash of its keys; ``_n`` is above 1 on a key's later rows."""
     w = Window.partitionBy(HASH, *keys).orderBy(HASH)
-    numbered = source.repartition(HASH).withColumn("_n", F.lag(F.lit(2), 1, 1).over(w))
+    return source.repartition(HASH).withColumn("_n", F.lag(F.lit(2), 1, 1).over(w))
+
+
+def _grouped_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A row of the source per key, grouped where it lies if it is partitioned by key; ``_n`` counts its rows."""
+    rest = [c for c in source.columns if c not in keys]
+    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *(F.any_value(c).alias(c) for c in rest))
+
+
+def _alone(counted: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """``columns`` of the rows; running it raises where a key has more than one."""
     refused = F.raise_error(F.concat(
         F.lit(f"upsert source: duplicate key {list(keys)}: "),
         F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys)))).cast("boolean")
     # a condition on the rows, not a column: no plan can leave it out, and the
-    # shuffle and the sort by the hash still serve the join
-    alone = numbered.where(F.when(F.col("_n") > 1, refused).otherwise(F.lit(True)))
-    return alone.select(*source.columns)
+    # order of the rows still serves the join
+    return counted.where(F.when(F.col("_n") > 1, refused).otherwise(F.lit(True))).select(*columns)
 
 
 def merged(result: DataFrame) -> DataFrame:
