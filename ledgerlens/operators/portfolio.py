@@ -152,7 +152,8 @@ def account_counts(df: DataFrame) -> DataFrame:
         F.struct("business_date", "_n"))).alias("_daily_counts"))
 
 
-def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None = None,
+                    repeated: str | None = None) -> DataFrame:
     """Name, category and branch from the master (one row per customer),
     plus ``product_count`` when per-customer ``counts`` are given.
 
@@ -161,7 +162,9 @@ def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None =
     the account rows, many per customer, are neither sorted nor held.  Counts
     that no later column reads are left out of the plan with their join (one
     row per customer on that side).  ``customer_name`` follows ``concat``
-    semantics: NULL when either part is NULL (D6)."""
+    semantics: NULL when either part is NULL (D6).  ``repeated`` names a column
+    to add: whether the master has the row's customer more than once, so that
+    the join repeats the row."""
     m = master.select(
         F.col("customer_id").alias("_cm_id"),
         F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("customer_name"),
@@ -169,6 +172,9 @@ def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None =
         F.col("branch_code").alias("branch_code"),
         F.lit(True).alias("_cm_found"),
     )
+    if repeated is not None:
+        # by hash: the join still shuffles the customers itself, and may then split a skewed one
+        m = m.withColumn(repeated, F.count(F.lit(1)).over(Window.partitionBy(*by_hash(["_cm_id"]))) > 1)
     key = salted_key("customer_id", "source_account_number")  # no column: it is not shuffled beside the id
     j = df.join(m.hint("shuffle_hash"), (key == F.col("_cm_id")) & F.col("customer_id").isNotNull(), "left")
     if counts is not None:
@@ -177,6 +183,8 @@ def enrich_customer(df: DataFrame, master: DataFrame, counts: DataFrame | None =
         j = j.join(n.hint("shuffle_hash"), (key == F.col("_n_id")) & F.col("customer_id").isNotNull(), "left") \
              .withColumn("product_count", F.try_element_at("_daily_counts", F.col("business_date"))) \
              .drop("_n_id", "_daily_counts")
+    if repeated is not None:
+        j = j.withColumn(repeated, F.coalesce(F.col(repeated), F.lit(False)))
     return (j.withColumn("in_master", F.coalesce(F.col("_cm_found"), F.lit(False)))
              .drop("_cm_id", "_cm_found"))
 
@@ -241,6 +249,14 @@ def include_accounts(enriched: DataFrame, critical: DataFrame | None = None) ->
     return kept
 
 
+def flag_included(accounts: DataFrame, critical: DataFrame, flag: str) -> DataFrame:
+    """Every account, with ``flag``: whether ``include_accounts`` keeps it."""
+    c = critical.select(F.col("customer_id").alias("_critical"))
+    j = accounts.join(c, (salted_key("customer_id", "source_account_number") == F.col("_critical"))
+                      & F.col("customer_id").isNotNull(), "left")
+    return j.withColumn(flag, inclusion_flag() & F.col("_critical").isNull()).drop("_critical")
+
+
 def add_portfolio_metrics(included: DataFrame, bands: Sequence[specs.BandSpec] = specs.VALUE_BANDS,
                           high_value_minimum: Decimal = specs.HIGH_VALUE_MINIMUM,
                           ladders: Ladders | None = None) -> DataFrame:

@@ -18,8 +18,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import specs
-from ..functions.expressions import add_hours, by_hash, content_hash, fire, lookup_expr, timestamp_value
-from .portfolio import salted_key
+from ..functions.expressions import (add_hours, by_hash, content_hash, content_text, fire, lookup_expr,
+                                     timestamp_value)
+from .portfolio import enrich_customer, salted_key
+
+#: Of exceptions laid by content: 64 bits of the text that ``exception_hash`` is the digest of.
+CONTENT = "_content"
+#: Of hits found for two frames at once: 1 for all rows, 2 more for the chosen ones.
+SCOPES = "_scopes"
 
 STAGING_COLUMNS = (
     "business_date", "source_system_code", "source_account_number", "customer_id", "rule_code",
@@ -43,8 +49,10 @@ def flag_in_master(df: DataFrame, master: DataFrame) -> DataFrame:
     return j.withColumn("in_master", F.col("_m_id").isNotNull()).drop("_ckey", "_m_id")
 
 
-def flag_duplicates(df: DataFrame) -> DataFrame:
+def flag_duplicates(df: DataFrame, chosen: str | None = None) -> DataFrame:
     """``is_duplicate``: the account number occurs more than once on its date.
+    With ``chosen``, a boolean column, also ``is_chosen_duplicate``: the same
+    among the rows where it is true.
 
     Each row looks one row back and one ahead among those of its account, so
     ``df`` is read, enriched and shuffled once; a group of equal accounts is
@@ -53,17 +61,52 @@ def flag_duplicates(df: DataFrame) -> DataFrame:
     known = F.col("business_date").isNotNull() & F.col("source_account_number").isNotNull()
     keyed = df.withColumn("_spread", F.when(~known, F.xxhash64(*(c for c in KEYS if c in df.columns))))
     keys = ["business_date", "source_account_number", "_spread"]
-    w = Window.partitionBy(*by_hash(keys)).orderBy("_spread")
+    w = Window.partitionBy(*by_hash(keys)).orderBy("_spread" if chosen is None else F.col(chosen).desc())
     near = F.lag(F.lit(True)).over(w).isNotNull() | F.lead(F.lit(True)).over(w).isNotNull()
+    flags = {"is_duplicate": near & known}
+    if chosen is not None:
+        # the chosen rows of an account come first
+        beside = F.lag(chosen, 1, False).over(w) | F.lead(chosen, 1, False).over(w)
+        flags["is_chosen_duplicate"] = F.col(chosen) & beside & known
     # shuffled by the hash as an expression, so that it is not written beside the keys
-    return keyed.repartition(F.xxhash64(*keys)).withColumn("is_duplicate", near & known).drop("_spread")
+    return keyed.repartition(F.xxhash64(*keys)).withColumns(flags).drop("_spread")
+
+
+def narrowed(accounts: DataFrame, *more: str) -> DataFrame:
+    """What the rules read of the accounts, and ``more`` columns.  A value that no
+    rule of its row reports is left out: what most rows have is nothing to shuffle."""
+    known, missing = F.col("product_description").isNotNull(), F.col("rate_missing")
+    balance, closed = F.col("base_currency_balance"), F.col("account_status") == "CLOSED"
+    return accounts.select(*KEYS, *more, "rate_missing", F.when(known, F.lit("")).alias("product_description"),
+                           F.when(~known, F.col("product_code")).alias("product_code"),
+                           F.when(missing, F.col("currency_code")).alias("currency_code"),
+                           F.when(balance < 0, balance).alias("base_currency_balance"),
+                           F.when(closed, F.col("account_status")).alias("account_status"))
 
 
-def _hit(cond: Column, code: str, value: Column) -> tuple[Column, Column]:
+def flag_accounts(accounts: DataFrame, master: DataFrame, chosen: str | None = None) -> DataFrame:
+    """Accounts as the rules read them (see ``narrowed``): with ``in_master``, the
+    master's columns and the flags of ``flag_duplicates``.
+
+    The duplicates are found before the customers are joined: neither shuffle
+    of the accounts depends on the master, so runs that differ in it share both.
+    A customer that the master holds twice makes two rows of each account, which
+    then are duplicates as well."""
+    known = F.col("business_date").isNotNull() & F.col("source_account_number").isNotNull()
+    rows = narrowed(accounts, *(() if chosen is None else (chosen,)))
+    df = enrich_customer(flag_duplicates(rows, chosen), master, repeated="_repeated")
+    flags = {"is_duplicate": F.col("is_duplicate") | (known & F.col("_repeated"))}
+    if chosen is not None:
+        flags["is_chosen_duplicate"] = F.col("is_chosen_duplicate") | (known & F.col("_repeated") & F.col(chosen))
+    return df.withColumns(flags).drop("_repeated").withColumn("eligible_for_reporting", F.lit("Y"))
+
+
+def _hit(cond: Column, code: str, value: Column, *more: Column) -> tuple[Column, Column]:
     return cond, F.struct(
         F.lit(code).alias("rule_code"),
         F.lit(specs.RULE_DESCRIPTIONS[code]).alias("exception_description"),
         value.cast("string").alias("exception_value"),
+        *more,
     )
 
 
@@ -72,13 +115,16 @@ KEYS = ("business_date", "source_system_code", "source_account_number", "custome
 
 def rule_hits(frame: DataFrame, master: DataFrame | None = None,
               base_currency: str = specs.BASE_CURRENCY,
-              codes: Sequence[str] | None = None, carry: Sequence[str] = ()) -> DataFrame:
+              codes: Sequence[str] | None = None, carry: Sequence[str] = (),
+              chosen: str | None = None) -> DataFrame:
     """Q1-Q6 in one pass: one row per (account row, fired rule).
 
     Works on the final portfolio or on unfiltered staged rows (D12): DQ003
     uses ``rate_missing`` when the frame has it, else ``exchange_rate IS NULL``.
     Only the rules in ``codes`` (default: all) are evaluated, with only the
-    flags they need; ``carry`` names frame columns to keep on each hit.
+    flags they need; ``carry`` names frame columns to keep on each hit.  With
+    ``chosen``, a boolean column of rows from ``flag_accounts``, every hit tells
+    in ``SCOPES`` whether the rules find it among the chosen rows alone, too.
     """
     wanted = [r.code for r in specs.RULES] if codes is None else list(codes)
     df = frame
@@ -86,7 +132,7 @@ def rule_hits(frame: DataFrame, master: DataFrame | None = None,
         if master is None:
             raise ValueError("frame has no in_master flag; pass the customer master")
         df = flag_in_master(df, master)
-    if "DQ006" in wanted:
+    if "DQ006" in wanted and "is_duplicate" not in df.columns:
         df = flag_duplicates(df)
     if "rate_missing" in df.columns:
         rate_missing = F.col("rate_missing")
@@ -104,10 +150,25 @@ def rule_hits(frame: DataFrame, master: DataFrame | None = None,
     hits = []
     for code in wanted:
         cond, value = tests[code]()
-        hits.append(_hit(cond, code, value))
+        found = []
+        if chosen is not None:
+            among = F.col("is_chosen_duplicate" if code == "DQ006" else chosen)
+            found.append(F.when(among, F.lit(3)).otherwise(F.lit(1)).cast("tinyint").alias(SCOPES))
+        hits.append(_hit(cond, code, value, *found))
     keep = (*KEYS, *carry)
     return fire(df, keep, hits, "h").select(*keep, "h.rule_code", "h.exception_description",
-                                            "h.exception_value")
+                                            "h.exception_value", *(() if chosen is None else (f"h.{SCOPES}",)))
+
+
+def laid_by_content(hits: DataFrame) -> DataFrame:
+    """The hits shuffled by the text of their ``exception_hash``, of which ``CONTENT``
+    is 64 bits, and without their descriptions.  Rows to compare in Q7 and rows with
+    equal hashes then lie together, so that neither Q7 nor a join by the hash
+    shuffles them again, and the hash is never written.  Hits that Q7 finds alike
+    meet whole in one task; Q7 by itself would leave one a task before its shuffle."""
+    key = F.xxhash64(content_text(F.col("business_date").cast("string"), "customer_id", "rule_code", "exception_value"))
+    # by an expression, which is not written beside its parts
+    return hits.drop("exception_description").repartition(key).withColumn(CONTENT, key)
 
 
 def attach_rule_config(hits: DataFrame, rules: DataFrame, owners: DataFrame, as_of,
@@ -122,15 +183,20 @@ def attach_rule_config(hits: DataFrame, rules: DataFrame, owners: DataFrame, as_
                 .select(*STAGING_COLUMNS, *carry))
 
 
-def dedupe_exceptions(exceptions: DataFrame) -> DataFrame:
+def dedupe_exceptions(exceptions: DataFrame, within: Column | None = None) -> DataFrame:
     """Q7: newest row per (date, customer, rule, value); ties broken by source
     and account so the survivor is deterministic (D14).  DQ001 therefore
     collapses to one row per customer.  ``row_number() = 1`` plans a partial
-    WindowGroupLimit below the shuffle, so large groups shrink map-side."""
-    w = Window.partitionBy(*by_hash(("business_date", "customer_id", "rule_code", "exception_value"))).orderBy(
+    WindowGroupLimit below the shuffle, so large groups shrink map-side.  Rows
+    laid by content are not shuffled.  Only rows ``within`` count."""
+    keys = ("business_date", "customer_id", "rule_code", "exception_value")
+    first = F.col("_rn") == 1
+    w = Window.partitionBy(*((CONTENT, *keys) if CONTENT in exceptions.columns else by_hash(keys))).orderBy(
+        *(() if within is None else (within.desc(),)),
         F.col("logged_date").desc(), F.col("source_system_code").asc_nulls_last(),
         F.col("source_account_number").asc_nulls_last())
-    return exceptions.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return exceptions.withColumn("_rn", F.row_number().over(w)) \
+        .filter(first if within is None else first & within).drop("_rn")
 
 
 def enrich_exceptions(exceptions: DataFrame, severities: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -154,6 +220,28 @@ def run_rules(frame: DataFrame, rules: DataFrame, owners: DataFrame, severities:
     return enrich_exceptions(dedupe_exceptions(staged), severities, carry)
 
 
+def run_rules_by_content(frame: DataFrame, rules: DataFrame, owners: DataFrame, severities: DataFrame,
+                         as_of, chosen: str | None = None) -> tuple[DataFrame, ...]:
+    """``run_rules`` for joins by ``exception_hash``: the exceptions with ``CONTENT``,
+    by which they lie.  With ``chosen`` two frames, the exceptions of all rows and
+    those of the chosen rows alone, from one pass over ``frame`` and one shuffle
+    of its hits.  What follows from the rule joins the rows after Q7, which sorts
+    them without it; a rule or area configured twice still makes one exception."""
+    hits = laid_by_content(rule_hits(frame, chosen=chosen)).withColumn("logged_date", timestamp_value(as_of))
+    r = rules.filter(F.col("rule_enabled")).dropDuplicates(["rule_code"])
+    o = owners.dropDuplicates(["business_area"])
+    described = lookup_expr("rule_code", specs.RULE_DESCRIPTIONS.items(), None)
+
+    def part(within: Column | None) -> DataFrame:
+        kept = dedupe_exceptions(hits, within).withColumn("exception_description", described)
+        return enrich_exceptions(attach_rule_config(kept, r, o, as_of, (CONTENT,)), severities, (CONTENT,))
+
+    if chosen is None:
+        return (part(None),)
+    # a test that both frames make after the shuffle, so that it is one shuffle for both
+    return tuple(part(F.col(SCOPES).bitwiseAND(F.lit(bit)) != 0) for bit in (1, 2))
+
+
 def exception_counts(staged: DataFrame) -> DataFrame:
     """Q7 metric (A17): rows found, rows kept and duplicates removed.
 

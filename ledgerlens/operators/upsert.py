@@ -34,7 +34,7 @@ HASH = "_key_hash"
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            change_columns: Mapping[str, object], update_columns: Sequence[str],
            delete_unmatched: bool = False, null_safe_keys: bool = False,
-           null_safe_change: bool = False, unique_source: bool = False) -> DataFrame:
+           null_safe_change: bool = False, unique_source: bool = False, beside: str | None = None) -> DataFrame:
     """Return target columns + ``_action`` for every key of either side.
 
     A source key that occurs twice would match a target row twice, which MERGE
@@ -43,7 +43,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     Null-safe keys are joined by a 64-bit hash of them, and rows with equal
     hashes are then compared key by key: sides that are already shuffled by that
-    hash are not shuffled again, and the sort is one of numbers.
+    hash are not shuffled again, and the sort is one of numbers.  Other keys may
+    be joined the same way ``beside`` a column of both sides that is equal where
+    the keys are equal; it is not part of the result.
 
     ``change_columns`` maps column -> default used in ``COALESCE(t.c, d) <>
     COALESCE(s.c, d)`` (P9/D21); ``update_columns`` are copied from the source
@@ -56,11 +58,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if unique_source:
         s = _alone(_hashed_rows(s, keys) if null_safe_keys else _grouped_rows(s, keys), s.columns, keys)
     s = s.alias("s")
-    if null_safe_keys:
+    if null_safe_keys or beside is not None:
         # a count of equal keys, which no plan takes apart into further join keys
-        alike = reduce(lambda x, y: x + y, (F.when(F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")), 1).otherwise(0)
+        same = Column.eqNullSafe if null_safe_keys else Column.__eq__
+        alike = reduce(lambda x, y: x + y, (F.when(same(F.col(f"t.{k}"), F.col(f"s.{k}")), 1).otherwise(0)
                                             for k in keys))
-        cond = (F.col(f"t.{HASH}") == F.col(f"s.{HASH}")) & (alike == len(keys))
+        near = beside or HASH
+        cond = (F.col(f"t.{near}") == F.col(f"s.{near}")) & (alike == len(keys))
     else:
         # the last key first: dates, which most rows share, are no help to a sort
         cond = reduce(lambda x, y: x & y, (F.col(f"t.{k}") == F.col(f"s.{k}") for k in reversed(keys)))
@@ -84,7 +88,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
             return F.when(a.isin("INSERT", "UPDATE"), sc).otherwise(tc).alias(c)
         return F.when(a == "INSERT", sc).otherwise(tc).alias(c)
 
-    return j.select(*[out(c) for c in target.columns], F.col(ACTION))
+    return j.select(*[out(c) for c in target.columns if c != beside], F.col(ACTION))
 
 
 def _hashed_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:

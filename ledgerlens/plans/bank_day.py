@@ -61,6 +61,8 @@ class BankDay:
         self.thresholds = list(thresholds)
         #: dated configuration, which goes before ``bands`` and ``thresholds``
         self.ladders = ladders
+        #: frames that ``materialize`` has stored
+        self.kept: set[str] = set()
 
     # --- construction from the driver's test tables --------------------------
     @classmethod
@@ -190,6 +192,21 @@ class BankDay:
                                           self.execution_id)
 
     # --- exceptions ----------------------------------------------------
+    @cached_property
+    def ruled_rows(self) -> DataFrame:
+        """The accounts of the portfolio as the rules read them.  Unless portfolio rows are
+        stored, their duplicates are found before the master is joined: twins share the shuffles."""
+        if "portfolio_rows" in self.kept:
+            return self.portfolio_rows
+        return rules.flag_accounts(portfolio.include_accounts(self.priced, self.critical_customers), self.customer_master)
+
+    @cached_property
+    def keyed_pair(self) -> tuple[DataFrame, DataFrame]:
+        """``staged_exceptions`` and ``exceptions`` laid by ``rules.CONTENT``, from one pass over the accounts."""
+        accounts = portfolio.flag_included(self.priced, self.critical_customers, "in_portfolio")
+        return rules.run_rules_by_content(rules.flag_accounts(accounts, self.customer_master, "in_portfolio"),
+                                          self.rules_config, self.owners, self.severities, self.as_of, "in_portfolio")
+
     @cached_property
     def exceptions(self) -> DataFrame:
         # the in_master flag of the enrichment join is reused: no second master join
@@ -198,7 +215,7 @@ class BankDay:
     @cached_property
     def branch_exceptions(self) -> DataFrame:
         """The exceptions with the branch of their account."""
-        return rules.run_rules(self.portfolio_rows, self.rules_config, self.owners, self.severities,
+        return rules.run_rules(self.ruled_rows, self.rules_config, self.owners, self.severities,
                                self.as_of, carry=("branch_code",))
 
     @cached_property
@@ -214,7 +231,8 @@ class BankDay:
 
     #: Frames in the order in which they build on each other.
     DERIVED = ("customer_master", "priced", "enriched", "critical_customers", "portfolio_rows", "portfolio",
-               "portfolio_errors", "branch_exceptions", "exceptions", "staged_exceptions", "scorecard")
+               "portfolio_errors", "ruled_rows", "keyed_pair", "branch_exceptions", "exceptions",
+               "staged_exceptions", "scorecard")
     #: Frames that several outputs read.
     shared = ("customer_master", "priced", "enriched", "portfolio_rows", "branch_exceptions")
 
@@ -226,4 +244,5 @@ class BankDay:
             for dep in self.DERIVED[self.DERIVED.index(n):]:
                 self.__dict__.pop(dep, None)
             self.__dict__[n] = df
+            self.kept.add(n)
         return self

@@ -331,10 +331,10 @@ def _(spark, sf):
 
 @register("upsert_exceptions")
 def _(spark, sf):
-    d = day(spark, sf)
-    return upsert.upsert(d.staged_exceptions, d.exceptions, ["business_date", "exception_hash"],
+    staged, run = day(spark, sf).keyed_pair
+    return upsert.upsert(staged, run, ["business_date", "exception_hash"],
                          EXC_CHANGE, [c for c in rules.EXCEPTION_COLUMNS
-                                      if c not in ("business_date", "exception_hash")])
+                                      if c not in ("business_date", "exception_hash")], beside=rules.CONTENT)
 
 
 EXC_CHANGE = {"severity_code": "", "exception_description": "", "source_account_number": ""}

@@ -36,10 +36,17 @@ class CommitConflict(RuntimeError):
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame as Parquet in the shared checkpoint folder: later reads prune
-    columns, push filters and know its size, and no executor is needed for it."""
+    columns, push filters and know its size, and no executor is needed for it.
+    Nothing reads the shuffles of the write again: they are removed with it."""
     spark = frame.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    removed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(removed, "false")
+    spark.conf.set(removed, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(removed, kept)
     return spark.read.schema(frame.schema).parquet(path)
 
 
