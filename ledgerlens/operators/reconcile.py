@@ -91,11 +91,20 @@ DETAIL = ("source_account_number", "customer_id", "rule_code", "severity_code")
 
 
 def compare_hashes(baseline: DataFrame, current: DataFrame, hash_col: str = "exception_hash",
-                   detail: Sequence[str] = DETAIL) -> DataFrame:
-    """Every hash with its side (BOTH, BASELINE_ONLY, CURRENT_ONLY) and detail columns."""
+                   detail: Sequence[str] = DETAIL, beside: str | None = None) -> DataFrame:
+    """Every hash with its side (BOTH, BASELINE_ONLY, CURRENT_ONLY) and detail columns.
+
+    ``beside`` names a column of both sides that is equal where the hashes are
+    equal: sides that lie by it are not shuffled, and hashes are compared where
+    it is equal."""
+    near = () if beside is None else (beside,)
+
     def side(df, p):
-        return df.select(F.upper(F.col(hash_col)).alias(hash_col), *detail, F.lit(True).alias("_present")).alias(p)
-    j = side(baseline, "b").join(side(current, "c"), F.col(f"b.{hash_col}") == F.col(f"c.{hash_col}"), "full_outer")
+        return df.select(F.upper(F.col(hash_col)).alias(hash_col), *detail, *near, F.lit(True).alias("_present")).alias(p)
+    cond = F.col(f"b.{hash_col}") == F.col(f"c.{hash_col}")
+    for c in near:  # as a number the comparison of the hashes is no further join key
+        cond = (F.col(f"b.{c}") == F.col(f"c.{c}")) & (F.when(cond, 1).otherwise(0) == 1)
+    j = side(baseline, "b").join(side(current, "c"), cond, "full_outer")
     inb, inc = F.col("b._present").isNotNull(), F.col("c._present").isNotNull()
     status = F.when(inb & inc, F.lit("BOTH")).when(inb, F.lit("BASELINE_ONLY")).otherwise(F.lit("CURRENT_ONLY"))
     return j.select(F.coalesce(F.col(f"b.{hash_col}"), F.col(f"c.{hash_col}")).alias(hash_col),

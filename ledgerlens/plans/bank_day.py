@@ -200,6 +200,11 @@ class BankDay:
             return self.portfolio_rows
         return rules.flag_accounts(portfolio.include_accounts(self.priced, self.critical_customers), self.customer_master)
 
+    @cached_property
+    def keyed_exceptions(self) -> DataFrame:
+        """``exceptions`` for a join by their hash: laid by ``rules.CONTENT``."""
+        return rules.run_rules_by_content(self.ruled_rows, self.rules_config, self.owners, self.severities, self.as_of)[0]
+
     @cached_property
     def keyed_pair(self) -> tuple[DataFrame, DataFrame]:
         """``staged_exceptions`` and ``exceptions`` laid by ``rules.CONTENT``, from one pass over the accounts."""
@@ -231,7 +236,7 @@ class BankDay:
 
     #: Frames in the order in which they build on each other.
     DERIVED = ("customer_master", "priced", "enriched", "critical_customers", "portfolio_rows", "portfolio",
-               "portfolio_errors", "ruled_rows", "keyed_pair", "branch_exceptions", "exceptions",
+               "portfolio_errors", "ruled_rows", "keyed_exceptions", "keyed_pair", "branch_exceptions", "exceptions",
                "staged_exceptions", "scorecard")
     #: Frames that several outputs read.
     shared = ("customer_master", "priced", "enriched", "portfolio_rows", "branch_exceptions")

@@ -519,7 +519,7 @@ def _(spark, sf):
 @register("recon_hash_diff")
 def _(spark, sf):
     b, c = _pair(spark, sf)
-    return reconcile.compare_hashes(b.exceptions, c.exceptions)
+    return reconcile.compare_hashes(b.keyed_exceptions, c.keyed_exceptions, beside=rules.CONTENT)
 
 
 @register("recon_digest_diff")
@@ -532,7 +532,7 @@ def _(spark, sf):
 @register("recon_hash_summary")
 def _(spark, sf):
     b, c = _pair(spark, sf)
-    return reconcile.hash_summary(reconcile.compare_hashes(b.exceptions, c.exceptions))
+    return reconcile.hash_summary(reconcile.compare_hashes(b.keyed_exceptions, c.keyed_exceptions, beside=rules.CONTENT))
 
 
 @register("recon_kpis")

@@ -193,12 +193,24 @@ def test_upsert_of_exceptions_shuffles_both_sides_at_once(spark):
                                           catalog.EXC_CHANGE, rest))
 
 
+def test_runs_with_other_masters_share_their_shuffles(spark):
+    out = catalog.QUERIES["recon_hash_diff"](spark, SF)
+    assert not re.search(r"Exchange hashpartitioning\([^)]*exception_hash", plan(out))
+    b, c = catalog._pair(spark, SF)
+    assert rows_of(out) == rows_of(reconcile.compare_hashes(b.exceptions, c.exceptions))
+    moved = [re.sub(r"#\d+L?|plan_id=\d+", "", x) for x in re.findall(
+        r"Exchange hashpartitioning\((?:xxhash64\(business_date#\d+, source_account_number|coalesce\(customer_id)[^\n]*", plan(out))]
+    assert len(moved) == 4 and len(set(moved)) == 2  # planned a side, and the same for both: run once
+
+
 def test_joins_beside_a_number_compare_the_keys_themselves(spark):
     t = spark.createDataFrame([(DAY, "A", 1, 7), (DAY, "B", 1, 7), (None, "C", 1, 8)], "d date, k string, v int, near long")
     s = spark.createDataFrame([(DAY, "A", 2, 7), (DAY, "D", 1, 7), (None, "C", 1, 8)], "d date, k string, v int, near long")
     out = upsert.upsert(t, s, ["d", "k"], {"v": 0}, ["v"], beside="near")
     assert out.columns == ["d", "k", "v", "_action"]
     assert rows_of(out) == rows_of(upsert.upsert(t.drop("near"), s.drop("near"), ["d", "k"], {"v": 0}, ["v"]))
+    plain = reconcile.compare_hashes(t, s, "k", ["v"])
+    assert rows_of(reconcile.compare_hashes(t, s, "k", ["v"], beside="near")) == rows_of(plain)
 
 
 def test_stored_frames_leave_no_shuffle_behind(spark):
